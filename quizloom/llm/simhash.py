@@ -15,7 +15,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quizloom.llm.common import ASCII_LOWER, blocks, map_arrow
@@ -24,6 +24,8 @@ from quizloom.session import cut
 
 WORDS, SEED, RADIUS = 3, 42, 3
 _BLOCK = 1 << 14
+#: Fingerprints that may share a half-word in one place.
+HOT = 4000
 
 
 def fingerprint(text: bytes) -> int:
@@ -55,26 +57,39 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return map_arrow(docs.select(F.col("doc_id").cast("long"), "text"), _fingerprints, "doc_id long, fp long")
 
 
-def ball_masks() -> tuple[list[int], list[int]]:
-    """Masks of radius 1 at most, and of two bits in one half of the word."""
-    def signed(x: int) -> int:
-        return x - (1 << 64) if x >> 63 else x
-
-    near = [0, *(signed(1 << i) for i in range(64))]
-    far = [signed(1 << i | 1 << j) for lo in (0, 32) for i in range(lo, lo + 32) for j in range(i + 1, lo + 32)]
-    return near, far
+def _signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
 
 
 def links(nodes: DataFrame) -> DataFrame:
-    """Links (u, v) of distinct fingerprints (column fp): each real, and enough to connect all within 3 bits."""
-    near, far = ball_masks()
-    one, two = F.lit(near), F.lit(near + far)
-    centres = nodes.select("fp", F.explode(one).alias("mask")).select("fp", F.col("fp").bitwiseXOR(F.col("mask")).alias("meet"))
-    centres = centres.groupBy("meet").agg(F.min("fp").alias("centre"))
-    reach = nodes.select("fp", F.explode(F.when(F.bit_count("fp") % 2 == 0, two).otherwise(one)).alias("mask"))
-    reach = reach.select("fp", F.col("fp").bitwiseXOR(F.col("mask")).alias("meet"))
-    met = reach.join(centres, "meet").where("fp <> centre")
-    return met.where(F.bit_count(F.col("fp").bitwiseXOR(F.col("centre"))) <= RADIUS).select(F.col("fp").alias("u"), F.col("centre").alias("v")).distinct()
+    """Links (u, v) of distinct fingerprints (column fp): each real, and enough to connect all within 3 bits.
+
+    A variant is dealt by the half-word that its two flipped bits leave as it is, so all variants
+    of a fingerprint that go to one place go as one row and are written out there. A half-word
+    that very many fingerprints share is split by the variants' hashes.
+    """
+    sides = []
+    for side, (kept, flipped) in enumerate(((range(32, 64), range(32)), (range(32), range(32, 64)))):
+        ones = [_signed(1 << i) for i in flipped]
+        twos = [_signed(1 << i | 1 << j) for i in flipped for j in flipped if i < j]
+        sides.append((side, _signed(sum(1 << i for i in kept)), [_signed(1 << i) for i in kept], ones, twos))
+    counts = nodes.select("fp", F.explode(F.array(*[F.struct(F.lit(s).alias("side"), F.col("fp").bitwiseAND(F.lit(k)).alias("key")) for s, k, *_ in sides])).alias("k")).groupBy("k.side", "k.key").agg(F.count("*").alias("n"))
+    hot = counts.where(F.col("n") > HOT).select(F.col("side").alias("hs"), F.col("key").alias("hk"), F.ceil(F.col("n") / HOT).cast("int").alias("splits"))
+    moves = F.array(*[F.struct(F.lit(s).alias("side"), F.col("fp").bitwiseXOR(F.lit(m)).bitwiseAND(F.lit(k)).alias("key"), F.lit(m).alias("move")) for s, k, keep, *_ in sides for m in (0, *keep)])
+    sent = nodes.select("fp", F.explode(moves).alias("m")).select("fp", "m.side", "m.key", "m.move")
+    sent = sent.join(hot, (F.col("side") == F.col("hs")) & (F.col("key") == F.col("hk")), "left")
+    sent = sent.select("fp", "side", "key", "move", F.explode(F.sequence(F.lit(0), F.coalesce("splits", F.lit(1)) - 1)).alias("split"), F.coalesce("splits", F.lit(1)).alias("splits"))
+    there = sent.repartition("side", "key", "split")
+    masks = F.array(F.col("move"))
+    for s, _, _, ones, twos in sides:
+        own = F.when(F.bit_count("fp") % 2 == 0, F.lit([0, *ones, *twos])).otherwise(F.lit([0, *ones]))
+        masks = F.when((F.col("move") == 0) & (F.col("side") == s), own).otherwise(masks)
+    ball = there.withColumn("mask", F.explode(masks)).withColumn("meet", F.col("fp").bitwiseXOR(F.col("mask")))
+    ball = ball.where((F.col("splits") == 1) | (F.pmod(F.xxhash64("meet"), F.col("splits")) == F.col("split")))
+    near = F.when(F.bit_count("mask") <= 1, F.col("fp"))
+    met = ball.withColumn("centre", F.min(near).over(Window.partitionBy("side", "key", "split", "meet")))
+    real = F.bit_count(F.col("fp").bitwiseXOR(F.col("centre"))) <= RADIUS
+    return met.where(F.col("centre").isNotNull() & (F.col("fp") != F.col("centre")) & real).select(F.col("fp").alias("u"), F.col("centre").alias("v")).distinct()
 
 
 def simhash_components(docs: DataFrame) -> DataFrame:
