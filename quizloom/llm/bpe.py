@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from quizloom.llm.common import blocks, map_arrow
 
-MAX_STATES, MAX_PIECES, CHUNK = 200_000, 200_000, 4096
+MAX_STATES, MAX_PIECES, CHUNK = 200_000, 500_000, 4096
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
