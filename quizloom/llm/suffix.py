@@ -32,14 +32,14 @@ from pyspark.sql import functions as F
 
 from quizloom.session import cut, ship
 
-DEPTH, K = 50, 20
+DEPTH, K = 50, 28
 #: Bytes of text that a bucket is meant to hold.
 BUCKET_BYTES = 8 << 20
 _STEPS = DEPTH - K + 1
 #: Two odd bases for hashes modulo 2**64.
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
-#: Bytes of a text that are worked on at once; neighbouring parts overlap as far as windows reach.
-_PART = 1 << 20
+#: Bytes that are worked on at once: several texts, or a part of a long one; parts overlap as far as windows reach.
+_PART = 1 << 18
 
 
 @cache
@@ -76,21 +76,6 @@ class Hashes:
         return h ^ (h >> np.uint64(32))
 
 
-def places(part: np.ndarray, one: Hashes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of each synchronising place of the part: the hash of its K-gram, its first and its last window's start."""
-    starts = np.arange(len(part) - K + 1)
-    value, place = one.of(starts, starts + K), starts
-    size = 1
-    while size < _STEPS:  # least of the K-grams of a window, the rightmost of equals
-        step = min(size, _STEPS - size)
-        right = value[step:] <= value[:-step]
-        value = np.where(right, value[step:], value[:-step])
-        place = np.where(right, place[step:], place[:-step])
-        size += step
-    first = np.flatnonzero(np.diff(place, prepend=-1))
-    return value[first], first, np.append(first[1:], len(place)) - 1
-
-
 def _spread(first: np.ndarray, last: np.ndarray) -> np.ndarray:
     """All whole numbers of the spans, ends included."""
     n = last - first + 1
@@ -116,69 +101,97 @@ class Bucket:
         for t, i in zip(texts, ids, strict=True):
             if len(t) >= DEPTH:
                 least[t] = min(i, least.get(t, i))
-        self.texts, self.ids = list(least), np.array(list(least.values()), np.int64)
+        self.texts = sorted(least, key=least.get)
+        self.ids = np.array([least[t] for t in self.texts], np.int64)
         self.number = {t: n for n, t in enumerate(self.texts)}
+        self.spots = [(nums, offs, at, data, *self._spots(offs, data)) for nums, offs, at, data in self._chunks()]
 
-    def parts(self):
-        """(number of the text, offset, bytes), long texts in parts that overlap as far as windows reach."""
+    def _chunks(self):
+        """(numbers of the texts, their offsets, offset within the text, bytes)."""
+        some, held = [], 0
         for n, t in enumerate(self.texts):
-            for at in range(0, len(t) - DEPTH + 1, _PART):
-                yield n, at, np.frombuffer(t, np.uint8, min(_PART + DEPTH - 1, len(t) - at), at)
+            if some and held + len(t) > _PART:
+                yield self._joined(some)
+                some, held = [], 0
+            if len(t) > _PART:
+                for at in range(0, len(t) - DEPTH + 1, _PART):
+                    yield np.array([n]), np.array([0]), at, np.frombuffer(t, np.uint8, min(_PART + DEPTH - 1, len(t) - at), at)
+            else:
+                some.append(n)
+                held += len(t)
+        if some:
+            yield self._joined(some)
+
+    def _joined(self, some: list[int]):
+        sizes = [len(self.texts[n]) for n in some]
+        return np.array(some), np.concatenate([[0], np.cumsum(sizes)[:-1]]), 0, np.frombuffer(b"".join(self.texts[n] for n in some), np.uint8)
+
+    def _spots(self, offs: np.ndarray, data: np.ndarray):
+        """Synchronising places of the windows that lie within one text: key, first and last window."""
+        starts = np.arange(len(data) - K + 1)
+        value, place = Hashes(data, 0).of(starts, starts + K), starts.astype(np.int32)
+        size = 1
+        while size < _STEPS:  # least of the K-grams of a window, the rightmost of equals
+            step = min(size, _STEPS - size)
+            right = value[step:] <= value[:-step]
+            value = np.where(right, value[step:], value[:-step])
+            place = np.where(right, place[step:], place[:-step])
+            size += step
+        within = _spread(offs, np.append(offs[1:], len(data)) - DEPTH)
+        first = np.flatnonzero(np.diff(place[within], prepend=-1))
+        last = np.append(first[1:], len(within)) - 1
+        return value[within[first]] >> self.shift << self.shift, within[first], within[last]
 
     def cuts(self, keys: np.ndarray) -> np.ndarray:
         """Where each range's share of the ascending keys of 64 bits begins and ends."""
         edges = np.array([(r << 64) // self.ranges for r in range(1, self.ranges)], np.uint64)
         return np.concatenate([[0], np.searchsorted(keys, edges), [len(keys)]]).astype(np.int64)
 
+    def _grouped(self, keys: list[np.ndarray], owners: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct keys in order, and whether more than one text has them."""
+        if not keys:
+            return np.zeros(0, np.uint64), np.zeros(0, bool)
+        every, owner = np.concatenate(keys), np.concatenate(owners)
+        if len(self.texts) < 1 << int(self.shift):  # the owner fits beside the key
+            every = np.sort(every | owner.astype(np.uint64))
+            owner = every & np.uint64((1 << int(self.shift)) - 1)
+            every = every >> self.shift << self.shift
+        else:
+            order = np.lexsort((owner, every))
+            every, owner = every[order], owner[order]
+        new = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]])[: len(every)])
+        end = np.append(new[1:], len(every)) - 1
+        return every[new], owner[new] != owner[end]
+
     def first(self) -> tuple[np.ndarray, np.ndarray]:
         """Keys of the first digit, and whether two texts here have them."""
-        found = [(places(part, Hashes(part, 0))[0] >> self.shift << self.shift, n) for n, _, part in self.parts()]
-        return _grouped([k for k, _ in found], [n for _, n in found])
-
-    def second(self, alive: np.ndarray):
-        """Of each part: number, offset, and the windows in play with their keys."""
-        for n, at, part in self.parts():
-            one = Hashes(part, 0)
-            value, first, last = places(part, one)
-            on = _among(value >> self.shift << self.shift, alive)
-            windows = _spread(first[on], last[on])
-            yield n, at, part, windows, one.of(windows, windows + DEPTH) >> self.shift << self.shift
-
-    def seconds(self, alive: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        found = [(k, n) for n, _, _, _, k in self.second(alive)]
-        return _grouped([k for k, _ in found], [n for _, n in found])
+        return self._grouped([x[4] for x in self.spots], [x[0][np.searchsorted(x[1], x[5], "right") - 1] for x in self.spots])
 
-    def third(self, alive: np.ndarray, alive2: np.ndarray):
-        """Of each part: number, offset, the windows left and their final keys."""
-        for n, at, part, windows, key in self.second(alive):
+    def second(self, alive: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Keys of the windows in play, and whether two texts here have them."""
+        self.windows, keys, owners = [], [], []
+        for nums, offs, _, data, key, first, last in self.spots:
+            on = _among(key, alive)
+            windows = _spread(first[on], last[on])
+            keys.append(Hashes(data, 0).of(windows, windows + DEPTH) >> self.shift << self.shift if len(windows) else np.zeros(0, np.uint64))
+            owners.append(nums[np.searchsorted(offs, windows, "right") - 1])
+            self.windows.append((windows, keys[-1]))
+        return self._grouped(keys, owners)
+
+    def third(self, alive2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Final keys of the windows left, and the least id that each has here."""
+        self.left, owners = [], []
+        for (nums, offs, at, data, *_), (windows, key) in zip(self.spots, self.windows, strict=True):
             windows = windows[_among(key, alive2)]
-            yield n, at, windows, Hashes(part, 1).of(windows, windows + DEPTH) if len(windows) else np.zeros(0, np.uint64)
-
-    def thirds(self, alive: np.ndarray, alive2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Final keys, and the least id that each has here."""
-        keys, ids = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-        for n, _, _, k in self.third(alive, alive2):
-            k = np.unique(k)
-            keys.append(k)
-            ids.append(np.full(len(k), self.ids[n]))
-        keys, ids = np.concatenate(keys), np.concatenate(ids)
-        order = np.lexsort((ids, keys))
-        keys, ids = keys[order], ids[order]
-        new = np.flatnonzero(np.diff(keys, prepend=keys[:1] + np.uint64(1)))
-        return keys[new], ids[new]
-
-
-def _grouped(keys: list[np.ndarray], numbers: list[int]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys in order, and whether more than one text has them."""
-    if not keys:
-        return np.zeros(0, np.uint64), np.zeros(0, bool)
-    owner = np.repeat(np.array(numbers, np.int32), [len(k) for k in keys])
-    every = np.concatenate(keys)
-    order = np.argsort(every, kind="stable")  # owners ascend within equal keys
-    every, owner = every[order], owner[order]
-    new = np.flatnonzero(np.diff(every, prepend=every[:1] + np.uint64(1)))
-    end = np.append(new[1:], len(every)) - 1
-    return every[new], owner[new] != owner[end]
+            final = Hashes(data, 1).of(windows, windows + DEPTH) if len(windows) else np.zeros(0, np.uint64)
+            part = np.searchsorted(offs, windows, "right") - 1
+            owners.append(nums[part])
+            self.left.append((nums[part], windows - offs[part] + at, final))
+        keys, owner = np.concatenate([np.zeros(0, np.uint64), *(x[2] for x in self.left)]), np.concatenate([np.zeros(0, np.int64), *owners])
+        order = np.argsort(keys, kind="stable")  # owners ascend, and so do their ids
+        keys, owner = keys[order], owner[order]
+        new = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])[: len(keys)])
+        return keys[new], self.ids[owner[new]]
 
 
 def _among(keys: np.ndarray, sorted_keys: np.ndarray) -> np.ndarray:
@@ -193,8 +206,9 @@ _BLOCK = "range int, bucket int, keys binary, more binary"
 _ANSWER = "bucket int, digit int, range int, bits binary"
 
 
-def _blocks(bucket: int, cuts: np.ndarray, keys: np.ndarray, more: np.ndarray) -> pa.Table:
-    """One row for each range that gets keys; more: flags, or ids."""
+def _blocks(bucket: int, cuts: np.ndarray, keys: np.ndarray, more: np.ndarray, shift: int = 0) -> pa.Table:
+    """One row for each range that gets keys; more: flags, or ids. The lowest shift bits of keys are zero and stay out."""
+    keys = keys >> np.uint64(shift)
     rows = [(r, bucket, pack(keys[a:b]), np.packbits(more[a:b]).tobytes() if more.dtype == bool else more[a:b].astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes()) for r, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)) if b > a]
     kinds = [pa.int32(), pa.int32(), pa.binary(), pa.binary()]
     cols = zip(*rows, strict=True) if rows else ([], [], [], [])
@@ -208,14 +222,9 @@ def _shared(digit: int):
         buckets, lists, flags = blocks["bucket"].to_pylist(), [unpack(k) for k in blocks["keys"].to_pylist()], []
         for k, m in zip(lists, blocks["more"].to_pylist(), strict=True):
             flags.append(np.unpackbits(np.frombuffer(m, np.uint8), count=len(k)).astype(bool))
-        every, many = np.concatenate(lists), np.concatenate(flags)
-        order = np.argsort(every, kind="stable")
-        s = every[order]
-        twin = np.zeros(len(s), bool)
-        same = s[1:] == s[:-1]
-        twin[1:] |= same
-        twin[:-1] |= same
-        many[order] |= twin
+        every = np.sort(np.concatenate(lists))
+        twice = np.unique(every[1:][every[1:] == every[:-1]])
+        many = np.concatenate([f | _among(k, twice) for k, f in zip(lists, flags, strict=True)])
         return _answers(buckets, digit, blocks["range"][0].as_py(), lists, many)
 
     return run
@@ -228,12 +237,12 @@ def _least(digit: int):
         buckets, lists = blocks["bucket"].to_pylist(), [unpack(k) for k in blocks["keys"].to_pylist()]
         ids = np.concatenate([np.frombuffer(m, np.uint8).reshape(8, -1).T.copy().view("<i8").ravel() for m in blocks["more"].to_pylist()])
         every = np.concatenate(lists)
-        order = np.lexsort((ids, every))
+        order = np.argsort(every, kind="stable")
         s, i = every[order], ids[order]
-        start = np.diff(s, prepend=s[:1] + np.uint64(1)) != 0
-        least = i[np.flatnonzero(start)][np.cumsum(start) - 1]
+        start = np.concatenate([[True], s[1:] != s[:-1]])
+        at = np.flatnonzero(start)
         smaller = np.zeros(len(s), bool)
-        smaller[order] = least < i
+        smaller[order] = np.minimum.reduceat(i, at)[np.cumsum(start) - 1] < i
         return _answers(buckets, digit, blocks["range"][0].as_py(), lists, smaller)
 
     return run
@@ -261,14 +270,17 @@ def _load(docs: pa.Table, bits: int, ranges: int) -> tuple[Bucket, list[bytes]]:
     return Bucket(texts, docs["place"].to_pylist(), bits, ranges), texts
 
 
-def _result(texts: list[bytes], ids: list[int], b: Bucket, alive: np.ndarray, alive2: np.ndarray, answers: pa.Table) -> list[tuple]:
-    keys, own = b.thirds(alive, alive2)
+def _result(texts: list[bytes], ids: list[int], b: Bucket, alive2: np.ndarray, answers: pa.Table) -> list[tuple]:
+    keys, own = b.third(alive2)
     smaller = _chosen(answers, 3, b.cuts(keys))
-    marks: list[list[np.ndarray]] = [[] for _ in b.texts]
-    for n, at, windows, k in b.third(alive, alive2):
-        if len(k):
-            slot = np.searchsorted(keys, k)
-            marks[n].append(windows[smaller[slot] | (own[slot] < b.ids[n])] + at)
+    marks: dict[int, list[np.ndarray]] = {}
+    for owner, start, k in b.left:
+        slot = np.searchsorted(keys, k)
+        off = smaller[slot] | (own[slot] < b.ids[owner]) if len(k) else np.zeros(0, bool)
+        owner, start = owner[off], start[off]
+        edge = np.flatnonzero(np.diff(owner, prepend=-1))
+        for x, y in zip(edge, np.append(edge[1:], len(owner)), strict=True):
+            marks.setdefault(int(owner[x]), []).append(start[x:y])
     rows, done = [], {}
     for t, i in zip(texts, ids, strict=True):
         n = b.number.get(t)
@@ -277,7 +289,7 @@ def _result(texts: list[bytes], ids: list[int], b: Bucket, alive: np.ndarray, al
             continue
         if t not in done:
             gone = np.zeros(len(t) + 1, np.int32)
-            if n is not None and marks[n]:
+            if n in marks:
                 p = np.unique(np.concatenate(marks[n]))
                 np.add.at(gone, p, 1)
                 np.add.at(gone, p + DEPTH, -1)
@@ -308,34 +320,35 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     bucket = F.pmod(F.xxhash64("doc_id", "text"), F.lit(number)).cast("int")
     base = docs.select(bucket.alias("bucket"), place.alias("place"), F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
 
+    def bucket_of(table: pa.Table) -> int:
+        return table["bucket"][0].as_py() if table.num_rows else -1
+
     def first(table: pa.Table) -> pa.Table:
         b, _ = _load(table, bits, number)
         keys, many = b.first()
-        return _blocks(table["bucket"][0].as_py(), b.cuts(keys), keys, many)
+        return _blocks(bucket_of(table), b.cuts(keys), keys, many, 64 - bits)
 
-    def alive_of(b: Bucket, answers: pa.Table) -> np.ndarray:
+    def upto_second(b: Bucket, answers: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         keys, _ = b.first()
-        return keys[_chosen(answers, 1, b.cuts(keys))]
+        return b.second(keys[_chosen(answers, 1, b.cuts(keys))])
 
-    def alive2_of(b: Bucket, answers: pa.Table, alive: np.ndarray) -> np.ndarray:
-        keys, _ = b.seconds(alive)
+    def alive2_of(b: Bucket, answers: pa.Table) -> np.ndarray:
+        keys, _ = upto_second(b, answers)
         return keys[_chosen(answers, 2, b.cuts(keys))]
 
     def second(table: pa.Table, answers: pa.Table) -> pa.Table:
         b, _ = _load(table, bits, number)
-        keys, many = b.seconds(alive_of(b, answers))
-        return _blocks(table["bucket"][0].as_py() if table.num_rows else -1, b.cuts(keys), keys, many)
+        keys, many = upto_second(b, answers)
+        return _blocks(bucket_of(table), b.cuts(keys), keys, many, 64 - bits)
 
     def third(table: pa.Table, answers: pa.Table) -> pa.Table:
         b, _ = _load(table, bits, number)
-        alive = alive_of(b, answers)
-        keys, ids = b.thirds(alive, alive2_of(b, answers, alive))
-        return _blocks(table["bucket"][0].as_py() if table.num_rows else -1, b.cuts(keys), keys, ids)
+        keys, ids = b.third(alive2_of(b, answers))
+        return _blocks(bucket_of(table), b.cuts(keys), keys, ids)
 
     def last(table: pa.Table, answers: pa.Table) -> pa.Table:
         b, texts = _load(table, bits, number)
-        alive = alive_of(b, answers)
-        rows = _result(texts, table["place"].to_pylist(), b, alive, alive2_of(b, answers, alive), answers)
+        rows = _result(texts, table["place"].to_pylist(), b, alive2_of(b, answers), answers)
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string()]
         cols = zip(*rows, strict=True) if rows else ([], [], [], [])
         return pa.table([table["doc_id"], *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
@@ -343,15 +356,16 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     def beside(answers: DataFrame):
         return base.groupBy("bucket").cogroup(answers.groupBy("bucket"))
 
-    answers = _kept(base.groupBy("bucket").applyInArrow(first, _BLOCK).groupBy("range").applyInArrow(_shared(1), _ANSWER))
-    answers = answers.union(_kept(beside(answers).applyInArrow(second, _BLOCK).groupBy("range").applyInArrow(_shared(2), _ANSWER)))
-    answers = answers.union(_kept(beside(answers).applyInArrow(third, _BLOCK).groupBy("range").applyInArrow(_least(3), _ANSWER)))
+    answers = cut(base.groupBy("bucket").applyInArrow(first, _BLOCK).groupBy("range").applyInArrow(_shared(1), _ANSWER), "answers")
+    _free(spark)
+    answers = answers.union(cut(beside(answers).applyInArrow(second, _BLOCK).groupBy("range").applyInArrow(_shared(2), _ANSWER), "answers"))
+    _free(spark)
+    answers = answers.union(cut(beside(answers).applyInArrow(third, _BLOCK).groupBy("range").applyInArrow(_least(3), _ANSWER), "answers"))
+    _free(spark)
     return beside(answers).applyInArrow(last, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
-def _kept(answers: DataFrame) -> DataFrame:
-    """The answers as a table; the shuffle files of the pass that made them can then go."""
-    out = cut(answers, "answers")
+def _free(spark) -> None:
+    """Lets Spark delete the shuffle files of passes whose answers are written: it does so when their frames are collected."""
     gc.collect()
-    answers.sparkSession._jvm.System.gc()
-    return out
+    spark._jvm.System.gc()
