@@ -11,6 +11,9 @@ and only groups that hold more than one document go on to the next digit:
 2. The whole window, for windows whose place is still in play.
 3. Groups that are left are the repeated windows; the least document id of each is found.
 
+Whole texts are a digit of their own, settled with the first: copies of a text with a smaller id
+go wholly and take no part in the later digits.
+
 Documents lie in buckets by a hash of their id, keys in ranges by their own leading bits. A
 bucket sends each range one sorted, delta-coded block of keys, each key once however many of its
 documents hold it; the range answers with one bit for each key. So no key, copy or passage makes
@@ -23,6 +26,7 @@ from __future__ import annotations
 
 import gc
 import hashlib
+import time
 from functools import cache
 
 import numpy as np
@@ -36,6 +40,8 @@ DEPTH, K = 50, 28
 #: Bytes of text that a bucket is meant to hold.
 BUCKET_BYTES = 8 << 20
 _STEPS = DEPTH - K + 1
+#: Leading bits of keys in tables of a bucket.
+_TABLE = 24
 #: Two odd bases for hashes modulo 2**64.
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 #: Bytes that are worked on at once: several texts, or a part of a long one; parts overlap as far as windows reach.
@@ -69,6 +75,10 @@ class Hashes:
         self.sums = np.zeros(n + 1, np.uint64)
         np.cumsum(values[text] * down[:n], out=self.sums[1:])
 
+    def runs(self, size: int) -> np.ndarray:
+        """Hashes of all substrings of a size; only the upper bits are well mixed."""
+        return (self.sums[size:] - self.sums[:-size]) * (self.up[: len(self.sums) - size] * np.uint64(0xD6E8FEB86659FD93))
+
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         h = (self.sums[end] - self.sums[start]) * self.up[start]
         h ^= h >> np.uint64(32)
@@ -104,6 +114,7 @@ class Bucket:
         self.texts = sorted(least, key=least.get)
         self.ids = np.array([least[t] for t in self.texts], np.int64)
         self.number = {t: n for n, t in enumerate(self.texts)}
+        self.dropped = np.zeros(len(self.texts), bool)
         self.spots = [(nums, offs, at, data, *self._spots(offs, data)) for nums, offs, at, data in self._chunks()]
 
     def _chunks(self):
@@ -128,19 +139,20 @@ class Bucket:
 
     def _spots(self, offs: np.ndarray, data: np.ndarray):
         """Synchronising places of the windows that lie within one text: key, first and last window."""
-        starts = np.arange(len(data) - K + 1)
-        value, place = Hashes(data, 0).of(starts, starts + K), starts.astype(np.int32)
+        one = Hashes(data, 0)
+        # 32 bits of the hash above, the place counted backwards below: the least is the rightmost of equals.
+        order = (one.runs(K) & np.uint64(0xFFFFFFFF00000000)) | np.arange(0xFFFFFFFF, 0xFFFFFFFF - (len(data) - K + 1), -1, dtype=np.uint64)
         size = 1
-        while size < _STEPS:  # least of the K-grams of a window, the rightmost of equals
+        while size < _STEPS:
             step = min(size, _STEPS - size)
-            right = value[step:] <= value[:-step]
-            value = np.where(right, value[step:], value[:-step])
-            place = np.where(right, place[step:], place[:-step])
+            order = np.minimum(order[:-step], order[step:])
             size += step
         within = _spread(offs, np.append(offs[1:], len(data)) - DEPTH)
-        first = np.flatnonzero(np.diff(place[within], prepend=-1))
+        place = order[within]
+        first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
         last = np.append(first[1:], len(within)) - 1
-        return value[within[first]] >> self.shift << self.shift, within[first], within[last]
+        at = (np.uint64(0xFFFFFFFF) - (place[first] & np.uint64(0xFFFFFFFF))).astype(np.int64)
+        return one.of(at, at + K) >> self.shift << self.shift, within[first], within[last]
 
     def cuts(self, keys: np.ndarray) -> np.ndarray:
         """Where each range's share of the ascending keys of 64 bits begins and ends."""
@@ -163,6 +175,16 @@ class Bucket:
         end = np.append(new[1:], len(every)) - 1
         return every[new], owner[new] != owner[end]
 
+    def copies(self) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of whole texts in order, and their ids."""
+        h = np.array([int.from_bytes(hashlib.blake2b(t, digest_size=8).digest(), "little") for t in self.texts], np.uint64)
+        self.order = np.argsort(h, kind="stable")
+        return h[self.order], self.ids[self.order]
+
+    def drop(self, copy: np.ndarray) -> None:
+        """Takes texts, in the order of copies(), out of the later digits: another bucket has them with a smaller id."""
+        self.dropped[self.order] = copy
+
     def first(self) -> tuple[np.ndarray, np.ndarray]:
         """Keys of the first digit, and whether two texts here have them."""
         return self._grouped([x[4] for x in self.spots], [x[0][np.searchsorted(x[1], x[5], "right") - 1] for x in self.spots])
@@ -170,8 +192,9 @@ class Bucket:
     def second(self, alive: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Keys of the windows in play, and whether two texts here have them."""
         self.windows, keys, owners = [], [], []
+        among = _among(alive)
         for nums, offs, _, data, key, first, last in self.spots:
-            on = _among(key, alive)
+            on = among(key) & ~self.dropped[nums[np.searchsorted(offs, first, "right") - 1]]
             windows = _spread(first[on], last[on])
             keys.append(Hashes(data, 0).of(windows, windows + DEPTH) >> self.shift << self.shift if len(windows) else np.zeros(0, np.uint64))
             owners.append(nums[np.searchsorted(offs, windows, "right") - 1])
@@ -181,8 +204,9 @@ class Bucket:
     def third(self, alive2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Final keys of the windows left, and the least id that each has here."""
         self.left, owners = [], []
+        among = _among(alive2)
         for (nums, offs, at, data, *_), (windows, key) in zip(self.spots, self.windows, strict=True):
-            windows = windows[_among(key, alive2)]
+            windows = windows[among(key)]
             final = Hashes(data, 1).of(windows, windows + DEPTH) if len(windows) else np.zeros(0, np.uint64)
             part = np.searchsorted(offs, windows, "right") - 1
             owners.append(nums[part])
@@ -194,12 +218,11 @@ class Bucket:
         return keys[new], self.ids[owner[new]]
 
 
-def _among(keys: np.ndarray, sorted_keys: np.ndarray) -> np.ndarray:
-    if not len(sorted_keys):
-        return np.zeros(len(keys), bool)
-    at = np.searchsorted(sorted_keys, keys)
-    at[at == len(sorted_keys)] = 0
-    return sorted_keys[at] == keys
+def _among(some: np.ndarray):
+    """A test whether keys may be among some: by their leading bits, so no key is missed and a few others pass, which later digits tell apart."""
+    table = np.zeros(1 << _TABLE, bool)
+    table[some >> np.uint64(64 - _TABLE)] = True
+    return lambda keys: table[keys >> np.uint64(64 - _TABLE)]
 
 
 _BLOCK = "range int, bucket int, keys binary, more binary"
@@ -223,8 +246,8 @@ def _shared(digit: int):
         for k, m in zip(lists, blocks["more"].to_pylist(), strict=True):
             flags.append(np.unpackbits(np.frombuffer(m, np.uint8), count=len(k)).astype(bool))
         every = np.sort(np.concatenate(lists))
-        twice = np.unique(every[1:][every[1:] == every[:-1]])
-        many = np.concatenate([f | _among(k, twice) for k, f in zip(lists, flags, strict=True)])
+        twice = np.append(np.unique(every[1:][every[1:] == every[:-1]]), np.uint64(0xFFFFFFFFFFFFFFFF))
+        many = np.concatenate([f | (twice[np.searchsorted(twice, k)] == k) for k, f in zip(lists, flags, strict=True)])
         return _answers(buckets, digit, blocks["range"][0].as_py(), lists, many)
 
     return run
@@ -248,6 +271,19 @@ def _least(digit: int):
     return run
 
 
+def _first_answers(ranges: int):
+    """Answers to both kinds of the first pass's blocks: whole texts lie in ranges of their own."""
+
+    def run(blocks: pa.Table) -> pa.Table:
+        r = blocks["range"][0].as_py()
+        if r < ranges:
+            return _shared(1)(blocks)
+        own = pa.array([r - ranges] * blocks.num_rows, pa.int32())
+        return _least(0)(blocks.set_column(0, "range", own))
+
+    return run
+
+
 def _answers(buckets: list[int], digit: int, r: int, lists: list[np.ndarray], bits: np.ndarray) -> pa.Table:
     ends = np.cumsum([len(x) for x in lists])
     packed = [np.packbits(bits[e - len(x) : e]).tobytes() for x, e in zip(lists, ends, strict=True)]
@@ -284,7 +320,7 @@ def _result(texts: list[bytes], ids: list[int], b: Bucket, alive2: np.ndarray, a
     rows, done = [], {}
     for t, i in zip(texts, ids, strict=True):
         n = b.number.get(t)
-        if n is not None and i > b.ids[n]:  # a copy of a text of a smaller id
+        if n is not None and (i > b.ids[n] or b.dropped[n]):  # a copy of a text of a smaller id
             rows.append((len(t), len(t), 1, hashlib.sha256(b"").hexdigest()))
             continue
         if t not in done:
@@ -326,9 +362,14 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     def first(table: pa.Table) -> pa.Table:
         b, _ = _load(table, bits, number)
         keys, many = b.first()
-        return _blocks(bucket_of(table), b.cuts(keys), keys, many, 64 - bits)
+        whole, ids = b.copies()
+        texts = _blocks(bucket_of(table), b.cuts(whole), whole, ids)
+        texts = texts.set_column(0, "range", pa.array([r + number for r in texts["range"].to_pylist()], pa.int32()))
+        return pa.concat_tables([_blocks(bucket_of(table), b.cuts(keys), keys, many, 64 - bits), texts])
 
     def upto_second(b: Bucket, answers: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        whole, _ = b.copies()
+        b.drop(_chosen(answers, 0, b.cuts(whole)))
         keys, _ = b.first()
         return b.second(keys[_chosen(answers, 1, b.cuts(keys))])
 
@@ -356,7 +397,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     def beside(answers: DataFrame):
         return base.groupBy("bucket").cogroup(answers.groupBy("bucket"))
 
-    answers = cut(base.groupBy("bucket").applyInArrow(first, _BLOCK).groupBy("range").applyInArrow(_shared(1), _ANSWER), "answers")
+    answers = cut(base.groupBy("bucket").applyInArrow(first, _BLOCK).groupBy("range").applyInArrow(_first_answers(number), _ANSWER), "answers")
     _free(spark)
     answers = answers.union(cut(beside(answers).applyInArrow(second, _BLOCK).groupBy("range").applyInArrow(_shared(2), _ANSWER), "answers"))
     _free(spark)
@@ -367,5 +408,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
 def _free(spark) -> None:
     """Lets Spark delete the shuffle files of passes whose answers are written: it does so when their frames are collected."""
-    gc.collect()
-    spark._jvm.System.gc()
+    for _ in range(3):  # the driver's collector works beside us
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.7)
