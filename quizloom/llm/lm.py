@@ -110,25 +110,38 @@ class Lattice:
         text = self._table(words)
         f = [np.zeros(len(words))] + [np.full(len(words), _NONE) for _ in range(text.shape[1])]
         for i, j, piece in self._arcs(text):
-            f[j] = np.logaddexp(f[j], f[i] + self.logp[piece])
+            hit = np.flatnonzero(piece != self.n)
+            if len(hit):
+                f[j][hit] = np.logaddexp(f[j][hit], f[i][hit] + self.logp[piece[hit]])
         return f[-1]
 
     def expected(self, words: list[bytes], counts: np.ndarray, out: np.ndarray) -> None:
-        """Adds the expected piece counts of words of one length, each taken counts times."""
+        """Adds the expected piece counts of words of one length, each taken counts times; sums are rescaled at each byte."""
         text = self._table(words)
-        n = text.shape[1]
-        arcs = [(i, j, p.copy()) for i, j, p in self._arcs(text)]
-        f = [np.zeros(len(words))] + [np.full(len(words), _NONE) for _ in range(n)]
-        b = [np.full(len(words), _NONE) for _ in range(n)] + [np.zeros(len(words))]
+        n, prob = text.shape[1], np.append(np.exp(self.logp[: self.n]), 0.0)
+        arcs = [(i, j, p) for i, j, p in self._arcs(text)]
+        into = [[] for _ in range(n + 1)]
         for i, j, p in arcs:
-            f[j] = np.logaddexp(f[j], f[i] + self.logp[p])
+            into[j].append((i, p))
+        # f[j] is scaled by the product of 1 / scale[k] for k up to j, so that every f[j] is 1.
+        scale = [np.ones(len(words))]
+        for j in range(1, n + 1):
+            total = np.zeros(len(words))
+            for i, p in into[j]:
+                x = prob[p]
+                for k in range(i + 1, j):
+                    x = x / scale[k]
+                total += x
+            scale.append(np.maximum(total, 1e-300))
+        b = [np.zeros(len(words)) for _ in range(n)] + [np.ones(len(words))]
         for i, j, p in sorted(arcs, key=lambda a: -a[1]):
-            b[i] = np.logaddexp(b[i], self.logp[p] + b[j])
-        for i, j, p in arcs:
+            x = prob[p] * b[j]
+            for k in range(i + 1, j + 1):
+                x = x / scale[k]
+            b[i] += x
             hit = np.flatnonzero(p != self.n)
             if len(hit):
-                q = p[hit]
-                np.add.at(out, q, counts[hit] * np.exp(f[i][hit] + self.logp[q] + b[j][hit] - f[n][hit]))
+                out += np.bincount(p[hit], counts[hit] * x[hit], self.n + 1)[: self.n]
 
     def one(self, word: bytes) -> float:
         """Log probability of one word of any length, in memory of the longest piece."""
@@ -263,9 +276,9 @@ def lm_scores(docs: DataFrame, path: str) -> DataFrame:
         lattice = _lattice(key, pieces, logp)
         for part, texts in blocks(batches):
             rows, tails = [], []
-            for t in texts:
-                mine = Counter(tokens(t))
-                long = lattice.scores(mine)
+            counted = [Counter(tokens(t)) for t in texts]
+            long = lattice.scores(set().union(*counted))
+            for mine in counted:
                 known = lattice.known
                 score = float(logp[-1])
                 n_known, base = int(ends > 0), math.log10(ends + 1) - denominator
