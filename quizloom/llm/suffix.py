@@ -161,7 +161,7 @@ class Bucket:
 
     def _grouped(self, keys: list[np.ndarray], owners: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """Distinct keys in order, and whether more than one text has them."""
-        if not keys:
+        if not sum(map(len, keys)):
             return np.zeros(0, np.uint64), np.zeros(0, bool)
         every, owner = np.concatenate(keys), np.concatenate(owners)
         if len(self.texts) < 1 << int(self.shift):  # the owner fits beside the key
