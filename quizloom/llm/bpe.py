@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quizloom.llm.common import blocks, map_arrow
+from quizloom.llm.common import blocks, map_arrow, sole
 
 MAX_STATES, MAX_PIECES, CHUNK = 200_000, 500_000, 4096
 
@@ -248,7 +248,12 @@ class Encoder:
 _encoders: dict[tuple, Encoder] = {}
 
 
+def _encoder_table() -> dict:
+    return _encoders
+
+
 def _encoder(key: tuple, ranks: dict[bytes, int], pattern: str) -> Encoder:
+    sole(_encoders)
     if key not in _encoders:
         _encoders.clear()
         _encoders[key] = Encoder(ranks, pattern)
@@ -287,4 +292,4 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, ids: bool = False
             yield pa.RecordBatch.from_arrays(out, names=names)
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, n_decoded_chars long" + ", token_ids array<int>" * ids
-    return map_arrow(docs.select(F.col("doc_id").cast("long"), "text"), run, schema)
+    return map_arrow(docs.select(F.col("doc_id").cast("long"), "text"), run, schema, _encoder_table)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -33,12 +34,32 @@ def blocks(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[tu
             at = end
 
 
-def map_arrow(df: DataFrame, f: Callable, schema: str) -> DataFrame:
-    """mapInArrow with this package on the executors."""
+def map_arrow(df: DataFrame, f: Callable, schema: str, table: Callable[[], dict] | None = None) -> DataFrame:
+    """mapInArrow with this package on the executors; table: the worker-wide table that f uses, all others are emptied."""
     ship(df.sparkSession)
-    return df.mapInArrow(f, schema)
+
+    def run(batches):
+        sole(table() if table else {})
+        yield from f(batches)
+
+    return df.mapInArrow(run, schema)
 
 
 def crc_mod(doc_id: Column, n: int) -> Column:
     """crc32 of the id as text, modulo n (null id: of the empty text)."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % n
+
+
+_tables: list[dict] = []
+
+
+def sole(table: dict) -> None:
+    """Empties the worker-wide tables of all other operators: a worker serves many, and holds one's tables at a time."""
+    _tables[:] = [t for t in _tables if t]
+    if not any(t is table for t in _tables):
+        _tables.append(table)
+    for t in _tables:
+        if t is not table and t:
+            t.clear()
+            gc.collect()
+

@@ -4,8 +4,8 @@ The lattice model takes the pieces of an existing vocabulary. A piece's score st
 place in that vocabulary and is then fitted to the training texts by expectation maximisation
 over their word counts; the end of a text is a piece of its own. A text's probability is the
 sum over all ways to cut it into pieces, by a forward recursion in log space. No piece goes
-past a white space, so the sum is a product over words, and each distinct word is worked out
-once while a table of bounded size holds it.
+past a white space, so the sum is a product over words, and each distinct word of the corpus is
+worked out once.
 
 Word counts come from all training texts. The HEAD most frequent words (a fixed bound) are
 broadcast; all others meet their counts in a join, so no vocabulary is held in one place.
@@ -29,7 +29,7 @@ FOLDS = 7
 HEAD, PASSES, PRIOR = 100_000, 2, 0.5
 #: Expected counts are added up as whole numbers of this part, so that sums don't depend on their order.
 UNIT = 1 << 16
-MAX_KNOWN, MAX_PIECE, WIDE = 400_000, 16, 48
+MAX_PIECE, WIDE = 16, 48
 _BASE = np.uint64(1_099_511_628_211)
 _NONE = -1e30
 
@@ -72,8 +72,6 @@ class Lattice:
             while self.vals[at] != self.n:
                 at = (at + 1) & int(self.mask)
             self.keys[at], self.vals[at] = h, i
-        self.known: dict[bytes, float] = {}
-        self.older: dict[bytes, float] = {}
 
     @staticmethod
     def _hash(b: bytes) -> int:
@@ -159,35 +157,6 @@ class Lattice:
                 last.pop(0)
         return last[-1]
 
-    def scores(self, words) -> dict[bytes, float]:
-        """Log probabilities of distinct words (without their leading space), through the bounded table."""
-        if len(self.known) > MAX_KNOWN:
-            self.older, self.known = self.known, {}
-        known, long, by_length = self.known, {}, defaultdict(list)
-        for w in words:
-            if w not in known:
-                if (s := self.older.get(w)) is not None:
-                    known[w] = s
-                elif len(w) < WIDE:
-                    by_length[len(w)].append(w)
-                else:
-                    long[w] = self.one(b" " + w)
-        for ws in by_length.values():
-            for at in range(0, len(ws), 20_000):
-                part = ws[at : at + 20_000]
-                known.update(zip(part, self.forward([b" " + w for w in part]).tolist(), strict=True))
-        return long
-
-
-_lattices: dict[int, Lattice] = {}
-
-
-def _lattice(key: int, pieces: list[bytes], logp: np.ndarray) -> Lattice:
-    if key not in _lattices:
-        _lattices.clear()
-        _lattices[key] = Lattice(pieces, logp)
-    return _lattices[key]
-
 
 def tokens(text: bytes) -> list[bytes]:
     return text.translate(ASCII_LOWER).split()
@@ -201,9 +170,12 @@ def _count(batches):
         counts.clear()
         return rows
 
-    for _, texts in blocks(batches):
-        for t in texts:
-            counts.update(tokens(t))
+    for part, texts in blocks(batches):
+        for t, held in zip(texts, part.column(part.schema.get_field_index("held_out")).to_pylist(), strict=True):
+            if held:
+                counts.update(dict.fromkeys(tokens(t), 0))
+            else:
+                counts.update(tokens(t))
             if len(counts) > 300_000:
                 yield flush()
     if counts:
@@ -211,8 +183,36 @@ def _count(batches):
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
-    """word (binary) and c of all words of docs(text); counts are added up before the shuffle."""
-    return map_arrow(docs.select("text"), _count, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
+    """word (binary) and c of all words of docs(text, held_out), those of held-out texts counting nothing; added up before the shuffle."""
+    return map_arrow(docs.select("text", "held_out"), _count, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
+
+
+def _by_length(batches, limit: int = 200_000):
+    """Lists of words of one length, with their counts, from many batches at once."""
+    held, rows = 0, defaultdict(list)
+    for batch in batches:
+        for w, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            rows[len(w)].append((w, c))
+        held += batch.num_rows
+        if held > limit:
+            yield from rows.values()
+            held, rows = 0, defaultdict(list)
+    yield from rows.values()
+
+
+def word_scores(counts: DataFrame, pieces: list[bytes], logp: np.ndarray) -> DataFrame:
+    """counts with lp, each word's log probability over the lattice."""
+    shared = counts.sparkSession.sparkContext.broadcast((pieces, logp))
+
+    def run(batches):
+        lattice = Lattice(*shared.value)
+        for rows in _by_length(batches):
+            for at in range(0, len(rows), 20_000):
+                ws, cs = zip(*rows[at : at + 20_000], strict=True)
+                lp = lattice.forward([b" " + w for w in ws]).tolist() if len(ws[0]) < WIDE else [lattice.one(b" " + w) for w in ws]
+                yield pa.RecordBatch.from_arrays([pa.array(ws, pa.binary()), pa.array(cs, pa.int64()), pa.array(lp, pa.float64())], names=["word", "c", "lp"])
+
+    return map_arrow(counts.select("word", "c"), run, "word binary, c long, lp double")
 
 
 def fit_pieces(counts: DataFrame, ends: int, pieces: list[bytes]) -> np.ndarray:
@@ -226,17 +226,15 @@ def fit_pieces(counts: DataFrame, ends: int, pieces: list[bytes]) -> np.ndarray:
         def run(batches, shared=shared):
             lattice = Lattice(*shared.value)
             total = np.zeros(lattice.n)
-            for batch in batches:
-                by_length = defaultdict(list)
-                for w, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                    # a word past WIDE is counted by its parts of that length
-                    w = b" " + w
-                    for at in range(0, len(w), WIDE):
-                        by_length[len(w[at : at + WIDE])].append((w[at : at + WIDE], c))
-                for rows in by_length.values():
-                    for at in range(0, len(rows), 5000):
-                        ws, cs = zip(*rows[at : at + 5000], strict=True)
-                        lattice.expected(list(ws), np.array(cs, np.float64), total)
+            for rows in _by_length(batches):
+                if len(rows[0][0]) >= WIDE:  # a word past WIDE is counted by its parts of that length
+                    parts = [((b" " + w)[at : at + WIDE], c) for w, c in rows for at in range(0, len(w) + 1, WIDE)]
+                    for part, c in parts:
+                        lattice.expected([part], np.array([c], np.float64), total)
+                    continue
+                for at in range(0, len(rows), 5000):
+                    ws, cs = zip(*rows[at : at + 5000], strict=True)
+                    lattice.expected([b" " + w for w in ws], np.array(cs, np.float64), total)
             used = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(np.round(total[used] * UNIT).astype(np.int64))], names=["piece", "n"])
 
@@ -259,53 +257,49 @@ def lm_scores(docs: DataFrame, path: str) -> DataFrame:
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("held_out", crc_mod(F.col("doc_id"), FOLDS) == HELD_OUT)
-    train = docs.where(~F.col("held_out"))
-    counts = cut(word_counts(train), "counts")
-    ends = train.count()
-    words = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
+    counts = cut(word_counts(docs), "counts")
+    ends = docs.where(~F.col("held_out")).count()
+    words = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count_if(F.col("c") > 0).alias("v"), F.count("*").alias("rows")).first()
     n, v = words.n + ends, words.v + (ends > 0)
     pieces = load_pieces(path)
-    logp = fit_pieces(counts, ends, pieces)
-    head = {bytes(r.word): r.c for r in counts.orderBy(F.desc("c"), "word").limit(HEAD).collect()}
-    whole = words.v <= HEAD
+    logp = fit_pieces(counts.where("c > 0"), ends, pieces)
+    known = cut(word_scores(counts, pieces, logp), "words")
+    head = {bytes(r.word): (r.c, r.lp) for r in known.orderBy(F.desc("c"), "word").limit(HEAD).collect()}
+    whole = words.rows <= HEAD
     denominator = math.log10(n + v + 1)
-    shared, key = spark.sparkContext.broadcast((pieces, logp, head)), hash(logp.tobytes())
+    shared, end = spark.sparkContext.broadcast(head), float(logp[-1])
 
     def run(batches):
-        pieces, logp, head = shared.value
-        lattice = _lattice(key, pieces, logp)
+        head = shared.value
         for part, texts in blocks(batches):
             rows, tails = [], []
-            counted = [Counter(tokens(t)) for t in texts]
-            long = lattice.scores(set().union(*counted))
-            for mine in counted:
-                known = lattice.known
-                score = float(logp[-1])
-                n_known, base = int(ends > 0), math.log10(ends + 1) - denominator
-                tail = []
-                for w, k in mine.items():
-                    score += k * (known[w] if w in known else long[w])
-                    c = head.get(w)
-                    if c is not None:
-                        n_known += k
-                        base += k * (math.log10(c + 1) - denominator)
-                    elif whole:
-                        base -= k * denominator
-                    else:
-                        tail.append((w, k))
-                rows.append((sum(mine.values()) + 1, n_known, base, score / math.log(10)))
-                tails.append([{"word": w, "k": k} for w, k in tail])
+            for t in texts:
+                score, n_known, base, tail, n_tokens = end, int(ends > 0), math.log10(ends + 1) - denominator, [], 1
+                for w, k in Counter(tokens(t)).items():
+                    n_tokens += k
+                    found = head.get(w)
+                    if found is None:
+                        tail.append({"word": w, "k": k})
+                        continue
+                    c, lp = found
+                    score += k * lp
+                    n_known += k if c else 0
+                    base += k * (math.log10(c + 1) - denominator)
+                rows.append((n_tokens, n_known, base, score))
+                tails.append(tail)
             cols = list(zip(*rows, strict=True))
             kind = pa.list_(pa.struct([("word", pa.binary()), ("k", pa.int64())]))
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(part.schema.get_field_index("held_out")), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.float64()), pa.array(cols[3], pa.float64()), pa.array(tails, kind)], names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "tail"])
 
     scored = map_arrow(docs, run, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, tail array<struct<word:binary,k:bigint>>")
     last = F.lit(n).cast("long").alias("train_tokens")
+    to_log10 = 1 / math.log(10)
     if whole:
-        return scored.select("doc_id", "held_out", "n_tokens", "n_known", last, "base_score", "score")
+        return scored.select("doc_id", "held_out", "n_tokens", "n_known", last, "base_score", (F.col("score") * to_log10).alias("score"))
     scored = cut(scored.withColumn("row", F.monotonically_increasing_id()), "scored")  # written, so a row keeps its number
-    tail = scored.select("row", F.explode("tail").alias("t")).select("row", "t.word", "t.k").join(counts, "word", "left")
-    c = F.coalesce("c", F.lit(0))
-    sums = tail.groupBy("row").agg(F.sum(F.when(c > 0, F.col("k")).otherwise(0)).alias("more"), F.sum(F.col("k") * (F.log10(c + 1) - denominator)).alias("rest"))
+    tail = scored.select("row", F.explode("tail").alias("t")).select("row", "t.word", "t.k").join(known, "word")
+    k = F.col("k")
+    sums = tail.groupBy("row").agg(F.sum(F.when(F.col("c") > 0, k).otherwise(0)).alias("more"), F.sum(k * (F.log10(F.col("c") + 1) - denominator)).alias("rest"), F.sum(k * F.col("lp")).alias("lps"))
     joined = scored.drop("tail").join(sums, "row", "left")
-    return joined.select("doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("more", F.lit(0))).alias("n_known"), last, (F.col("base_score") + F.coalesce("rest", F.lit(0.0))).alias("base_score"), "score")
+    zero = F.lit(0.0)
+    return joined.select("doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("more", F.lit(0))).alias("n_known"), last, (F.col("base_score") + F.coalesce("rest", zero)).alias("base_score"), ((F.col("score") + F.coalesce("lps", zero)) * to_log10).alias("score"))

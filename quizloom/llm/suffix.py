@@ -314,6 +314,8 @@ def _result(texts: list[bytes], ids: list[int], b: Bucket, alive2: np.ndarray, a
         slot = np.searchsorted(keys, k)
         off = smaller[slot] | (own[slot] < b.ids[owner]) if len(k) else np.zeros(0, bool)
         owner, start = owner[off], start[off]
+        if not len(owner):
+            continue
         edge = np.flatnonzero(np.diff(owner, prepend=-1))
         for x, y in zip(edge, np.append(edge[1:], len(owner)), strict=True):
             marks.setdefault(int(owner[x]), []).append(start[x:y])

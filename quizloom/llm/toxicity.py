@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quizloom.llm.common import blocks, crc_mod, map_arrow
+from quizloom.llm.common import blocks, crc_mod, map_arrow, sole
 
 HELD_OUT, FOLDS, CUT = 2, 4, 0.3
 #: Training sample: at most this many rows of each label, those of least id hash.
@@ -264,6 +264,10 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[list[str], np.ndarray, fl
 _kernels: dict[tuple, Kernel] = {}
 
 
+def _kernel_table() -> dict:
+    return _kernels
+
+
 def score_toxicity(docs: DataFrame, model: tuple, keep: bool = False) -> DataFrame:
     """doc_id, score and predicted of every row of docs(doc_id, text); keep=True: the rows of docs not predicted toxic.
 
@@ -276,6 +280,7 @@ def score_toxicity(docs: DataFrame, model: tuple, keep: bool = False) -> DataFra
     def scores(texts):
         landmarks, w, b, slope, offset = shared.value
         key = tuple(landmarks)
+        sole(_kernels)
         if key not in _kernels:
             _kernels.clear()
             _kernels[key] = Kernel(landmarks)
@@ -293,8 +298,8 @@ def score_toxicity(docs: DataFrame, model: tuple, keep: bool = False) -> DataFra
             yield part.filter(pa.array([x < CUT for x in scores(texts)]))
 
     if keep:
-        return map_arrow(docs, clean, docs.schema)
-    return map_arrow(docs.select(F.col("doc_id").cast("long"), "text"), run, "doc_id long, score double, predicted int")
+        return map_arrow(docs, clean, docs.schema, _kernel_table)
+    return map_arrow(docs.select(F.col("doc_id").cast("long"), "text"), run, "doc_id long, score double, predicted int", _kernel_table)
 
 
 def held_out():
