@@ -4,6 +4,8 @@ from quizloom.corpus_view import SQL as CORPUS
 
 KEY = "trim(regexp_replace(regexp_replace(strip_accents(lower({0})), '[^a-z0-9 ]', ' ', 'g'), ' +', ' ', 'g'))"
 FOLD = "strip_accents(lower({0}))"
+#: For patterns with word bounds, which here know ASCII letters only: the one other letter of the tables becomes a word character.
+FOLD_B = "replace(strip_accents(lower({0})), 'ß', '0')"
 RECORDS = (
     CORPUS
     + """, recs AS (
@@ -44,7 +46,7 @@ _LEX = {4: [("ent~", 2), ("que", 1)], 5: [("ein", 2), ("er~", 1)], 6: [("con", 2
 _RULE = r"CASE WHEN regexp_matches({0}, '\b(the|les)\b.*\bof\b') THEN {1} WHEN regexp_matches({0}, '\bder\b') THEN {2} WHEN regexp_matches({0}, '\blos\b') THEN {3} END"
 CLASSIFIED = (
     CORPUS
-    + f""", folded AS (SELECT id, {FOLD.format('q')} AS s, {FOLD.format("array_to_string(opts, ' ')")} AS o FROM corpus
+    + f""", folded AS (SELECT id, {FOLD_B.format('q')} AS s, {FOLD_B.format("array_to_string(opts, ' ')")} AS o FROM corpus
 ), points AS (
   SELECT id, {_RULE.format('s', "'law'", "'place'", "'person'")} AS rule, {_RULE.format('s', 1, 2, 3)} AS rule_topic,
          list_sort(list_filter([{', '.join(f"{{'neg': -({_score(t)}), 'ord': {i}, 'topic': {k}}}" for i, (k, t) in enumerate(_LEX.items()))}], lambda x: x.neg < 0)) AS sc
@@ -70,9 +72,9 @@ ORACLE = {
     "inventory_grouping_sets": f"WITH {CORPUS}, g AS (SELECT 'org' AS dim, org AS value FROM corpus UNION ALL SELECT 'ccaa', ccaa FROM corpus UNION ALL SELECT 'year', CAST(year AS VARCHAR) FROM corpus) SELECT dim, value, count(*) AS n FROM g GROUP BY dim, value",
     "penalty_histogram": f"WITH {CORPUS} SELECT coalesce(printf('%.2f', penalizacion), 'no consta') AS penalty, count(*) AS n FROM corpus GROUP BY 1",
     "best_letter_ev": f"WITH {CORPUS}, per AS (SELECT penalizacion, resp, count(*) AS k, min(pos) AS p FROM corpus WHERE {V} GROUP BY 1, 2), top AS (SELECT *, sum(k) OVER (PARTITION BY penalizacion) AS n, row_number() OVER (PARTITION BY penalizacion ORDER BY k DESC, p) AS r FROM per) SELECT coalesce(printf('%.2f', penalizacion), 'no consta') AS penalty, resp AS letter, {_n('n')} AS n, round(k / n, 6) AS hit_rate, round(k / n - (1 - k / n) * coalesce(penalizacion, 0.0), 6) AS ev FROM top WHERE r = 1",
-    "negation_by_letter": f"WITH {CORPUS} SELECT CASE WHEN regexp_matches({FOLD.format('q')}, '\\b(not|no|nicht|pas|is)\\b') THEN 'negative' ELSE 'positive' END AS sign, count(*) AS n, count(*) FILTER (resp = 'A') AS n_a, count(*) FILTER (resp = 'B') AS n_b, count(*) FILTER (resp = 'C') AS n_c, count(*) FILTER (resp = 'D') AS n_d FROM corpus WHERE {V} GROUP BY 1",
-    "wildcard_presence": f"WITH {CORPUS}, w AS (SELECT len(list_filter(opts, lambda o: regexp_matches({FOLD.format('o')}, '\\b(all|none|the|los|der)\\b'))) > 0 AS h FROM corpus) SELECT count(*) AS n, count(*) FILTER (h) AS n_with, round(count(*) FILTER (h) / greatest(count(*), 1), 6) AS rate FROM w",
-    "wildcard_hit_rate": f"WITH {CORPUS}, w AS (SELECT resp, list_transform(opts, lambda o: regexp_matches({FOLD.format('o')}, '\\b(all|none|the|los|der)\\b')) AS x FROM corpus WHERE {V}), h AS (SELECT coalesce(x[instr('ABCD', resp)], false) AS hit FROM w WHERE list_contains(x, true)) SELECT count(*) AS n, count(*) FILTER (hit) AS hits, round(count(*) FILTER (hit) / greatest(count(*), 1), 6) AS rate FROM h",
+    "negation_by_letter": f"WITH {CORPUS} SELECT CASE WHEN regexp_matches({FOLD_B.format('q')}, '\\b(not|no|nicht|pas|is)\\b') THEN 'negative' ELSE 'positive' END AS sign, count(*) AS n, count(*) FILTER (resp = 'A') AS n_a, count(*) FILTER (resp = 'B') AS n_b, count(*) FILTER (resp = 'C') AS n_c, count(*) FILTER (resp = 'D') AS n_d FROM corpus WHERE {V} GROUP BY 1",
+    "wildcard_presence": f"WITH {CORPUS}, w AS (SELECT len(list_filter(opts, lambda o: regexp_matches({FOLD_B.format('o')}, '\\b(all|none|the|los|der)\\b'))) > 0 AS h FROM corpus) SELECT count(*) AS n, count(*) FILTER (h) AS n_with, round(count(*) FILTER (h) / greatest(count(*), 1), 6) AS rate FROM w",
+    "wildcard_hit_rate": f"WITH {CORPUS}, w AS (SELECT resp, list_transform(opts, lambda o: regexp_matches({FOLD_B.format('o')}, '\\b(all|none|the|los|der)\\b')) AS x FROM corpus WHERE {V}), h AS (SELECT coalesce(x[instr('ABCD', resp)], false) AS hit FROM w WHERE list_contains(x, true)) SELECT count(*) AS n, count(*) FILTER (hit) AS hits, round(count(*) FILTER (hit) / greatest(count(*), 1), 6) AS rate FROM h",
     "length_bias_stats": f"WITH {CORPUS}, w AS (SELECT length(opts[instr('ABCD', resp)])::DOUBLE AS own, list_sum(list_transform(opts, lambda o: length(o)))::DOUBLE AS total FROM corpus WHERE {V} AND len(opts) = 4), dd AS (SELECT own - (total - own) / 3 AS d FROM w) SELECT count(d) AS n, round(avg(d), 5) AS mean, round(stddev_samp(d), 5) AS sd, round(avg(d) / (stddev_samp(d) / sqrt(count(d))), 5) AS t FROM dd",
     "recurrence_topk": f"WITH {STEMS}, {KEYED}, per AS (SELECT k, count(*) AS n, arg_min(q, pos) AS q, list_sort(list(DISTINCT org || ' ' || year)) AS s FROM keyed GROUP BY k) SELECT left(q, 92) AS q, len(s) AS n_sittings, n, array_to_string(s, ', ') AS sittings FROM (SELECT * FROM per WHERE len(s) > 1 ORDER BY len(s) DESC, q LIMIT 40)",
     "recurrence_counts": f"WITH {STEMS}, {KEYED}, per AS (SELECT k, count(*) AS n, count(DISTINCT org || ' ' || year) AS s FROM keyed GROUP BY k) SELECT count(*) FILTER (s > 1) AS recurrent, count(*) FILTER (s = 1 AND n > 1) AS same_sitting, (SELECT count(*) FROM stems WHERE length(q) < 80) AS short_discarded FROM per",
@@ -96,13 +98,13 @@ ORACLE = {
     "numbering_gaps_dupes": "WITH p AS (SELECT l_orderkey, l_linenumber, count(*) AS c FROM lineitem GROUP BY 1, 2) SELECT l_orderkey, min(l_linenumber) AS low, max(l_linenumber) AS high, CAST(sum(c) AS BIGINT) AS n, CAST(max(l_linenumber) - min(l_linenumber) + 1 - count(*) AS BIGINT) AS n_gaps, count(*) FILTER (c > 1) AS n_twice FROM p GROUP BY l_orderkey",
     "number_gaps": "WITH s AS (SELECT doc_id % 8 AS g, min(doc_id) AS a, max(doc_id) AS b FROM labels GROUP BY 1), e AS (SELECT g, unnest(generate_series(a, b)) AS num FROM s) SELECT g, num FROM e WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = e.num AND l.doc_id % 8 = e.g)",
     "numbering_jumps": "SELECT l_orderkey, before, l_linenumber FROM (SELECT l_orderkey, l_linenumber, lag(l_linenumber) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) AS before FROM lineitem) WHERE l_linenumber - before > 1",
-    "rules_first_match": f"WITH f AS (SELECT doc_id, {FOLD.format('text')} AS s FROM documents) SELECT doc_id, {_RULE.format('s', chr(39) + 'law' + chr(39), chr(39) + 'place' + chr(39), chr(39) + 'person' + chr(39))} AS rule, {_RULE.format('s', 1, 2, 3)} AS topic FROM f",
+    "rules_first_match": f"WITH f AS (SELECT doc_id, {FOLD_B.format('text')} AS s FROM documents) SELECT doc_id, {_RULE.format('s', chr(39) + 'law' + chr(39), chr(39) + 'place' + chr(39), chr(39) + 'person' + chr(39))} AS rule, {_RULE.format('s', 1, 2, 3)} AS topic FROM f",
     "lexicon_score_decision": f"WITH {CLASSIFIED} SELECT id, topic, second_topic, why FROM classified",
     "classifier_eval": f"WITH {CLASSIFIED} SELECT count(*) AS total, count(*) FILTER (c.id IS NULL) AS missing, count(*) FILTER (c.topic IS NOT NULL) AS covered, count(*) FILTER (c.topic = g.topic) AS agree, count(*) FILTER (c.topic = g.topic OR c.topic = g.second) AS agree_or_second FROM gold g LEFT JOIN classified c ON g.id = c.id",
     "confusion_topk": f"WITH {CLASSIFIED} SELECT g.topic, c.topic AS p, count(*) AS n FROM gold g JOIN classified c ON g.id = c.id WHERE c.topic <> g.topic GROUP BY 1, 2 ORDER BY n DESC, 1, 2 LIMIT 8",
-    "rule_cascade": f"WITH {CORPUS}, f AS (SELECT id, {FOLD.format('q')} AS s, {FOLD.format(chr(40) + 'concat_ws(' + chr(39) + ' ' + chr(39) + ', q, array_to_string(opts, ' + chr(39) + ' ' + chr(39) + '))' + chr(41))} AS o FROM corpus) SELECT id, coalesce({_RULE.format('s', 1, 2, 3)}, {_RULE.format('o', 1, 2, 3)}) AS topic FROM f",
-    "foreign_filter": f"WITH f AS (SELECT doc_id, {FOLD.format('text')} AS s FROM documents) SELECT doc_id FROM f WHERE regexp_matches(s, '\\b(the|les|los)\\b') AND NOT regexp_matches(s, '\\b(is|est)\\b') AND regexp_matches(s, '\\b(of|de|der)\\b')",
-    "scope_evidence": f"WITH f AS (SELECT doc_id, text, {FOLD.format('text')} AS s FROM documents), m AS (SELECT *, regexp_extract(s, '\\b(with|avec|mit|con)\\b') AS w FROM f WHERE regexp_matches(s, '\\b(with|avec|mit|con)\\b')), a AS (SELECT *, length(regexp_extract(s, '(?s)^(.*?)\\b(with|avec|mit|con)\\b', 1)) + 1 AS pos FROM m) SELECT doc_id, substr(text, greatest(pos - 30, 1), pos + length(w) + 40 - greatest(pos - 30, 1)) AS evidence FROM a",
+    "rule_cascade": f"WITH {CORPUS}, f AS (SELECT id, {FOLD_B.format('q')} AS s, {FOLD_B.format(chr(40) + 'concat_ws(' + chr(39) + ' ' + chr(39) + ', q, array_to_string(opts, ' + chr(39) + ' ' + chr(39) + '))' + chr(41))} AS o FROM corpus) SELECT id, coalesce({_RULE.format('s', 1, 2, 3)}, {_RULE.format('o', 1, 2, 3)}) AS topic FROM f",
+    "foreign_filter": f"WITH f AS (SELECT doc_id, {FOLD_B.format('text')} AS s FROM documents) SELECT doc_id FROM f WHERE regexp_matches(s, '\\b(the|les|los)\\b') AND NOT regexp_matches(s, '\\b(is|est)\\b') AND regexp_matches(s, '\\b(of|de|der)\\b')",
+    "scope_evidence": f"WITH f AS (SELECT doc_id, text, {FOLD_B.format('text')} AS s FROM documents), m AS (SELECT *, regexp_extract(s, '\\b(with|avec|mit|con)\\b') AS w FROM f WHERE regexp_matches(s, '\\b(with|avec|mit|con)\\b')), a AS (SELECT *, length(regexp_extract(s, '(?s)^(.*?)\\b(with|avec|mit|con)\\b', 1)) + 1 AS pos FROM m) SELECT doc_id, substr(text, greatest(pos - 30, 1), pos + length(w) + 40 - greatest(pos - 30, 1)) AS evidence FROM a",
     "token_jaccard_pairs": f"WITH t AS (SELECT item_id, list_distinct(list_filter(string_split_regex(trim(regexp_replace({FOLD.format('text')}, '[^a-z0-9ñ ]', ' ', 'g')), ' +'), lambda x: length(x) > 2 AND x NOT IN ('the', 'and', 'for', 'los', 'las', 'der', 'die', 'das', 'les', 'des', 'que', 'con'))) AS t FROM benchmark), p AS (SELECT a.item_id AS a, b.item_id AS b, len(list_intersect(a.t, b.t)) / (len(a.t) + len(b.t) - len(list_intersect(a.t, b.t))) AS j FROM t a JOIN t b ON a.item_id < b.item_id) SELECT a, b, round(j, 6) AS jaccard FROM p WHERE j >= 0.02",
     "cosine_pairs": "WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings), p AS (SELECT a.vec_id AS a, b.vec_id AS b, 1.0 - list_dot_product(a.v, b.v) AS d FROM e a JOIN e b ON a.vec_id < b.vec_id) SELECT a, b, round(d, 4) AS distance FROM p WHERE d < 0.65",
     "threshold_sweep": "WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings), p AS (SELECT 1.0 - list_dot_product(a.v, b.v) AS d FROM e a JOIN e b ON a.vec_id < b.vec_id) SELECT t.threshold, count(*) FILTER (d < t.threshold) AS n_pairs FROM p, (VALUES (0.5::DOUBLE), (0.55::DOUBLE), (0.6::DOUBLE), (0.65::DOUBLE), (0.7::DOUBLE)) t(threshold) WHERE d < 0.7 GROUP BY 1",
