@@ -81,4 +81,4 @@ def whole_groups(df: DataFrame, group: str, ok) -> DataFrame:
 
 def hash_sample(df: DataFrame, column: str, k: int, seed: int = 1) -> DataFrame:
     """k rows in the order of a seeded hash: reruns agree."""
-    return df.orderBy(F.xxhash64(column, F.lit(seed)), column).limit(k)
+    return df.orderBy(F.md5(F.concat(F.lit(f"{seed}-"), F.col(column).cast("string")).cast("binary")), column).limit(k)

@@ -7,7 +7,6 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quizloom.functions.text import dot
 from quizloom.session import cut, ship
 
 
@@ -15,38 +14,51 @@ def jaccard_pairs(df: DataFrame, ident: str, tokens: str, least: float) -> DataF
     """(a, b, jaccard) of all pairs a < b at least so alike, without comparing all pairs.
 
     Prefix filter: with tokens ordered from rare to frequent, two sets that alike share a token
-    among the first size - ceil(least * size) + 1 of each. So only rare tokens are joined on.
+    among the first size - ceil(least * size) + 1 of each. So only rare tokens are joined on, with
+    ids and places alone; whole sets are read for the pairs that remain. An id names one set.
     """
     sets = df.select(F.col(ident).alias("id"), F.array_distinct(tokens).alias("t")).where(F.size("t") > 0)
     freq = sets.select(F.explode("t").alias("w")).groupBy("w").agg(F.count("*").alias("f"))
     ordered = sets.select("id", F.explode("t").alias("w")).join(freq, "w").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("f", "w"))).alias("o"))
     ordered = ordered.select("id", F.transform("o", lambda x: x.w).alias("t"))
     n = F.size("t")
-    keys = ordered.select("id", "t", F.explode(F.slice("t", F.lit(1), (n - F.ceil(n * least) + 1).cast("int"))).alias("w"))
+    keys = ordered.select("id", n.alias("n"), F.posexplode(F.slice("t", F.lit(1), (n - F.ceil(n * least) + 1).cast("int"))).alias("at", "w"))
     a, b = keys.alias("a"), keys.alias("b")
-    fits = (F.size("a.t") >= F.size("b.t") * least) & (F.size("b.t") >= F.size("a.t") * least)
-    pairs = a.join(b, (F.col("a.w") == F.col("b.w")) & (F.col("a.id") < F.col("b.id")) & fits)
-    common = F.size(F.array_intersect("a.t", "b.t"))
-    scored = pairs.select(F.col("a.id").alias("a"), F.col("b.id").alias("b"), (common / (F.size("a.t") + F.size("b.t") - common)).alias("jaccard"))
-    return scored.where(F.col("jaccard") >= least).distinct()
+    # From its first common token on, a pair shares at most what either set has left.
+    most = F.least(F.col("a.n") - F.col("a.at"), F.col("b.n") - F.col("b.at"))
+    fits = (F.col("a.n") >= F.col("b.n") * least) & (F.col("b.n") >= F.col("a.n") * least) & (most * (1 + least) + 1e-9 >= (F.col("a.n") + F.col("b.n")) * least)
+    pairs = a.join(b, (F.col("a.w") == F.col("b.w")) & (F.col("a.id") < F.col("b.id")) & fits).select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct()
+    pairs = pairs.join(sets.select(F.col("id").alias("a"), F.col("t").alias("ta")), "a").join(sets.select(F.col("id").alias("b"), F.col("t").alias("tb")), "b")
+    common = F.size(F.array_intersect("ta", "tb"))
+    return pairs.select("a", "b", (common / (F.size("ta") + F.size("tb") - common)).alias("jaccard")).where(F.col("jaccard") >= least)
 
 
-def cosine_pairs(df: DataFrame, ident: str, vector: str, below: float, block: int = 4096) -> DataFrame:
+def cosine_pairs(df: DataFrame, ident: str, vector: str, below: float, block: int = 2048) -> DataFrame:
     """(a, b, distance) of all pairs a < b of unit vectors with cosine distance under the bound.
 
-    Exact: rows are dealt into blocks by id hash, and each pair of blocks is one equi-join key, so
-    every pair meets once. The work grows with the square of the rows, as an exact answer's does.
+    Exact: rows are dealt into blocks by id hash, and each unordered pair of blocks is one task of
+    matrix products, so every pair meets once and only those under the bound leave the task. The
+    work grows with the square of the rows, as an exact answer's does. Null vectors, and vectors
+    of unlike lengths, are in no pair.
     """
-    n = df.count()
-    blocks = max(1, -(-n // block))
-    base = df.select(F.col(ident).alias("id"), F.col(vector).alias("v"), F.pmod(F.xxhash64(ident), F.lit(blocks)).cast("int").alias("k"))
-    every = F.sequence(F.lit(0), F.lit(blocks - 1))
-    left = base.select("id", "v", F.explode(F.transform(every, lambda x: F.struct(F.col("k").alias("i"), x.alias("j")))).alias("p"))
-    right = base.select("id", "v", F.explode(F.transform(every, lambda x: F.struct(x.alias("i"), F.col("k").alias("j")))).alias("p"))
-    a, b = left.alias("a"), right.alias("b")
-    pairs = a.join(b, (F.col("a.p") == F.col("b.p")) & (F.col("a.id") < F.col("b.id")))
-    d = 1.0 - dot(F.col("a.v"), F.col("b.v"))
-    return pairs.select(F.col("a.id").alias("a"), F.col("b.id").alias("b"), d.alias("distance")).where(F.col("distance") < below)
+    ship(df.sparkSession)
+    blocks = max(1, -(-df.count() // block))
+    own = F.pmod(F.xxhash64(ident), F.lit(blocks)).cast("int")
+    meets = F.transform(F.sequence(F.lit(0), F.lit(blocks - 1)), lambda x: F.struct(F.least("k", x).alias("i"), F.greatest("k", x).alias("j")))
+    base = df.where(F.col(vector).isNotNull()).select(F.col(ident).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"), own.alias("k"))
+    dealt = base.select("id", "v", "k", F.size("v").alias("dim"), F.explode(meets).alias("p")).select("id", "v", "k", "dim", "p.i", "p.j")
+
+    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+        i, j = int(pdf.i.iloc[0]), int(pdf.j.iloc[0])
+        ids, k, x = pdf.id.to_numpy(), pdf.k.to_numpy(), np.array(pdf.v.tolist(), np.float64).reshape(len(pdf), -1)
+        left, right = (np.flatnonzero(k == i), np.flatnonzero(k == j))
+        d = 1.0 - x[left] @ x[right].T
+        r, c = np.nonzero(d < below)
+        a, b = ids[left[r]], ids[right[c]]
+        keep = a < b if i == j else a != b
+        return pd.DataFrame({"a": np.minimum(a, b)[keep], "b": np.maximum(a, b)[keep], "distance": d[r, c][keep]})
+
+    return dealt.groupBy("i", "j", "dim").applyInPandas(one, "a long, b long, distance double")
 
 
 def linked(pairs: DataFrame) -> DataFrame:
@@ -65,23 +77,32 @@ def linked(pairs: DataFrame) -> DataFrame:
 
 
 def leaders(df: DataFrame, ident: str, tokens: str, least: float = 0.5) -> DataFrame:
-    """(id, leader): in id order a row follows the earliest leader at least so alike, else leads. Empty sets lead.
+    """(id, leader): in id order a row follows the earliest leader at least so alike, else leads. Empty and null sets lead.
 
+    Rows of equal sets are one node, that of their least id: a later copy's earliest leader is its
+    first row's, or that row. So a group of copies costs one node and no pairs within it.
     Leadership is settled by rounds: a row whose earlier like rows are all settled is settled by
     them. Nothing but pairs is compared, and no group is gathered in one task.
     """
-    pairs = cut(jaccard_pairs(df, ident, tokens, least).select("a", "b"), "alike")
-    settled = cut(df.select(F.col(ident).alias("id")).join(pairs.select(F.col("b").alias("id")).distinct(), "id", "left_anti").withColumn("leader", F.col("id")), "leaders")
-    open_ids = pairs.select(F.col("b").alias("id")).distinct()
+    rows = df.select(F.col(ident).alias("id"), F.array_sort(F.array_distinct(F.col(tokens))).alias("t")).withColumn("set", F.when(F.size("t") > 0, F.sha2(F.to_json(F.struct("t")), 256)))
+    sets = cut(rows.where("set IS NOT NULL").groupBy("set").agg(F.min("id").alias("first"), F.any_value("t").alias("t")), "sets")
+    pairs = cut(jaccard_pairs(sets, "first", "t", least).select("a", "b"), "alike")
+    settled = cut(sets.select(F.col("first").alias("id")).join(pairs.select(F.col("b").alias("id")).distinct(), "id", "left_anti").withColumn("leader", F.col("id")), "leaders")
+    parts, open_ids = [settled], pairs.select(F.col("b").alias("id")).distinct()
     while True:
         left = pairs.join(open_ids.withColumnRenamed("id", "b"), "b", "left_semi").join(settled.select(F.col("id").alias("a"), "leader"), "a", "left")
         per = left.groupBy("b").agg(F.bool_and(F.col("leader").isNotNull()).alias("ready"), F.min(F.when(F.col("leader") == F.col("a"), F.col("a"))).alias("best"), F.min(F.when(F.col("leader").isNull(), F.col("a"))).alias("waits"))
         done = per.where("ready OR (best IS NOT NULL AND best < waits)").select(F.col("b").alias("id"), F.coalesce("best", "b").alias("leader"))
         new = cut(done, "leaders")
         if new.isEmpty():
-            return settled
-        settled = cut(settled.unionByName(new), "leaders")
-        open_ids = open_ids.join(new.select("id"), "id", "left_anti")
+            break
+        parts.append(new)
+        settled = settled.unionByName(new)
+        if len(parts) % 8 == 0:  # few files at a time
+            settled = cut(settled, "leaders")
+        open_ids = cut(open_ids.join(new.select("id"), "id", "left_anti"), "open")
+    named = sets.join(settled.withColumnRenamed("id", "first"), "first").select("set", "leader")
+    return rows.join(named, "set", "left").select("id", F.coalesce("leader", "id").alias("leader"))
 
 
 def average_linkage(vectors: np.ndarray, below: float) -> np.ndarray:

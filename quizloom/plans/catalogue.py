@@ -153,13 +153,14 @@ def first_wins_dedupe(s, d):
 @query
 def collision_anti(s, d):
     docs = table(s, d, "documents").select("doc_id", "source", F.md5(tx.key("text").cast("binary")).alias("k"))
-    fresh, collided = rc.new_and_collided(docs.where("doc_id % 2 = 1"), docs.where("doc_id % 2 = 0"), "k", ["doc_id"])
+    known = table(s, d, "benchmark").select(F.md5(tx.key("text").cast("binary")).alias("k"))
+    fresh, collided = rc.new_and_collided(docs, known, "k", ["doc_id"])
     return fresh.select("doc_id", F.lit("new").alias("state")).unionByName(collided.select("doc_id", F.lit("collided").alias("state")))
 
 
 @query
 def title_category(s, d):
-    title = F.trim(F.regexp_replace(F.regexp_extract(F.substring("html", 1, 8000), r"(?is)<title[^>]*>(.*?)</title>", 1), r"\s+", " "))
+    title = F.trim(F.regexp_replace(F.regexp_extract("html", r"(?is)<title[^>]*>(.*?)</title>", 1), r"\s+", " "))
     p = table(s, d, "pages").select("page_id", tx.tidy(title).alias("title"))
     kind = F.when(F.regexp_like(F.lower("title"), F.lit("the|of")), "english").when(F.regexp_like(F.lower("title"), F.lit("der|ein")), "german").when(F.regexp_like(F.lower("title"), F.lit("les|que")), "romance").otherwise("other")
     return p.select("page_id", "title", kind.alias("category"))
@@ -183,7 +184,7 @@ def link_context_longest(s, d):
 @query
 def index_left_match(s, d):
     pages = table(s, d, "pages").select("page_id", "url")
-    index = table(s, d, "documents").where("doc_id % 2 = 0").select(F.concat(F.lit("Page-"), F.col("doc_id").cast("string"), F.lit(".html")).alias("slug"), F.col("source").alias("org"), F.col("doc_id").alias("row"))
+    index = table(s, d, "documents").select(F.concat(F.lit("Page-"), F.col("doc_id").cast("string"), F.lit(".html")).alias("slug"), F.col("source").alias("org"), F.col("doc_id").alias("row"))
     left = pages.withColumn("file", F.concat(F.lit("raw/page_"), F.col("page_id").cast("string"), F.lit(".htm")))
     return rc.lookup(left, index, tx.stem_key("file"), tx.stem_key("slug"), ["row"]).select("page_id", "slug", "org")
 
@@ -200,7 +201,7 @@ def answer_join(s, d):
 
 @query
 def answer_upsert(s, d):
-    rect = table(s, d, "documents").where("doc_id % 5 = 0").select(F.col("doc_id").alias("num"), F.when(F.col("doc_id") % 10 == 0, F.lit("D")).alias("resp"))
+    rect = table(s, d, "documents").select(F.col("doc_id").alias("num"), F.when(F.col("doc_id") % 10 == 0, F.lit("D")).alias("resp"))
     return rc.upsert(_grid(s, d), rect)
 
 
@@ -253,7 +254,7 @@ def numbering_jumps(s, d):
 
 @query
 def rules_first_match(s, d):
-    c = table(s, d, "documents").select("doc_id", tx.fold(F.left("text", F.lit(1 << 30))).alias("f"))
+    c = table(s, d, "documents").select("doc_id", tx.fold("text").alias("f"))
     r = cl.first_rule(F.col("f"), RULES)
     return c.select("doc_id", r["name"].alias("rule"), r["topic"].alias("topic"))
 

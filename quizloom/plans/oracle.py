@@ -83,13 +83,13 @@ ORACLE = {
     "quarantine_split": f"WITH {RECORDS} SELECT CASE WHEN len(fails) = 0 THEN 'clean' ELSE 'quarantine' END AS part, count(*) AS n, count(*) FILTER ({V}) AS n_verified FROM checked GROUP BY 1",
     "reason_histogram": f"WITH {RECORDS}, r AS (SELECT regexp_replace(unnest(fails), '[0-9]+', 'N', 'g') AS reason FROM checked) SELECT reason, count(*) AS n FROM r GROUP BY reason ORDER BY n DESC, reason LIMIT 6",
     "first_wins_dedupe": f"SELECT k, doc_id, source FROM (SELECT md5({KEY.format('text')}) AS k, doc_id, source, row_number() OVER (PARTITION BY md5({KEY.format('text')}) ORDER BY doc_id) AS r FROM documents) WHERE r = 1",
-    "collision_anti": f"WITH d AS (SELECT doc_id, md5({KEY.format('text')}) AS k FROM documents), n AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY doc_id) AS r FROM d WHERE doc_id % 2 = 1) SELECT doc_id, CASE WHEN r = 1 AND k NOT IN (SELECT k FROM d WHERE doc_id % 2 = 0) THEN 'new' ELSE 'collided' END AS state FROM n",
-    "title_category": f"WITH p AS (SELECT page_id, trim(regexp_replace({_TIDY.format('''trim(regexp_replace(regexp_extract(substr(html, 1, 8000), '(?is)<title[^>]*>(.*?)</title>', 1), '\\s+', ' ', 'g'))''')}, '\\s+', ' ', 'g')) AS title FROM pages) SELECT page_id, title, CASE WHEN regexp_matches(lower(title), 'the|of') THEN 'english' WHEN regexp_matches(lower(title), 'der|ein') THEN 'german' WHEN regexp_matches(lower(title), 'les|que') THEN 'romance' ELSE 'other' END AS category FROM p",
+    "collision_anti": f"WITH d AS (SELECT doc_id, md5({KEY.format('text')}) AS k FROM documents), n AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY doc_id) AS r FROM d) SELECT doc_id, CASE WHEN r = 1 AND k NOT IN (SELECT md5({KEY.format('text')}) FROM benchmark) THEN 'new' ELSE 'collided' END AS state FROM n",
+    "title_category": f"WITH p AS (SELECT page_id, trim(regexp_replace({_TIDY.format('''trim(regexp_replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '\\s+', ' ', 'g'))''')}, '\\s+', ' ', 'g')) AS title FROM pages) SELECT page_id, title, CASE WHEN regexp_matches(lower(title), 'the|of') THEN 'english' WHEN regexp_matches(lower(title), 'der|ein') THEN 'german' WHEN regexp_matches(lower(title), 'les|que') THEN 'romance' ELSE 'other' END AS category FROM p",
     "title_entities": "SELECT entity, count(*) AS n FROM (SELECT unnest(regexp_extract_all(html, '&[a-z]+;')) AS entity FROM pages) GROUP BY entity",
     "link_context_longest": """WITH a AS (SELECT page_id, unnest(regexp_extract_all(html, '<a [^>]*href="[^"]*"[^>]*>[^<]*')) AS a FROM pages), o AS (SELECT page_id, regexp_extract(a, 'href="([^"]*)"', 1) AS url, regexp_extract(a, '>([^<]*)$', 1) AS ctx FROM a) SELECT url, ctx, page_id FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY length(ctx) DESC, page_id, ctx) AS r FROM o) WHERE r = 1""",
-    "index_left_match": "SELECT p.page_id, 'Page-' || d.doc_id || '.html' AS slug, d.source AS org FROM pages p LEFT JOIN (SELECT * FROM documents WHERE doc_id % 2 = 0) d ON d.doc_id = p.page_id",
+    "index_left_match": "SELECT p.page_id, 'Page-' || d.doc_id || '.html' AS slug, d.source AS org FROM pages p LEFT JOIN documents d ON d.doc_id = p.page_id",
     "answer_join": f"WITH {GRID} SELECT d.doc_id AS num, d.source, g.resp, g.resp IS NOT NULL AS resp_verificada FROM documents d LEFT JOIN grid g ON d.doc_id = g.num",
-    "answer_upsert": f"WITH {GRID}, r AS (SELECT doc_id AS num, CASE WHEN doc_id % 10 = 0 THEN 'D' END AS resp FROM documents WHERE doc_id % 5 = 0) SELECT coalesce(g.num, r.num) AS num, coalesce(r.resp, g.resp) AS resp FROM grid g FULL JOIN r ON g.num = r.num",
+    "answer_upsert": f"WITH {GRID}, r AS (SELECT doc_id AS num, CASE WHEN doc_id % 10 = 0 THEN 'D' END AS resp FROM documents) SELECT coalesce(g.num, r.num) AS num, coalesce(r.resp, g.resp) AS resp FROM grid g FULL JOIN r ON g.num = r.num",
     "answer_gaps": "SELECT doc_id AS num FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)",
     "complete_categories": f"WITH {CORPUS}, c AS (SELECT id, concat_ws('-', org, ccaa, year) AS g, len(opts) = 4 AS four FROM corpus) SELECT id, g FROM c WHERE g IN (SELECT g FROM c GROUP BY g HAVING bool_and(four))",
     "turn_blocks": "WITH n AS (SELECT *, CAST(sum(CASE WHEN role = 'user' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn) AS BIGINT) AS block FROM conversations) SELECT conv_id, block, min(turn) AS first, count(*) AS n, CAST(sum(length(text)) + count(*) - 1 AS BIGINT) AS chars FROM n GROUP BY conv_id, block",
@@ -113,6 +113,8 @@ ORACLE = {
     "family_summary": f"WITH d AS (SELECT CAST(doc_id AS VARCHAR) AS id, md5({KEY.format('text')}) AS family, lang, source, CAST(2000 + doc_id % 25 AS INTEGER) AS year, doc_id FROM documents), t AS (SELECT family, lang, count(*) AS k, min(doc_id) AS p FROM d GROUP BY 1, 2), m AS (SELECT family, lang FROM (SELECT *, row_number() OVER (PARTITION BY family ORDER BY k DESC, p) AS r FROM t) WHERE r = 1) SELECT d.family, count(*) AS n, any_value(m.lang) AS majority, count(DISTINCT d.lang) AS n_topics, array_to_string(list_sort(list(DISTINCT source)), ',') AS orgs, count(DISTINCT source || ' ' || year) AS n_sittings, round(sum({RECENCY}), 6) AS weight, array_to_string(list_sort(list(id)), ',') AS members FROM d JOIN m ON d.family = m.family GROUP BY d.family HAVING count(*) > 1",
     "migrate_defaults": f"WITH {CORPUS} SELECT id, resp, resp IN ('A', 'B', 'C', 'D') AS resp_verificada, coalesce(CASE WHEN pos % 4 = 0 THEN conf END, 1.0::DOUBLE) AS conf, 'html' AS origen, false AS revisar, 0.0::DOUBLE AS penalizacion, false AS reserva, true AS changed FROM corpus",
     "compact_payload": f"WITH {CORPUS} SELECT id, left(q, 700) AS q, len(opts) AS n_opts, CAST(instr('ABCD', resp) - 1 AS BIGINT) AS r, nullif(ccaa, '') AS c FROM corpus WHERE resp IN ('A', 'B', 'C', 'D')",
+    "payload_json": f"WITH {CORPUS} SELECT replace(CAST(to_json({{'id': id, 'q': q, 'opts': opts, 'resp': resp}}) AS VARCHAR), '</', '<\\/') AS json FROM corpus WHERE resp IN ('A', 'B', 'C', 'D')",
+    "hash_sample": "SELECT doc_id FROM documents ORDER BY md5('1-' || doc_id), doc_id LIMIT 20",
     "union_parts": "SELECT 'documents' AS part, count(*) AS n, CAST(0 AS BIGINT) AS n_extra FROM documents UNION ALL SELECT 'benchmark', count(*), count(text) FROM benchmark",
     "set_difference": "SELECT doc_id FROM documents EXCEPT SELECT doc_id FROM labels",
     "set_intersection": "SELECT doc_id FROM documents INTERSECT SELECT doc_id FROM labels",

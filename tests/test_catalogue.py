@@ -2,8 +2,10 @@
 
 import math
 import os
+import random
 
 import duckdb
+import numpy as np
 import pytest
 
 from quizloom import schema
@@ -100,6 +102,28 @@ def test_linkage_and_leaders(spark):
     assert got == {1: 1, 2: 1, 3: 3, 4: 4, 5: 5}
 
 
+def test_leaders_by_brute_force(spark):
+    rng = random.Random(7)
+    sets = [sorted(rng.sample("abcdefgh", rng.randint(0, 4))) for _ in range(120)]
+    df = spark.createDataFrame(list(enumerate(sets)), "id long, t array<string>")
+    want, lead = {}, []
+    for i, x in enumerate(sets):
+        alike = [j for j in lead if x and sets[j] and len({*x} & {*sets[j]}) / len({*x} | {*sets[j]}) >= 0.6]
+        want[i] = min(alike, default=i)
+        lead += [i] * (want[i] == i)
+    assert {r.id: r.leader for r in sim.leaders(df, "id", "t", 0.6).collect()} == want
+
+
+def test_cosine_blocks(spark):
+    x = np.random.default_rng(3).normal(size=(90, 5))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    rows = [(i, v) for i, v in enumerate(x.tolist())] + [(90, None), (91, [1.0])]
+    got = sim.cosine_pairs(spark.createDataFrame(rows, "id long, v array<double>"), "id", "v", 0.4, block=16).collect()
+    d = 1 - x @ x.T
+    assert sorted((r.a, r.b) for r in got) == [(i, j) for i in range(90) for j in range(i + 1, 90) if d[i, j] < 0.4]
+    assert all(abs(r.distance - d[r.a, r.b]) < 1e-12 for r in got)
+
+
 def test_keys(spark):
     df = spark.createDataFrame([("Nº 1ª  Él, ¡Ñandú…!",)], "q string")
     r = df.select(tx.key("q").alias("a"), tx.key_removed("q").alias("b"), tx.fold_upper("q").alias("c")).first()
