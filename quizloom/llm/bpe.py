@@ -18,7 +18,9 @@ from __future__ import annotations
 import base64
 import hashlib
 import itertools
+import re
 import struct
+import unicodedata
 
 import numpy as np
 import pyarrow as pa
@@ -210,6 +212,25 @@ def decode_stream(ids, token: list[bytes]):
         yield b"".join(map(token.__getitem__, part))
 
 
+def latin_pattern(pattern: str) -> str | None:
+    """The pattern with classes spelled out for U+0000 to U+00FF, where re can take them; None if it has other escapes of properties."""
+    kind = lambda k: "".join(re.escape(chr(x)) for x in range(256) if unicodedata.category(chr(x))[0] == k)
+    spelled = {r"\p{L}": kind("L"), r"\p{N}": kind("N"), r"\s": r"\t-\r \x85\xa0"}
+
+    def put(m: re.Match) -> str:
+        found = m[0]
+        if found == r"\S":
+            return f"[^{spelled[chr(92) + 's']}]"
+        if found in spelled:
+            return f"[{spelled[found]}]"
+        for a, b in spelled.items():
+            found = found.replace(a, b)
+        return found
+
+    out = re.sub(r"\[[^\]]*\]|\\p\{[LN]\}|\\[sS]", put, pattern)
+    return None if re.search(r"\\[pPwWdDbBSX]", out) else out
+
+
 class Encoder:
     """Splits texts by a pattern, encodes each distinct piece once while a table of bounded size holds it."""
 
@@ -217,12 +238,22 @@ class Encoder:
         self.machine = Transducer(ranks)
         # Rust's \s is the property White_Space, without U+001C to U+001F.
         self.split = regex.compile(pattern.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\s", r"\p{White_Space}").replace(r"\S", r"[^\p{White_Space}]")).findall
+        latin = latin_pattern(pattern)
+        self.split_latin = re.compile(latin).findall if latin else self.split
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
+    def pieces(self, text: str) -> list[str]:
+        """Matches of the pattern; in a text of U+0000 to U+00FF only, by the faster of two equal machines."""
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return self.split(text)
+        return self.split_latin(text)
+
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
-        pieces = self.split(text)
+        pieces = self.pieces(text)
         known = self.known
         try:
             return b"".join(map(known.__getitem__, pieces))

@@ -103,6 +103,15 @@ def test_repeats_equal_brute_force(spark, monkeypatch):
     assert {i: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for i, r in got.items()} == want
 
 
+def test_latin_split_equals_the_general_one():
+    enc = bpe.Encoder({bytes([i]): i for i in range(256)}, queries.PATTERN)
+    rng, every = random.Random(1), "".join(map(chr, range(256)))
+    for _ in range(3000):
+        t = "".join(rng.choice(every if rng.random() < 0.5 else " \n\t'aé1²ª.\x85\xa0\x1cstlrve") for _ in range(rng.randint(0, 60)))
+        assert enc.split_latin(t) == enc.split(t) == enc.pieces(t)
+    assert bpe.latin_pattern(r"\p{Lu}+") is None
+
+
 def test_bpe_equals_tiktoken(spark, docs):
     import tiktoken
 
