@@ -14,6 +14,7 @@ from quizloom.operators import classify as cl
 from quizloom.operators import metrics as mx
 from quizloom.operators import records as rc
 from quizloom.operators import similarity as sim
+from quizloom.operators import study as st
 from quizloom.plans.oracle import ORACLE
 from quizloom.schema import Corpus, Verified
 from quizloom.session import table
@@ -423,6 +424,77 @@ def daily_event_counts(s, d):
     return daily_counts(table(s, d, "events"))
 
 
+KAPPA = {"es": 1.0, "fr": 0.75, "de": 0.25}
+
+
+def _topic(c):
+    return (c % 25 + 1).cast("int").alias("topic")
+
+
+def _syllabus(s, d):
+    n = F.col("n_nationkey")
+    return table(s, d, "nation").select((n + 1).cast("int").alias("topic"), (n % 3 + 1).cast("double").alias("prior"), (n % 5 + 1).cast("double").alias("hours"))
+
+
+def _expected(s, d):
+    counts = table(s, d, "documents").groupBy(_topic(F.length("source") + F.col("n_chars"))).agg(F.count("*").alias("n"))
+    return st.dirichlet_weights(counts, _syllabus(s, d).select("topic", "prior"), 65)
+
+
+@query
+def likelihood_weights(s, d):
+    c = corpus_view(s, d)
+    return c.groupBy("org").agg(F.count("*").alias("n"), F.round(F.sum(st.likelihood(F.col("year"), F.col("ccaa"), KAPPA)), 6).alias("weight"))
+
+
+@query
+def topic_weights_dirichlet(s, d):
+    return _expected(s, d).withColumn("expected", F.round("expected", 6))
+
+
+@query
+def study_priorities(s, d):
+    t = _expected(s, d).join(_syllabus(s, d).select("topic", "hours"), "topic")
+    return st.priorities(t, 20.0).select("topic", "rank", F.round("ratio", 6).alias("ratio"), "hours_so_far", F.round("coverage", 6).alias("coverage"), "chosen")
+
+
+@query
+def score_by_coverage(s, d):
+    t = _expected(s, d).join(_syllabus(s, d).select("topic", "hours"), "topic")
+    p = st.priorities(t, 20.0)
+    return p.select("rank", F.round(st.mark(F.col("coverage")), 6).alias("mark"), (F.col("coverage") >= st.least_coverage(40.0)).alias("passes"))
+
+
+@query
+def node_mastery(s, d):
+    per = table(s, d, "events").groupBy("user_id").agg(F.count_if(F.col("value") >= 50).alias("hits"), F.count_if(F.col("value") < 50).alias("misses"))
+    return per.select("user_id", "hits", "misses", F.round(st.mastery(F.col("hits"), F.col("misses")), 6).alias("mastery"))
+
+
+@query
+def node_selection(s, d):
+    docs, labels = table(s, d, "documents"), table(s, d, "labels")
+    j = docs.join(labels.select("doc_id", "quality"), "doc_id", "left")
+    per = j.groupBy(F.concat_ws("-", "source", "lang").alias("node")).agg(F.count_distinct(F.col("doc_id") % 25).alias("recurrence"), F.count_if(F.col("quality") == 1).alias("hits"), F.count_if(F.col("quality") == 0).alias("misses"), F.count("*").alias("n"))
+    return st.select_nodes(per.withColumn("ratio", F.lit(2.0) / (F.col("n") % 5 + 1)), 20).select("node", "recurrence", F.round("mastery", 6).alias("mastery"), "score")
+
+
+@query
+def holdout_validation(s, d):
+    c = table(s, d, "documents").select(_topic(F.length("source") + F.col("n_chars")), (2000 + F.col("doc_id") % 25).cast("int").alias("year"))
+    return st.hold_out(c, 2020, _syllabus(s, d))
+
+
+@query
+def common_share_filter(s, d):
+    return st.mostly_specific(table(s, d, "documents"), "source", F.coalesce(F.col("lang") == "fr", F.lit(False)))
+
+
+@query
+def file_quarantine(s, d):
+    return st.file_report(table(s, d, "lineitem"), "l_orderkey", "l_linenumber", F.col("l_quantity") > 49)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 

@@ -66,6 +66,16 @@ _TIDY = "{0}"
 for _a, _b in [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"), (" ", " ")]:
     _TIDY = f"replace({_TIDY}, '{_a}', '{_b}')"
 
+TOPIC = "CAST((length(source) + n_chars) % 25 + 1 AS INTEGER)"
+SYLLABUS = f"""
+syllabus AS (SELECT CAST(n_nationkey + 1 AS INTEGER) AS topic, CAST(n_nationkey % 3 + 1 AS DOUBLE) AS prior, CAST(n_nationkey % 5 + 1 AS DOUBLE) AS hours FROM nation),
+counts AS (SELECT {TOPIC} AS topic, count(*) AS n FROM documents GROUP BY 1),
+prior AS (SELECT s.topic, s.hours, coalesce(c.n, 0) AS n, s.prior / sum(s.prior) OVER () * count(*) OVER () AS a FROM syllabus s LEFT JOIN counts c ON s.topic = c.topic),
+expected AS (SELECT topic, hours, n, (n + a) / (sum(n) OVER () + sum(a) OVER ()) * 65 AS expected FROM prior),
+ranked AS (SELECT *, expected / hours AS ratio, row_number() OVER (ORDER BY expected / hours DESC, topic) AS rank FROM expected),
+priorities AS (SELECT *, sum(hours) OVER (ORDER BY rank) AS hours_so_far, sum(expected) OVER (ORDER BY rank) / sum(expected) OVER () AS coverage FROM ranked)
+"""
+
 ORACLE = {
     "letter_distribution": f"WITH {CORPUS}, v AS (SELECT resp FROM corpus WHERE {V}) SELECT l.letter, count(v.resp) AS n, round(100.0 * count(v.resp) / greatest((SELECT count(*) FROM v), 1), 4) AS pct, count(v.resp) > 0.45 * (SELECT count(*) FROM v) AS suspicious FROM (VALUES ('A'), ('B'), ('C'), ('D')) l(letter) LEFT JOIN v ON v.resp = l.letter GROUP BY l.letter",
     "inventory_by_org": f"WITH {CORPUS} SELECT org, count(*) AS n, {_n(f'count(*) FILTER (NOT {V})')} AS n_unverified, count(*) FILTER (conf < 1.0) AS n_low_conf, count(*) FILTER (reserva) AS n_reserve FROM corpus GROUP BY org",
@@ -123,4 +133,13 @@ ORACLE = {
     "grid_scan": "SELECT o_custkey, CAST(o_orderkey AS INTEGER) AS num, CASE WHEN o_orderkey % 5 = 4 THEN NULL ELSE substr('ABCD', CAST(o_orderkey % 5 + 1 AS INTEGER), 1) END AS resp FROM orders",
     "html_questions": "SELECT url AS file, CAST(CASE WHEN page_id + 1 < 1000 THEN page_id + 1 ELSE page_id END AS INTEGER) AS num, url AS q, CAST(4 AS BIGINT) AS n_opts, CAST(1 AS INTEGER) AS right_index, CAST(0 AS BIGINT) AS n_fails, CAST(CASE WHEN page_id BETWEEN 1 AND 999 THEN 1 ELSE 0 END AS BIGINT) AS n_warnings FROM pages WHERE page_id < 999",
     "daily_event_counts": "SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, event_type, count(*) AS n, round(sum(value), 4) AS value FROM events GROUP BY 1, 2",
+    "likelihood_weights": f"WITH {CORPUS} SELECT org, count(*) AS n, round(sum(exp(-0.1::DOUBLE * greatest(2026 - year, 0)) * CASE ccaa WHEN 'es' THEN 1.0::DOUBLE WHEN 'fr' THEN 0.75::DOUBLE WHEN 'de' THEN 0.25::DOUBLE ELSE 0.5::DOUBLE END), 6) AS weight FROM corpus GROUP BY org",
+    "topic_weights_dirichlet": f"WITH {SYLLABUS} SELECT topic, n, round(expected, 6) AS expected FROM expected",
+    "study_priorities": f"WITH {SYLLABUS} SELECT topic, rank, round(ratio, 6) AS ratio, hours_so_far, round(coverage, 6) AS coverage, hours_so_far <= 20 AS chosen FROM priorities",
+    "score_by_coverage": f"WITH {SYLLABUS} SELECT rank, round(80.0::DOUBLE * (coverage * 0.85::DOUBLE + (1 - coverage) * 0.25::DOUBLE), 6) AS mark, coverage >= (40 / 80.0::DOUBLE - 0.25::DOUBLE) / (0.85::DOUBLE - 0.25::DOUBLE) AS passes FROM priorities",
+    "node_mastery": "SELECT user_id, count(*) FILTER (value >= 50) AS hits, count(*) FILTER (value < 50) AS misses, round((1.0::DOUBLE + count(*) FILTER (value >= 50)) / (2 + count(*) FILTER (value >= 50) + count(*) FILTER (value < 50)), 6) AS mastery FROM events GROUP BY user_id",
+    "node_selection": "WITH p AS (SELECT concat_ws('-', source, lang) AS node, count(DISTINCT d.doc_id % 25) AS recurrence, count(*) FILTER (quality = 1) AS h, count(*) FILTER (quality = 0) AS m, count(*) AS n FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id GROUP BY 1), q AS (SELECT node, recurrence, (1.0::DOUBLE + h) / (2 + h + m) AS mastery, 2.0::DOUBLE / (n % 5 + 1) AS ratio FROM p) SELECT node, recurrence, round(mastery, 6) AS mastery, round(recurrence * (1 - mastery) * ratio, 6) AS score FROM q ORDER BY score DESC, node LIMIT 20",
+    "holdout_validation": f"WITH {SYLLABUS}, y AS (SELECT {TOPIC} AS topic, 2000 + doc_id % 25 AS year FROM documents), per AS (SELECT topic, count(*) FILTER (year <= 2020) AS fit, count(*) FILTER (year = 2021) AS met FROM y GROUP BY topic), j AS (SELECT coalesce(fit, 0) AS fit, coalesce(met, 0) AS met FROM syllabus s LEFT JOIN per ON s.topic = per.topic), k AS (SELECT fit, met, (fit + 0.5::DOUBLE) / (sum(fit) OVER () + 0.5::DOUBLE * count(*) OVER ()) * sum(met) OVER () AS predicted, sum(met) OVER () / count(*) OVER () AS uniform FROM j), o AS (SELECT CAST(sum(fit) AS BIGINT) AS n_fit, CAST(sum(met) AS BIGINT) AS n_test, round(sum(abs(predicted - met)), 6) AS error, round(sum(abs(uniform - met)), 6) AS error_uniform FROM k) SELECT *, error < error_uniform AS beats FROM o",
+    "common_share_filter": "SELECT source, count(*) AS n, round(count(*) FILTER (lang = 'fr') / count(*), 6) AS common_share, count(*) FILTER (lang = 'fr') / count(*) <= 0.25 AS kept FROM documents GROUP BY source",
+    "file_quarantine": "WITH p AS (SELECT l_orderkey, CAST(max(l_linenumber) AS BIGINT) AS expected, count(DISTINCT l_linenumber) AS extracted, count(*) FILTER (l_quantity > 49) AS n_fails FROM lineitem GROUP BY 1) SELECT *, CASE WHEN expected = extracted AND n_fails = 0 THEN 'clean' ELSE 'quarantine' END AS state FROM p",
 }

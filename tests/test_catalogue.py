@@ -7,11 +7,13 @@ import random
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from quizloom import schema
 from quizloom.functions import text as tx
 from quizloom.operators import metrics as mx
 from quizloom.operators import similarity as sim
+from quizloom.operators import study as st
 from quizloom.plans import catalogue
 from quizloom.schema import Corpus, CorpusInvalid, Verified
 from quizloom.sources import files, parsers
@@ -140,3 +142,18 @@ def test_files(spark, tmp_path):
     out = os.path.join(tmp_path, "out")
     assert files.append_new(df, out, ["id"], df.schema) == (2, 1)
     assert files.append_new(df, out, ["id"], df.schema) == (0, 3)
+
+
+def test_study_formulas(spark):
+    assert math.isclose(st.least_coverage(40.0), 0.416667, abs_tol=1e-6) and st.least_coverage(0) == 0 and st.least_coverage(80) == 1
+    df = spark.createDataFrame([(1, 0, 1.0, 2026, "a"), (None, None, 0.0, 2016, "b"), (3, 3, 0.5, 2030, None)], "h int, m int, c double, year int, r string")
+    got = df.select(st.mastery(F.col("h"), F.col("m")), st.mark(F.col("c")), st.likelihood(F.col("year"), F.col("r"), {"a": 1.0})).collect()
+    want = [(2 / 3, 68.0, 1.0), (0.5, 20.0, 0.5 * math.exp(-1)), (0.5, 44.0, 0.5)]
+    assert all(math.isclose(x, y) for a, b in zip(got, want, strict=True) for x, y in zip(a, b, strict=True))
+
+
+def test_priorities_and_files(spark):
+    t = spark.createDataFrame([(1, 2.0, 15.0), (2, 2.0, 1.0), (3, 2.0, 0.0), (4, 2.0, 1.0)], "topic int, expected double, hours double")
+    assert [(r.topic, r.chosen) for r in st.priorities(t, 1.5).orderBy("rank").collect()] == [(3, True), (2, True), (4, False), (1, False)]
+    f = spark.createDataFrame([("a", 1, False), ("a", 2, False), ("b", 1, False), ("b", 3, False), ("c", 1, True), ("d", None, False)], "file string, num int, bad boolean")
+    assert {r.file: r.state for r in st.file_report(f, "file", "num", F.col("bad")).collect()} == {"a": "clean", "b": "quarantine", "c": "quarantine", "d": "quarantine"}
