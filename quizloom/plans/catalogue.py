@@ -11,6 +11,7 @@ from quizloom import schema
 from quizloom.corpus_view import corpus_view
 from quizloom.functions import text as tx
 from quizloom.operators import classify as cl
+from quizloom.operators import metadata as md
 from quizloom.operators import metrics as mx
 from quizloom.operators import records as rc
 from quizloom.operators import similarity as sim
@@ -18,7 +19,7 @@ from quizloom.operators import study as st
 from quizloom.plans.oracle import ORACLE
 from quizloom.schema import Corpus, Verified
 from quizloom.session import table
-from quizloom.sources import files, parsers
+from quizloom.sources import files, lines, parsers
 from quizloom.streaming.ingest import daily_counts
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -424,6 +425,29 @@ def daily_event_counts(s, d):
     return daily_counts(table(s, d, "events"))
 
 
+HINTS = {"en": ["the", "with the"], "de": ["der", "nicht"], "fr": ["les", "avec "], "es": ["los", "pero "]}
+
+
+@query
+def org_title_match(s, d):
+    return table(s, d, "documents").select("doc_id", md.org_agrees(F.col("text"), F.col("lang"), HINTS).alias("agrees"))
+
+
+@query
+def date_agreement(s, d):
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    said = F.when(F.col("o_orderkey") % 3 == 0, F.date_format("o_orderdate", "yyyy")).when(F.col("o_orderkey") % 3 == 1, F.lit("1995-01-01"))
+    return table(s, d, "orders").select("o_orderkey", md.dates_agree(day, said).alias("agrees"))
+
+
+@query
+def bold_question_blocks(s, d):
+    c = table(s, d, "conversations")
+    text = F.when(F.col("role") == "user", F.concat((F.col("turn") + 1).cast("string"), F.lit(".- "), F.col("text"))).otherwise(F.concat(F.lit("a) "), F.col("text")))
+    rows = c.select(F.col("conv_id").alias("doc"), F.lit(1).alias("page"), F.col("turn").alias("line_no"), text.alias("text"), F.when(F.col("role") == "user", 1.0).otherwise(0.0).alias("bold"))
+    return lines.bold_questions(rows).select("doc", "num", "printed", F.size("opts").cast("long").alias("n_opts"), "misnumbered")
+
+
 KAPPA = {"es": 1.0, "fr": 0.75, "de": 0.25}
 
 

@@ -76,6 +76,15 @@ ranked AS (SELECT *, expected / hours AS ratio, row_number() OVER (ORDER BY expe
 priorities AS (SELECT *, sum(hours) OVER (ORDER BY rank) AS hours_so_far, sum(expected) OVER (ORDER BY rank) / sum(expected) OVER () AS coverage FROM ranked)
 """
 
+_HINTS = {"en": ["the", "with the"], "de": ["der", "nicht"], "fr": ["les", "avec "], "es": ["los", "pero "]}
+
+
+def _agrees(org: str) -> str:
+    says = lambda hs: "(" + " OR ".join(f"contains(s, '{h}')" for h in hs) + ")"
+    others = [h for k, hs in _HINTS.items() if k != org for h in hs if len(h) > 4]
+    return f"WHEN lang = '{org}' THEN CASE WHEN {says(_HINTS[org])} THEN true WHEN {says(others)} THEN false END"
+
+
 ORACLE = {
     "letter_distribution": f"WITH {CORPUS}, v AS (SELECT resp FROM corpus WHERE {V}) SELECT l.letter, count(v.resp) AS n, round(100.0 * count(v.resp) / greatest((SELECT count(*) FROM v), 1), 4) AS pct, count(v.resp) > 0.45 * (SELECT count(*) FROM v) AS suspicious FROM (VALUES ('A'), ('B'), ('C'), ('D')) l(letter) LEFT JOIN v ON v.resp = l.letter GROUP BY l.letter",
     "inventory_by_org": f"WITH {CORPUS} SELECT org, count(*) AS n, {_n(f'count(*) FILTER (NOT {V})')} AS n_unverified, count(*) FILTER (conf < 1.0) AS n_low_conf, count(*) FILTER (reserva) AS n_reserve FROM corpus GROUP BY org",
@@ -142,4 +151,6 @@ ORACLE = {
     "holdout_validation": f"WITH {SYLLABUS}, y AS (SELECT {TOPIC} AS topic, 2000 + doc_id % 25 AS year FROM documents), per AS (SELECT topic, count(*) FILTER (year <= 2020) AS fit, count(*) FILTER (year = 2021) AS met FROM y GROUP BY topic), j AS (SELECT coalesce(fit, 0) AS fit, coalesce(met, 0) AS met FROM syllabus s LEFT JOIN per ON s.topic = per.topic), k AS (SELECT fit, met, (fit + 0.5::DOUBLE) / (sum(fit) OVER () + 0.5::DOUBLE * count(*) OVER ()) * sum(met) OVER () AS predicted, sum(met) OVER () / count(*) OVER () AS uniform FROM j), o AS (SELECT CAST(sum(fit) AS BIGINT) AS n_fit, CAST(sum(met) AS BIGINT) AS n_test, round(sum(abs(predicted - met)), 6) AS error, round(sum(abs(uniform - met)), 6) AS error_uniform FROM k) SELECT *, error < error_uniform AS beats FROM o",
     "common_share_filter": "SELECT source, count(*) AS n, round(count(*) FILTER (lang = 'fr') / count(*), 6) AS common_share, count(*) FILTER (lang = 'fr') / count(*) <= 0.25 AS kept FROM documents GROUP BY source",
     "file_quarantine": "WITH p AS (SELECT l_orderkey, CAST(max(l_linenumber) AS BIGINT) AS expected, count(DISTINCT l_linenumber) AS extracted, count(*) FILTER (l_quantity > 49) AS n_fails FROM lineitem GROUP BY 1) SELECT *, CASE WHEN expected = extracted AND n_fails = 0 THEN 'clean' ELSE 'quarantine' END AS state FROM p",
+    "org_title_match": f"SELECT doc_id, CASE {' '.join(map(_agrees, _HINTS))} END AS agrees FROM (SELECT doc_id, lang, {FOLD.format('text')} AS s FROM documents)",
+    "date_agreement": "WITH o AS (SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS a, CASE o_orderkey % 3 WHEN 0 THEN strftime(o_orderdate, '%Y') WHEN 1 THEN '1995-01-01' END AS b FROM orders) SELECT o_orderkey, b IS NULL OR a = b OR contains(b, left(a, 4)) OR contains(a, left(b, 4)) AS agrees FROM o",
 }

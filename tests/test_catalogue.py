@@ -11,12 +11,14 @@ from pyspark.sql import functions as F
 
 from quizloom import schema
 from quizloom.functions import text as tx
+from quizloom.operators import metadata as md
 from quizloom.operators import metrics as mx
 from quizloom.operators import similarity as sim
 from quizloom.operators import study as st
 from quizloom.plans import catalogue
 from quizloom.schema import Corpus, CorpusInvalid, Verified
-from quizloom.sources import files, parsers
+from quizloom.sources import files, lines, parsers
+from quizloom.streaming.ingest import append_stream, daily_counts
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -157,3 +159,44 @@ def test_priorities_and_files(spark):
     assert [(r.topic, r.chosen) for r in st.priorities(t, 1.5).orderBy("rank").collect()] == [(3, True), (2, True), (4, False), (1, False)]
     f = spark.createDataFrame([("a", 1, False), ("a", 2, False), ("b", 1, False), ("b", 3, False), ("c", 1, True), ("d", None, False)], "file string, num int, bad boolean")
     assert {r.file: r.state for r in st.file_report(f, "file", "num", F.col("bad")).collect()} == {"a": "clean", "b": "quarantine", "c": "quarantine", "d": "quarantine"}
+
+
+def test_bold_questions(spark):
+    rows = [("cover", 1.0), ("1.- First stem", 0.9), ("goes on", 0.8), ("a) one", 0.0), ("more", 0.1), ("b) two", 0.0), ("26 de junio, no number", 1.0), ("7. not a question", 1.0), ("9. Third", 1.0), ("a) x", 0.0), (None, 1.0)]
+    df = spark.createDataFrame([("d", 1, i, t, b) for i, (t, b) in enumerate(rows)], "doc string, page int, line_no int, text string, bold double")
+    a, b = lines.bold_questions(df).orderBy("num").collect()
+    assert (a.q, a.opts, a.misnumbered) == ("First stem goes on 26 de junio, no number 7. not a question", ["one more", "two"], False)
+    assert (b.num, b.printed, b.q, b.opts, b.misnumbered) == (2, 9, "Third", ["x"], True)
+
+
+def test_syllabus_and_feed(spark):
+    rows = ["1. Before any section", "PARTE GENERAL", "1. First topic. Its rest", "goes  on", "12", "TEMARIO ESPECÍFICO", "stray", "2. Second: more"]
+    df = spark.createDataFrame([("d", 1, i, t) for i, t in enumerate(rows)], "doc string, page int, line_no int, text string")
+    assert sorted((r.section, r.num, r.text) for r in lines.syllabus(df).collect()) == [("general", 1, "First topic. Its rest goes on"), ("specific", 2, "Second: more")]
+    assert {r.topic: r.name for r in lines.topic_names(df).collect()} == {1: "First topic", 2: "Second"}
+    feed = '{"feed": {"entry": [{"title": {"$t": "Colección X"}, "link": [{"rel": "self", "href": "s"}, {"rel": "alternate", "href": "u"}]}, {"title": {"$t": "Other"}, "link": []}]}}'
+    assert [tuple(r) for r in lines.feed_entries(spark.createDataFrame([(feed,), ("no json",)], "value string")).collect()] == [("Colección X", "u")]
+
+
+def test_metadata(spark):
+    df = spark.createDataFrame([("SESCAM 2020", "A", "2020", "2020-05-01"), ("Osakidetza", "A", "2019", "2021"), ("nothing", "A", None, "2021"), ("x", "Z", "2020-01-02", "")], "t string, o string, i string, d string")
+    hints = {"A": ["SESCAM"], "B": ["OSAKIDETZA", "EJ"]}
+    got = df.select(md.org_agrees(F.col("t"), F.col("o"), hints), md.dates_agree(F.col("i"), F.col("d")), md.first_given(F.col("d"), F.col("i"))).collect()
+    assert [tuple(r) for r in got] == [(True, True, "2020-05-01"), (False, False, "2021"), (None, True, "2021"), (None, True, "2020-01-02")]
+    old = spark.createDataFrame([("1", "2025-01-01", "Q", {"a": "x", "c": "z"}, "b", "T9"), ("2", None, "R", {}, None, None)], "id string, fecha_examen string, enunciado string, opciones map<string,string>, respuesta_correcta string, tema string")
+    new = md.translated(old, {"org": "O"}).orderBy("id").collect()
+    assert [(r.opts, r.resp, r.tema_primario, r.org) for r in new] == [(["x", "", "z", ""], "B", 9, "O"), (["", "", "", ""], "", None, "O")]
+
+
+def test_streams_equal_tables(spark, tmp_path):
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    df = spark.createDataFrame([("a", "q"), ("b", "q"), ("b", "r")], "id string, q string")
+    df.write.json(src)
+    for _ in range(2):  # the second run finds nothing new
+        append_stream(spark, src, df.schema, out, str(tmp_path / "ckpt")).awaitTermination(60)
+    assert sorted(r.id for r in spark.read.json(out).collect()) == ["a", "b"]
+    events = spark.read.parquet(f"{SF}/events.parquet")
+    stream = spark.readStream.schema(events.schema).parquet(f"{SF}/events.parquet*")
+    q = daily_counts(stream).writeStream.format("memory").queryName("days").outputMode("complete").trigger(availableNow=True).start()
+    q.awaitTermination(60)
+    assert shown(map(tuple, spark.table("days").collect())) == shown(map(tuple, daily_counts(events).collect()))
