@@ -5,8 +5,10 @@ letters, the product of their weights DECAY ** (span - 3): gaps cost weight, so
 letters put in or left out keeps most of its likeness. A string's explicit features are those
 subsequences, coded over the letters that landmarks use. Landmarks are words and word starts
 that mark the toxic texts of the training sample. A word's likeness to a landmark is the kernel
-over the landmark's own norm, at most 1, to the power SHARP; a document sums the likenesses of
-its words, is mapped by the inverse root of the landmarks' kernel matrix, and a linear machine
+over the landmark's own norm, at most 1, to the power SHARP. If the word spells the landmark
+with letters put in, or lacks one inner letter, the kernel is instead taken of that alignment:
+the mean weight of its neighbouring pairs. Words so spelled that the sample's other texts use
+as well are left to the kernel. A document sums the likenesses of its words, is mapped by the inverse root of the landmarks' kernel matrix, and a linear machine
 with squared hinge loss and a logistic link gives its score. Every text is scored whole.
 """
 
@@ -34,6 +36,8 @@ EVIDENCE, STARTS = 12.0, (3, 4, 5, 6, 7, 8)
 #: And so many times its share among the other texts.
 ODDS = 20.0
 MAX_KNOWN, MAX_WORD = 400_000, 48
+#: An alignment has so many letters between neighbouring letters of a landmark of ALIGNED letters or more.
+ALIGNED, BETWEEN = 4, 2
 
 #: Characters that stand for letters.
 LOOKALIKES = str.maketrans("013457@$!", "oieastasi")
@@ -56,19 +60,28 @@ def words(text: str) -> Counter:
 
 
 def parts(word: str) -> list[str]:
-    """The word with punctuation taken out and look-alikes put back; if it is very long, by pieces."""
+    """The word with punctuation taken out and look-alikes put back; if it is very long, by pieces that overlap by half."""
     if not word.isalpha():
         word = _PUNCTUATION.sub("", word).strip("@$!")
         if not word.isdigit():
             word = word.translate(LOOKALIKES)
-    return [word[at : at + MAX_WORD] for at in range(0, len(word), MAX_WORD)]
+    half = MAX_WORD // 2
+    return [word[at : at + MAX_WORD] for at in range(0, max(min(len(word), 1), len(word) - half), half)]
 
 
 class Kernel:
     """Likeness of words to landmarks, and the map by the landmarks' own kernel matrix."""
 
-    def __init__(self, landmarks: list[str]):
-        self.landmarks = landmarks
+    def __init__(self, landmarks: list[str], plain: frozenset[str] = frozenset()):
+        self.landmarks, self.plain = landmarks, plain
+        self.spelled: dict[str, list[tuple[int, int, re.Pattern]]] = {}
+        self.lacking: dict[str, list[int]] = {}
+        for m, x in enumerate(landmarks):
+            if len(x) >= ALIGNED:
+                self.spelled.setdefault(x[0], []).append((m, len(x), re.compile(f".{{0,{BETWEEN}}}?".join(map(re.escape, x)))))
+            if len(x) > ALIGNED:
+                for short in {x[:i] + x[i + 1 :] for i in range(1, len(x) - 1)}:
+                    self.lacking.setdefault(short, []).append(m)
         letters = sorted({c for x in landmarks for c in "^" + x})
         self.code = {c: i + 1 for i, c in enumerate(letters)}
         self.size = len(letters) + 1
@@ -82,7 +95,7 @@ class Kernel:
         self.most = self.table.max(1)
         self.row = np.zeros(self.size**3, np.int32)  # a code with a foreign letter has row 0
         self.row[self.used] = np.arange(1, len(self.used) + 1)
-        gram = np.array(self.likeness(landmarks), np.float64)
+        gram = np.array(self.kernel(landmarks), np.float64)
         gram = (gram + gram.T) / 2
         value, vector = np.linalg.eigh(gram)
         keep = value > 1e-3
@@ -100,7 +113,28 @@ class Kernel:
                     out[k] = out.get(k, 0.0) + DECAY ** (b - 2)
         return out
 
+    def aligned(self, word: str) -> list[tuple[int, float]]:
+        """Landmarks that the word spells with letters put in or one left out, and the mean weight of a neighbouring pair.
+
+        Letters after the landmark count as put in, if others are.
+        """
+        out = [(m, DECAY) for m in self.lacking.get(word, ())]
+        for m, n, pattern in self.spelled.get(word[:1], ()):
+            if (found := pattern.match(word)) and found.end() > n:
+                out.append((m, DECAY ** ((len(word) - n) / (n - 1))))
+        return out
+
     def likeness(self, ws: list[str]) -> np.ndarray:
+        """(words, landmarks)."""
+        out = self.kernel(ws)
+        for i, w in enumerate(ws):
+            if (found := self.aligned(w)) and w not in self.plain:
+                for m, weight in found:
+                    if weight >= LEAST:
+                        out[i, m] = max(out[i, m], weight)
+        return out
+
+    def kernel(self, ws: list[str]) -> np.ndarray:
         """(words, landmarks); words of one length are worked out together."""
         out = np.zeros((len(ws), len(self.landmarks)), np.float32)
         by_length: dict[int, list[int]] = {}
@@ -213,6 +247,26 @@ def choose(candidates: list[tuple[str, int, int]]) -> list[str]:
     return out
 
 
+def _plain(sample: DataFrame, landmarks: list[str], sizes: dict[int, int]) -> frozenset[str]:
+    """Of the words that spell a landmark by an alignment, the CANDIDATES most used of those that don't tell."""
+    shared = sample.sparkSession.sparkContext.broadcast(landmarks)
+
+    def run(batches):
+        k = Kernel(shared.value)
+        for part, texts in blocks(batches):
+            toxic = part.column(part.schema.get_field_index("toxic")).to_pylist()
+            met: Counter = Counter()
+            for t, y in zip(texts, toxic, strict=True):
+                mine = {w for raw in words(t.decode("utf-8", "replace")) for w in parts(raw)}
+                met.update((w, y) for w in mine if k.aligned(w))
+            yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in met], pa.string()), pa.array([y for _, y in met], pa.int32()), pa.array(list(met.values()), pa.int64())], names=["w", "y", "n"])
+
+    found = map_arrow(sample.select("text", F.col("toxic").cast("int").alias("toxic")), run, "w string, y int, n long")
+    found = found.groupBy("w").agg(F.sum(F.when(F.col("y") == 1, F.col("n")).otherwise(0)).alias("a"), F.sum(F.when(F.col("y") == 0, F.col("n")).otherwise(0)).alias("b"))
+    odds = (F.col("a") / max(1, sizes.get(1, 0))) / ((F.col("b") + 0.5) / (sizes.get(0, 0) + 1.0))
+    return frozenset(r.w for r in found.where((F.col("b") > 0) & (odds < ODDS)).orderBy(F.desc("b"), "w").limit(CANDIDATES).collect())
+
+
 def fit_linear(x: np.ndarray, y: np.ndarray, share: float = 0.5, c: float = 100.0, steps: int = 1500) -> tuple[np.ndarray, float, float, float]:
     """Weights and bias of a machine with squared hinge loss, toxic rows weighing share in all, and slope and offset of its logistic link."""
     sign = np.where(y > 0, 1.0, -1.0)
@@ -238,17 +292,18 @@ def fit_linear(x: np.ndarray, y: np.ndarray, share: float = 0.5, c: float = 100.
     return w, b, max(slope, 0.5), offset
 
 
-def train(docs: DataFrame, labels: DataFrame) -> tuple[list[str], np.ndarray, float, float, float]:
-    """Landmarks, weights, bias, slope and offset. Without toxic rows, or any rows, nothing is toxic."""
+def train(docs: DataFrame, labels: DataFrame) -> tuple[list[str], frozenset[str], np.ndarray, float, float, float]:
+    """Landmarks, plain words, weights, bias, slope and offset. Without toxic rows, or any rows, nothing is toxic."""
     sample = _sample(docs, labels)
     landmarks = choose(_candidates(sample))
     if not landmarks:
-        return ["none"], np.zeros(1), -3.0, 1.0, 0.0
+        return ["none"], frozenset(), np.zeros(1), -3.0, 1.0, 0.0
+    plain = _plain(sample, landmarks, {r.toxic: r.n for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()})
     kernel = Kernel(landmarks)
-    shared = docs.sparkSession.sparkContext.broadcast(landmarks)
+    shared = docs.sparkSession.sparkContext.broadcast((landmarks, plain))
 
     def run(batches):
-        k = Kernel(shared.value)
+        k = Kernel(*shared.value)
         for part, texts in blocks(batches):
             xs = [x.tolist() for x in k.documents([t.decode("utf-8", "replace") for t in texts])]
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(xs, pa.list_(pa.float64()))], names=["toxic", "x"])
@@ -258,7 +313,7 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[list[str], np.ndarray, fl
     x, y = np.array([r.x for r in rows]).reshape(len(rows), kernel.root.shape[1]), np.array([r.toxic for r in rows])
     # The sample has as many rows of either label as it can; the link goes by the labels' own shares.
     sizes = {r.toxic: r.n for r in labels.where(_learnable()).groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    return landmarks, *fit_linear(x, y, sizes.get(1, 0) / max(1, sum(sizes.values())))
+    return landmarks, plain, *fit_linear(x, y, sizes.get(1, 0) / max(1, sum(sizes.values())))
 
 
 _kernels: dict[tuple, Kernel] = {}
@@ -278,12 +333,12 @@ def score_toxicity(docs: DataFrame, model: tuple, keep: bool = False) -> DataFra
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def scores(texts):
-        landmarks, w, b, slope, offset = shared.value
-        key = tuple(landmarks)
+        landmarks, plain, w, b, slope, offset = shared.value
+        key = (tuple(landmarks), plain)
         sole(_kernels)
         if key not in _kernels:
             _kernels.clear()
-            _kernels[key] = Kernel(landmarks)
+            _kernels[key] = Kernel(landmarks, plain)
         kernel = _kernels[key]
         found = kernel.documents([t.decode("utf-8", "replace") for t in texts])
         return [1 / (1 + math.exp(-min(30.0, max(-30.0, slope * (float(x @ w) + b) + offset)))) for x in found]

@@ -312,6 +312,23 @@ def test_toxicity_learns_and_tolerates(spark, docs, none):
     assert toxicity.score_toxicity(docs, toxicity.train(none, none)).where("predicted = 1").count() == 0
 
 
+def test_toxicity_of_insults_with_letters_put_in_or_left_out(spark):
+    rng = random.Random(9)
+    plain = ["tree", "house", "river", "stone", "window", "garden", "paper", "music", "moon", "market"]
+    bad = ["idiot", "moron", "trash", "clown", "loser", "stupid", "scumbag"]
+    rows = [(i, " ".join(rng.choices(plain, k=30) + (rng.choices(bad, k=1 + i % 3) if i % 4 == 0 else []))) for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.train(df, spark.createDataFrame([(i, int(i % 4 == 0)) for i, _ in rows], "doc_id long, toxic int"))
+    near = "idxiot moxron trxash clxown loxser idixoxt stuxpxid sczumzbag ixdxixoxt idot mron stpid".split()
+    texts = [f"tree {w} river stone window garden paper music" for w in near] + ["tree river stone", "moon tree moon"]
+    got = by_id(toxicity.score_toxicity(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model))
+    none = got[len(near)].score
+    assert [w for i, w in enumerate(near) if got[i].score < none + 0.05] == []
+    assert [w for i, w in enumerate(near) if not got[i].predicted] == []
+    assert not got[len(near)].predicted and not got[len(near) + 1].predicted
+    assert toxicity.parts("x" * 45 + "idiot" + "y" * 9)[1].startswith("x" * 21 + "idiot") and toxicity.parts("x" * 48) == ["x" * 48]
+
+
 def test_empty_tables(none):
     assert simhash.simhash_components(none).count() == 0
     assert suffix.remove_repeats(none).count() == 0
