@@ -31,7 +31,7 @@ _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x
 _RUN = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{20,}")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")
-_HEX_ANY = re.compile(r"(?:[0-9a-f]{2}){24,}|(?:[0-9A-F]{2}){24,}")
+_HEX_ANY = re.compile(r"(?:[0-9a-f]{2}){12,}|(?:[0-9A-F]{2}){12,}")
 _B64 = re.compile(r"[A-Za-z0-9+/_-]{24,}={0,2}")
 _JWT = re.compile(r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{4,}+\.[A-Za-z0-9_-]{4,}+")
 _PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{1,60})-----([A-Za-z0-9+/=\s]+)-----END \1-----")
@@ -103,6 +103,15 @@ def key_bytes(data: bytes | None) -> bool:
     return data is not None and (data.startswith(_OPENSSH) or der_key(data) or ssh_key(data))
 
 
+def hides_secret(data: bytes) -> bool:
+    """Whether data is UTF-8 text, of printable characters and white space, with a base span."""
+    try:
+        plain = data.decode("utf-8-sig")
+    except UnicodeDecodeError:
+        return False
+    return "".join(plain.split()).isprintable() and bool(base_spans(plain))
+
+
 def signed_header(part: str) -> bool:
     data = decode64(part)
     if not data or data[:1] != b"{":
@@ -141,14 +150,19 @@ def confirmed_spans(text: str, runs: list[tuple[int, int]]) -> list[Span]:
     for a, b in runs:
         out += [(*m.span(), "jwt") for m in _JWT.finditer(text, a, b) if signed_header(m[0].partition(".")[0])]
         for m in _HEX_ANY.finditer(text, a, b):
-            if not inside(*m.span()) and key_bytes(bytes.fromhex(m[0])):
+            if inside(*m.span()):
+                continue
+            data = bytes.fromhex(m[0])
+            if key_bytes(data):
                 out.append((*m.span(), "keyblob"))
+            elif hides_secret(data):
+                out.append((*m.span(), "encoded"))
         for m in _B64.finditer(text, a, b):
             if inside(*m.span()) or (data := decode64(m[0])) is None:
                 continue
             if key_bytes(data):
                 out.append((*m.span(), "keyblob"))
-            elif data.isascii() and (plain := data.decode()).isprintable() and base_spans(plain):
+            elif hides_secret(data):
                 out.append((*m.span(), "encoded"))
     return out
 

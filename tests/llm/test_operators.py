@@ -228,6 +228,17 @@ def test_secrets():
     assert "keyblob" in kinds(f"k {base64.b64encode(der).decode()} k") and "keyblob" in kinds(f"k {der.hex().upper()} k")
 
 
+@pytest.mark.parametrize("plain", ["password=hunter22secret\n", "# env\nUSER=bob\n\tTOKEN=abcdef123456\r\nX=1\n", "contraseña: password=hunter22", "\ufeffsecret=hunter22secret"])
+def test_encoded_secrets_with_white_space_and_accents(plain):
+    import base64
+
+    kinds = lambda t: [k for _, _, k in secrets.scan(t)[1]]
+    data = plain.encode()
+    assert kinds(f"x {base64.b64encode(data).decode()} y") == ["encoded"]
+    assert all(kinds(f"x {h} y").count("encoded") == 1 for h in (data.hex(), data.hex().upper()))  # base hex spans may be there too
+    assert kinds(f"x {base64.b64encode(b'just some words, nothing else').decode()} y") == kinds(f"x {b'just some words, nothing else'.hex().upper()} y") == []
+
+
 def test_secrets_rows(docs):
     r = by_id(secrets.find_secrets(docs))
     assert len(r) == len({i for i, _, _ in ODD}) and r[8].n_assign == 1 and r[2].base_sha256 == hashlib.sha256(b"").hexdigest()
