@@ -1,9 +1,9 @@
 """Document fingerprints by winnowing, in DataFrame functions only.
 
-A text's tokens are its words, cut into runs of at most TOKEN characters (Han characters one by
-one). Hashes of all runs of K tokens are taken; of each window of W neighbouring hashes the
-least is kept, the rightmost of equals, with its position. Two texts that share K + W - 1
-tokens in a row therefore share a kept hash.
+A text's characters are taken without white space. Hashes of all runs of K characters are taken,
+from every one on; of each window of W neighbouring hashes the least is kept, the rightmost of
+equals, with its position. Two texts that share K + W - 1 characters in a row therefore share a
+kept hash, wherever in either text they stand.
 """
 
 from __future__ import annotations
@@ -13,7 +13,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-K, W, TOKEN = 4, 4, 16
+#: Characters of a run and hashes of a window, multiples of STEP: both are put together from parts of STEP.
+K, W, STEP = 12, 8, 4
 #: Rows that a bucket of neighbours is meant to hold, and most buckets; a larger bucket spills.
 BUCKET_ROWS, MOST_BUCKETS = 2000, 16_384
 _PLACES = 1 << 31
@@ -26,20 +27,24 @@ def _let(value: Column, body) -> Column:
 
 def kept(text: Column) -> Column:
     """Kept hashes with their positions, by position: array of (32-bit hash * 2**31 + 2**31 - 1 - position)."""
-    tokens = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(rf"\p{{IsHan}}|[^\s\p{{IsHan}}]{{1,{TOKEN}}}"), F.lit(0))
+    solid = F.regexp_replace(F.coalesce(text, F.lit("")), r"\s+", "")
+    starts = lambda x, n: F.sequence(F.lit(0), F.greatest(F.size(x) - n, F.lit(0)))
 
-    def hashes(t: Column) -> Column:
-        last = F.size(t) - K
-        gram = lambda i: F.xxhash64(*[F.get(t, i + j) for j in range(K)])  # noqa: E731  beyond the end: null
-        at = F.sequence(F.lit(0), F.greatest(last, F.lit(0)))
-        packed = F.transform(at, lambda i: F.shiftrightunsigned(gram(i), 32) * F.lit(_PLACES) + (F.lit(_PLACES - 1) - i))
-        return F.when(F.size(t) == 0, F.array().cast("array<bigint>")).otherwise(packed)
+    def parts(t: Column) -> Column:
+        return F.transform(t, lambda c, i: F.xxhash64(c, *[F.get(t, i + j) for j in range(1, STEP)]))  # beyond the end: null
 
-    def least(h: Column) -> Column:
-        at = F.sequence(F.lit(1), F.greatest(F.size(h) - (W - 1), F.lit(1)))
-        return F.when(F.size(h) == 0, h).otherwise(F.array_distinct(F.transform(at, lambda i: F.array_min(F.slice(h, i, F.lit(W))))))
+    def hashes(h: Column) -> Column:
+        gram = lambda i: F.xxhash64(*[F.get(h, i + j) for j in range(0, K, STEP)])
+        return F.transform(starts(h, K), lambda i: F.shiftrightunsigned(gram(i), 32) * F.lit(_PLACES) + (F.lit(_PLACES - 1) - i))
 
-    return _let(tokens, lambda t: _let(hashes(t), least))
+    def least_parts(p: Column) -> Column:
+        return F.transform(p, lambda x, i: F.least(x, *[F.get(p, i + j) for j in range(1, STEP)]))
+
+    def least(m: Column) -> Column:
+        return F.array_distinct(F.transform(starts(m, W), lambda i: F.least(*[F.get(m, i + j) for j in range(0, W, STEP)])))
+
+    value = _let(F.split(solid, ""), lambda t: _let(parts(t), lambda h: _let(hashes(h), lambda p: _let(least_parts(p), least))))
+    return F.when(solid == "", F.array().cast("array<bigint>")).otherwise(value)
 
 
 def shown(kept: Column) -> Column:

@@ -163,6 +163,19 @@ def test_winnowing_guarantee_and_rightmost_ties(spark):
     assert [(1 << 31) - 1 - v % (1 << 31) for v in same.kept] == list(range(winnow.W - 1, grams))
 
 
+def test_unspaced_passages_are_found_at_every_offset(spark):
+    rng = random.Random(11)
+    for letters in ("กขคงจฉชซ", "あいうえお", "ABCDabcd0123+/", "😀😁😂🤣"):
+        shared = "".join(rng.choice(letters) for _ in range(19))
+        rows = [(i, "".join(rng.choice(letters) for _ in range(i)) + shared + "".join(rng.choice(letters) for _ in range(40))) for i in range(18)]
+        got = winnow.fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        sets = [{v >> 31 for v in r.kept} for r in got]
+        assert set.intersection(*sets)
+    short = winnow.fingerprints(spark.createDataFrame([(1, "abcdefg"), (2, "abcdefh"), (3, "ab c\ndefg")], "doc_id long, text string")).collect()
+    kept = {r.doc_id: r.kept for r in short}
+    assert len(kept[1]) == 1 and kept[1] == kept[3] != kept[2]
+
+
 def test_mix(spark, docs):
     rng = random.Random(4)
     rows = [(i, "w " * rng.randint(0, 50), rng.choice(["a", "b", "c", "d", None])) for i in range(3000)]
