@@ -17,6 +17,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.ipc  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -136,12 +137,22 @@ def tensor_table(tensors: np.ndarray, spans: list[tuple[float, float]]) -> pa.Ta
     return pa.table({"start_s": pa.array([a for a, _ in spans], pa.float64()), "end_s": pa.array([b for _, b in spans], pa.float64()), "log_mel": col})
 
 
+def stored(tensors: np.ndarray, spans: list[tuple[float, float]]) -> tuple[np.ndarray, list[tuple[float, float]]]:
+    """Tensors and time spans written as Arrow's fixed-shape tensors and read back."""
+    table, sink = tensor_table(tensors, spans), pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as out:
+        out.write_table(table)
+    back = pa.ipc.open_stream(sink.getvalue()).read_all()
+    shaped = back["log_mel"].combine_chunks()
+    return shaped.to_numpy_ndarray(), list(zip(back["start_s"].to_pylist(), back["end_s"].to_pylist(), strict=True))
+
+
 def summary(tensors: np.ndarray, active: list[tuple[float, float]]) -> str:
     """Frames, active spans, the mean of each band in whole decibels, and a digest of all features in tenths of a decibel."""
     flat = tensors.reshape(-1, MELS)
     rounded = np.round(flat * 2).astype("<i2")
     means = ",".join(str(int(round(float(x)))) for x in flat.mean(0, dtype=np.float64))
-    spans = ";".join(f"{a:.3f}-{b:.3f}" for a, b in active[:8])
+    spans = ";".join(f"{a:.3f}-{b:.3f}" for a, b in active)
     return f"tensors={len(tensors)}|active={len(active)}:{spans}|mel={means}|sha={hashlib.sha256(rounded.tobytes()).hexdigest()[:16]}"
 
 
@@ -161,6 +172,7 @@ def audio_features(docs: DataFrame, full: bool = False) -> DataFrame:
                 media = pack(t)
                 payload = unpack(media)
                 tensors, spans, active = extract(payload)
+                tensors, spans = stored(tensors, spans)
                 rows.append((len(t), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-TAIL:]), len(media), hashlib.sha256(media).hexdigest(), summary(tensors, active)))
                 if full:
                     extra.append((media, [a for a, _ in spans], [b for _, b in spans], [x.ravel() for x in tensors], [list(x) for x in active]))

@@ -276,6 +276,16 @@ def test_audio(docs):
     assert table["log_mel"].type.shape == [audio.TENSOR_FRAMES, audio.MELS]
 
 
+def test_audio_summary_names_every_active_span():
+    import numpy as np
+
+    x, spans = np.zeros((2, audio.TENSOR_FRAMES, audio.MELS), np.float32), [(0.0, 1.0), (1.0, 2.0)]
+    active = [(float(i), i + 0.5) for i in range(20)]
+    assert "|active=20:" + ";".join(f"{a:.3f}-{b:.3f}" for a, b in active) + "|" in audio.summary(x, active)
+    back, at = audio.stored(x + 1, spans)
+    assert (back == x + 1).all() and back.shape == x.shape and at == spans
+
+
 @pytest.mark.parametrize("head", [5, 100_000])
 def test_lm(spark, docs, head, monkeypatch):
     monkeypatch.setattr(lm, "HEAD", head)
