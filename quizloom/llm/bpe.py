@@ -7,7 +7,7 @@ holds, for every start from which the bytes read so far lead on in the vocabular
 trie node, the last token before that start, and the tokens not yet emitted on the way there.
 What all starts have in common is emitted at once, which bounds the lookahead by the longest
 token. States are made when first met and kept in a table of bounded size; beyond it the table
-is emptied and filled anew.
+is emptied and filled anew. All tables of a worker are bounded in bytes.
 
 Decoding. Token bytes are joined in chunks; an incremental UTF-8 state machine holds back the
 bytes of a character that a chunk leaves open.
@@ -21,6 +21,7 @@ import itertools
 import re
 import struct
 import unicodedata
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,11 @@ from pyspark.sql import functions as F
 
 from quizloom.llm.common import blocks, map_arrow, sole
 
-MAX_STATES, MAX_PIECES, CHUNK = 200_000, 500_000, 4096
+CHUNK = 4096
+#: States and pairs that a worker keeps, and bytes of pieces in either half of its table; about 150 MB in all.
+MAX_STATES, MAX_PAIRS, PIECE_BYTES = 200_000, 100_000, 48 << 20
+#: What a piece in the table takes beside its letters and ids.
+_ENTRY = 190
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -39,36 +44,67 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
 
+class Trie:
+    """The vocabulary by bytes, in flat arrays: nodes are numbered level by level, so node n's children have neighbouring numbers."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        words = sorted(ranks)
+        labels, first, ends = bytearray(b"\0"), array("I"), array("i")
+        level = [(0, len(words))]
+        depth = 0
+        while level:
+            below = []
+            for lo, hi in level:
+                own = lo < hi and len(words[lo]) == depth
+                ends.append(ranks[words[lo]] if own else -1)
+                first.append(len(labels))
+                at = lo + own
+                while at < hi:
+                    byte = words[at][depth]
+                    end = at + 1
+                    while end < hi and words[end][depth] == byte:
+                        end += 1
+                    labels.append(byte)
+                    below.append((at, end))
+                    at = end
+            level = below
+            depth += 1
+        first.append(len(labels))
+        self.labels, self.first, self.ends = bytes(labels), first, ends
+
+    def child(self, node: int, byte: int) -> int:
+        """The node that the byte leads to, -1 if none."""
+        return self.labels.find(byte, self.first[node], self.first[node + 1])
+
+    def leaf(self, node: int) -> bool:
+        return self.first[node] == self.first[node + 1]
+
+
 class Transducer:
-    """Encodes pieces by the ranks; a piece that is a token itself is that token."""
+    """Encodes pieces by the ranks; a piece that is a token itself is that token.
+
+    A state is kept as packed numbers: of each start its trie node, last token, and how many and
+    which tokens are not yet emitted. Transitions are one table from (state, byte) to (state, output).
+    """
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.token = [b""] * (max(ranks.values(), default=-1) + 1)
         for b, i in ranks.items():
             self.token[i] = b
-        self.edges: list[dict[int, int]] = [{}]
-        self.ends: list[int] = [-1]
-        for b, i in ranks.items():
-            at = 0
-            for x in b:
-                to = self.edges[at].get(x)
-                if to is None:
-                    to = self.edges[at][x] = len(self.edges)
-                    self.edges.append({})
-                    self.ends.append(-1)
-                at = to
-            self.ends[at] = i
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.trie = Trie(ranks)
+        self.pairs: dict[int, bool] = {}
         self.single: dict[int, bool] = {}
         self.spines: tuple[dict, dict] = ({}, {})
         self._reset()
 
     def _reset(self) -> None:
-        self.start = ((0, -1, ()),)
-        self.ids = {self.start: 0}
-        self.states = [self.start]
-        self.next: list[dict[int, tuple[int, tuple[int, ...]]]] = [{}]
+        start = array("i", (0, -1, 0)).tobytes()
+        self.ids = {start: 0}
+        self.states = [start]
+        self.outputs: list[tuple[int, ...]] = [()]
+        self.output_ids: dict[tuple[int, ...], int] = {(): 0}
+        self.next: dict[int, int] = {}
 
     def merge(self, piece: bytes) -> list[int]:
         """Tokens by merging neighbours, lowest rank first, leftmost of equals."""
@@ -83,6 +119,8 @@ class Transducer:
     def spine(self, t: int, side: int) -> list[tuple[bytes, int]]:
         """The parts of token t that lie at its end (side 1) or start (side 0) while it is merged, each with the rank that consumes it."""
         if (found := self.spines[side].get(t)) is None:
+            if len(self.spines[side]) > 4000:
+                self.spines[side].clear()
             found, b, until = [], self.token[t], 1 << 60
             while True:
                 found.append((b, until))
@@ -107,8 +145,9 @@ class Transducer:
             if (ok := self.single.get(after)) is None:
                 ok = self.single[after] = self.merge(self.token[after]) == [after]
             return ok
-        if (ok := self.pairs.get((before, after))) is None:
-            if len(self.pairs) > 400_000:
+        key = before << 32 | after
+        if (ok := self.pairs.get(key)) is None:
+            if len(self.pairs) > MAX_PAIRS:
                 self.pairs.clear()
             ok = self.fits(-1, after)
             if ok:
@@ -118,19 +157,30 @@ class Transducer:
                         r = rank(x + y)
                         if r is not None and r < x_until and r <= y_until:  # of equal ranks the left merge comes first
                             ok = False
-            self.pairs[before, after] = ok
+            self.pairs[key] = ok
         return ok
 
-    def _step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
+    def _starts(self, state: int) -> list[tuple[int, int, tuple[int, ...]]]:
+        """The state's starts: trie node, last token, tokens held."""
+        packed, out, at = array("i"), [], 0
+        packed.frombytes(self.states[state])
+        while at < len(packed):
+            n = packed[at + 2]
+            out.append((packed[at], packed[at + 1], tuple(packed[at + 3 : at + 3 + n])))
+            at += 3 + n
+        return out
+
+    def _step(self, state: int, byte: int) -> int:
+        """A transition, kept as state << 32 | output."""
         live, fresh = [], None
-        edges, ends = self.edges, self.ends
-        for node, last, held in self.states[state]:
-            to = edges[node].get(byte)
-            if to is None:
+        child, trie = self.trie.child, self.trie
+        for node, last, held in self._starts(state):
+            to = child(node, byte)
+            if to < 0:
                 continue
-            if edges[to]:
+            if not trie.leaf(to):
                 live.append((to, last, held))
-            if fresh is None and (t := ends[to]) >= 0 and self.fits(last, t):
+            if fresh is None and (t := trie.ends[to]) >= 0 and self.fits(last, t):
                 fresh = (0, t, (*held, t))
         if fresh is not None:
             live.append(fresh)
@@ -144,38 +194,37 @@ class Transducer:
                 live = [(n, t, h[1:]) for n, t, h in live]
                 continue
             break
-        key = tuple(live)
-        to = self.ids.get(key)
-        if to is None:
-            to = self.ids[key] = len(self.states)
+        key = array("i", [x for n, t, h in live for x in (n, t, len(h), *h)]).tobytes()
+        to = self.ids.setdefault(key, len(self.states))
+        if to == len(self.states):
             self.states.append(key)
-            self.next.append({})
-        self.next[state][byte] = to, emitted
-        return to, emitted
+        output = self.output_ids.setdefault(emitted, len(self.outputs))
+        if output == len(self.outputs):
+            self.outputs.append(emitted)
+        found = self.next[state << 8 | byte] = to << 32 | output
+        return found
 
     def encode(self, piece: bytes) -> list[int]:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        if len(self.states) > MAX_STATES:
-            self._reset()
         out: list[int] = []
         at, table = 0, self.next
-        for i, byte in enumerate(piece):
-            to = table[at].get(byte)
+        for byte in piece:
+            to = table.get(at << 8 | byte)
             if to is None:
-                if len(self.states) > 4 * MAX_STATES:  # within one very long piece: keep the current state only
+                if len(self.states) > MAX_STATES:  # only the current state is kept
                     now = self.states[at]
                     self._reset()
-                    self.ids[now] = at = len(self.states)
-                    self.states.append(now)
-                    self.next.append({})
+                    at = self.ids.setdefault(now, 1)
+                    if at:
+                        self.states.append(now)
                     table = self.next
                 to = self._step(at, byte)
-            at, emitted = to
-            if emitted:
-                out += emitted
-        for node, _, held in self.states[at]:
+            at = to >> 32
+            if to & 0xFFFFFFFF:
+                out += self.outputs[to & 0xFFFFFFFF]
+        for node, _, held in self._starts(at):
             if node == 0:
                 return out + list(held)
         raise ValueError("the vocabulary lacks a byte of the piece")
@@ -242,6 +291,7 @@ class Encoder:
         self.split_latin = re.compile(latin).findall if latin else self.split
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.held = 0
 
     def pieces(self, text: str) -> list[str]:
         """Matches of the pattern; in a text of U+0000 to U+00FF only, by the faster of two equal machines."""
@@ -259,8 +309,8 @@ class Encoder:
             return b"".join(map(known.__getitem__, pieces))
         except KeyError:
             pass
-        if len(known) > MAX_PIECES:  # the older half is what has not been met since the last change
-            self.older, self.known = known, {}
+        if self.held > PIECE_BYTES:  # the older half is what has not been met since the last change
+            self.older, self.known, self.held = known, {}, 0
             known = self.known
         long: dict[str, bytes] = {}
         for p in {p for p in pieces if p not in known}:
@@ -269,6 +319,7 @@ class Encoder:
                 packed = struct.pack(f"<{len(ids := self.machine.encode(p.encode()))}I", *ids)
             if len(p) <= 64:
                 known[p] = packed
+                self.held += _ENTRY + len(p) + len(packed)
             else:
                 long[p] = packed
         if long:

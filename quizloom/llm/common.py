@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 from collections.abc import Callable, Iterator
 
@@ -40,7 +41,10 @@ def map_arrow(df: DataFrame, f: Callable, schema: str, table: Callable[[], dict]
 
     def run(batches):
         sole(table() if table else {})
-        yield from f(batches)
+        try:
+            yield from f(batches)
+        finally:
+            give_back()
 
     return df.mapInArrow(run, schema)
 
@@ -50,6 +54,28 @@ def crc_mod(doc_id: Column, n: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % n
 
 
+def give_back() -> None:
+    """Returns memory that a task freed to the system: workers outlive their tasks and share an executor with others."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not this C library
+        pass
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names for columns of a step's own, none of which df has."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for n in names:
+        while n in taken:
+            n += "_"
+        taken.add(n)
+        out.append(n)
+    return out
+
+
 _tables: list[dict] = []
 
 

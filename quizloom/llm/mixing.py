@@ -19,6 +19,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quizloom.llm.common import fresh
 from quizloom.session import cut
 
 WEIGHTS = (5, 2, 1)
@@ -111,13 +112,19 @@ def mix(docs: DataFrame) -> DataFrame:
 
 
 def repeat_taken(docs: DataFrame) -> DataFrame:
-    """The rows of docs as often as the mix takes them; rows of size 0 are never taken and go."""
-    mixed = mix(docs).where("taken > 0").groupBy("doc_id", "size").agg(F.sum("taken").alias("all"), F.count("*").alias("n"))
-    times = mixed.select(F.col("doc_id").alias("__id"), F.col("size").alias("__size"), F.expr("cast(all div size as int)").alias("__times"), F.col("n").cast("int").alias("__n"))
-    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    named = docs.withColumn("__s", size).join(times, F.expr("doc_id <=> __id AND __s = __size"))
-    # Repeated ids share their copies: each row goes out the floor of its share, the rest in order.
-    order = Window.partitionBy("doc_id", "__s").orderBy("source", "text")
-    named = named.withColumn("__k", F.when(F.col("__n") == 1, F.lit(1)).otherwise(F.row_number().over(order)))
-    copies = F.expr("__times div __n + CASE WHEN __k <= __times % __n THEN 1 ELSE 0 END").cast("int")
-    return named.withColumn("__c", copies).where("__c > 0").withColumn("__i", F.explode(F.sequence(F.lit(1), F.col("__c")))).select(*docs.columns)
+    """The rows of docs as often as the mix takes them; rows of size 0 (empty and null texts) are never taken and go.
+
+    Rows of one doc_id and size share their copies: each goes out the floor of its share, the rest in
+    order of source and text. A null id is an id. Columns are those of docs, of any name and type;
+    an empty table gives no rows.
+    """
+    ident, own, size, times, n, place, copies = fresh(docs, "ident", "own", "size", "times", "n", "place", "copies")
+    mixed = mix(docs).where("taken > 0").groupBy("doc_id", "size").agg(F.sum("taken").alias("all"), F.count("*").alias("rows"))
+    taken = mixed.select(F.col("doc_id").alias(ident), F.col("size").alias(size), F.expr("cast(all div size as int)").alias(times), F.col("rows").cast("int").alias(n))
+    words = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
+    named = docs.withColumn(own, words).join(taken, F.col("doc_id").cast("long").eqNullSafe(F.col(ident)) & (F.col(own) == F.col(size)))
+    order = Window.partitionBy("doc_id", own).orderBy("source", "text")
+    named = named.withColumn(place, F.when(F.col(n) == 1, F.lit(1)).otherwise(F.row_number().over(order)))
+    each = F.floor(F.col(times) / F.col(n)).cast("int") + F.when(F.col(place) <= F.col(times) % F.col(n), 1).otherwise(0)
+    named = named.withColumn(copies, each).where(F.col(copies) > 0)
+    return named.withColumn(copies, F.explode(F.sequence(F.lit(1), F.col(copies)))).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -18,13 +18,13 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quizloom.llm.common import ASCII_LOWER, blocks, map_arrow
+from quizloom.llm.common import ASCII_LOWER, blocks, fresh, map_arrow
 from quizloom.llm.components import components
 from quizloom.session import cut
 
 WORDS, SEED, RADIUS = 3, 42, 3
 _BLOCK = 1 << 14
-#: Fingerprints that may share a half-word in one place.
+#: Fingerprints of a half-word whose variants are written out in one place.
 HOT = 4000
 
 
@@ -65,8 +65,9 @@ def links(nodes: DataFrame) -> DataFrame:
     """Links (u, v) of distinct fingerprints (column fp): each real, and enough to connect all within 3 bits.
 
     A variant is dealt by the half-word that its two flipped bits leave as it is, so all variants
-    of a fingerprint that go to one place go as one row and are written out there. A half-word
-    that very many fingerprints share is split by the variants' hashes.
+    of a fingerprint that go to one place go as one row and are written out there. Of a half-word
+    that very many fingerprints share, variants are written out first and dealt one by one: the rows
+    are as many, but spread over all places.
     """
     sides = []
     for side, (kept, flipped) in enumerate(((range(32, 64), range(32)), (range(32), range(32, 64)))):
@@ -74,22 +75,24 @@ def links(nodes: DataFrame) -> DataFrame:
         twos = [_signed(1 << i | 1 << j) for i in flipped for j in flipped if i < j]
         sides.append((side, _signed(sum(1 << i for i in kept)), [_signed(1 << i) for i in kept], ones, twos))
     counts = nodes.select("fp", F.explode(F.array(*[F.struct(F.lit(s).alias("side"), F.col("fp").bitwiseAND(F.lit(k)).alias("key")) for s, k, *_ in sides])).alias("k")).groupBy("k.side", "k.key").agg(F.count("*").alias("n"))
-    hot = counts.where(F.col("n") > HOT).select(F.col("side").alias("hs"), F.col("key").alias("hk"), F.ceil(F.col("n") / HOT).cast("int").alias("splits"))
+    hot = counts.where(F.col("n") > HOT).select(F.col("side").alias("hs"), F.col("key").alias("hk"))
     moves = F.array(*[F.struct(F.lit(s).alias("side"), F.col("fp").bitwiseXOR(F.lit(m)).bitwiseAND(F.lit(k)).alias("key"), F.lit(m).alias("move")) for s, k, keep, *_ in sides for m in (0, *keep)])
     sent = nodes.select("fp", F.explode(moves).alias("m")).select("fp", "m.side", "m.key", "m.move")
-    sent = sent.join(hot, (F.col("side") == F.col("hs")) & (F.col("key") == F.col("hk")), "left")
-    sent = sent.select("fp", "side", "key", "move", F.explode(F.sequence(F.lit(0), F.coalesce("splits", F.lit(1)) - 1)).alias("split"), F.coalesce("splits", F.lit(1)).alias("splits"))
-    there = sent.repartition("side", "key", "split")
+    sent = sent.join(hot, (F.col("side") == F.col("hs")) & (F.col("key") == F.col("hk")), "left").withColumn("is_hot", F.col("hk").isNotNull())
     masks = F.array(F.col("move"))
     for s, _, _, ones, twos in sides:
         own = F.when(F.bit_count("fp") % 2 == 0, F.lit([0, *ones, *twos])).otherwise(F.lit([0, *ones]))
         masks = F.when((F.col("move") == 0) & (F.col("side") == s), own).otherwise(masks)
-    ball = there.withColumn("mask", F.explode(masks)).withColumn("meet", F.col("fp").bitwiseXOR(F.col("mask")))
-    ball = ball.where((F.col("splits") == 1) | (F.pmod(F.xxhash64("meet"), F.col("splits")) == F.col("split")))
     near = F.when(F.bit_count("mask") <= 1, F.col("fp"))
-    met = ball.withColumn("centre", F.min(near).over(Window.partitionBy("side", "key", "split", "meet")))
     real = F.bit_count(F.col("fp").bitwiseXOR(F.col("centre"))) <= RADIUS
-    return met.where(F.col("centre").isNotNull() & (F.col("fp") != F.col("centre")) & real).select(F.col("fp").alias("u"), F.col("centre").alias("v")).distinct()
+
+    def met(rows: DataFrame) -> DataFrame:
+        ball = rows.select("fp", "side", "key", F.explode(masks).alias("mask")).withColumn("meet", F.col("fp").bitwiseXOR(F.col("mask")))
+        seen = ball.withColumn("centre", F.min(near).over(Window.partitionBy("side", "key", "meet")))
+        return seen.where(F.col("centre").isNotNull() & (F.col("fp") != F.col("centre")) & real).select(F.col("fp").alias("u"), F.col("centre").alias("v"))
+
+    few = met(sent.where("NOT is_hot").repartition("side", "key"))
+    return few.union(met(sent.where("is_hot"))).distinct()
 
 
 def simhash_components(docs: DataFrame) -> DataFrame:
@@ -111,14 +114,22 @@ def simhash_components(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One row of each component: that of its smallest doc_id, of repeated ids the one whose text hashes least.
+    """One row of each component: that of its smallest doc_id, of equal ids the one whose text hashes least.
 
-    Rows without a doc_id can't be told apart by id and stay. Columns are those of docs.
+    A component is one of fingerprints, so rows of one doc_id with unlike texts are apart. A null id
+    comes after all others. Null and empty texts are one component. Of rows equal in id and text that
+    whose columns as JSON hash least stays. Columns are those of docs, of any type and name; an empty
+    table gives no rows. Texts are shuffled once, after all copies but one of each are gone.
     """
-    named = docs.where("doc_id IS NOT NULL")
-    least = simhash_components(named).groupBy("component_id").agg(F.min("doc_id").alias("doc_id"))
-    kept = named.join(least.select("doc_id"), "doc_id", "left_semi")
-    rest = [c for c in docs.columns if c != "doc_id"]
-    row = F.struct(F.xxhash64("text").alias("__h"), *[F.col(c) for c in rest])
-    one = kept.groupBy("doc_id").agg(F.min(row).alias("__r")).select(*[F.col("doc_id") if c == "doc_id" else F.col("__r")[c].alias(c) for c in docs.columns])
-    return one.unionByName(docs.where("doc_id IS NULL"))
+    mark, text_hash = fresh(docs, "fp", "text_hash")
+    hashed = F.xxhash64(F.coalesce("text", F.lit("")))
+    fps = cut(map_arrow(docs.select(F.col("doc_id").cast("long"), "text", hashed.alias("h")), _fingerprints, "doc_id long, h long, fp long"), "fps")
+    nodes = fps.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")).alias("rep"))
+    roots = components(links(nodes.select("fp")))
+    least = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").groupBy(F.coalesce("root", "fp")).agg(F.min("rep").alias("rep"))
+    stay = least.select(F.col("rep.doc_id").alias(mark), F.col("rep.h").alias(text_hash))
+    named = docs.withColumn(text_hash, hashed)
+    kept = named.join(stay, F.col("doc_id").cast("long").eqNullSafe(stay[mark]) & (named[text_hash] == stay[text_hash]), "left_semi")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    one = kept.groupBy("doc_id", text_hash).agg(F.min_by(row, F.xxhash64(F.to_json(row))).alias(mark))
+    return one.select(*[F.col(mark)[c].alias(c) for c in docs.columns])

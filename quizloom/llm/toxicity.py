@@ -35,7 +35,7 @@ SPAN, DECAY, SHARP, LEAST = 6, 0.7, 6, 0.15
 EVIDENCE, STARTS = 12.0, (3, 4, 5, 6, 7, 8)
 #: And so many times its share among the other texts.
 ODDS = 20.0
-MAX_KNOWN, MAX_WORD = 400_000, 48
+MAX_KNOWN, MAX_WORD = 120_000, 48
 #: An alignment has so many letters between neighbouring letters of a landmark of ALIGNED letters or more.
 ALIGNED, BETWEEN = 4, 2
 
