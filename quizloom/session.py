@@ -35,12 +35,14 @@ def ship(spark: SparkSession) -> None:
 
 
 def scratch(spark: SparkSession) -> str:
-    """The shared folder of spark.checkpoint.dir; one of our own only where it is unset."""
+    """The shared folder of spark.checkpoint.dir. Where it is unset, one of our own, on a local master only."""
     sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         known = sc._jsc.sc().getCheckpointDir()
         if known.isEmpty():
+            if not sc.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
             sc.setCheckpointDir(tempfile.mkdtemp(prefix="quizloom-ckpt-"))
             known = sc._jsc.sc().getCheckpointDir()
         path = known.get()
