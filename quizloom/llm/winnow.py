@@ -1,9 +1,10 @@
 """Document fingerprints by winnowing, in DataFrame functions only.
 
-A text's characters are taken without white space. Hashes of all runs of K characters are taken,
-from every one on; of each window of W neighbouring hashes the least is kept, the rightmost of
-equals, with its position. Two texts that share K + W - 1 characters in a row therefore share a
-kept hash, wherever in either text they stand.
+A text's characters are taken without white space. Of all runs of K characters a rolling hash is
+taken: a polynomial modulo a prime, put together from those of runs of 3 and 6 characters, which
+every position shares with its neighbours, and mixed once at the end. Of each window of W
+neighbouring hashes the least is kept, the rightmost of equals, with its position. Two texts that
+share K + W - 1 characters in a row therefore share a kept hash, wherever in either text they stand.
 """
 
 from __future__ import annotations
@@ -13,11 +14,13 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Characters of a run and hashes of a window, multiples of STEP: both are put together from parts of STEP.
+#: Characters of a run (twelve: 3 * 2 * 2) and hashes of a window (eight: two parts of STEP).
 K, W, STEP = 12, 8, 4
-#: Rows that a bucket of neighbours is meant to hold, and most buckets; a larger bucket spills.
-BUCKET_ROWS, MOST_BUCKETS = 2000, 16_384
+#: Rows that a bucket of neighbours is meant to hold, and most buckets: beyond that they grow, and spill.
+BUCKET_ROWS, MOST_BUCKETS = 2000, 1 << 18
 _PLACES = 1 << 31
+#: Modulus and base of the polynomial, and what stands for characters that a text under K lacks.
+PRIME, BASE, ABSENT = (1 << 31) - 1, 1_000_003, 1 << 30
 
 
 def _let(value: Column, body) -> Column:
@@ -25,17 +28,28 @@ def _let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def solid(text: Column) -> Column:
+    return F.regexp_replace(F.coalesce(text, F.lit("")), r"\s+", "")
+
+
 def kept(text: Column) -> Column:
     """Kept hashes with their positions, by position: array of (32-bit hash * 2**31 + 2**31 - 1 - position)."""
-    solid = F.regexp_replace(F.coalesce(text, F.lit("")), r"\s+", "")
+    bare = solid(text)
     starts = lambda x, n: F.sequence(F.lit(0), F.greatest(F.size(x) - n, F.lit(0)))
+    power = lambda n: F.lit(pow(BASE, n, PRIME)).cast("long")
+
+    def codes(t: Column) -> Column:
+        return F.concat(F.transform(t, lambda c: F.hash(c).cast("long")), F.array_repeat(F.lit(ABSENT).cast("long"), F.greatest(K - F.size(t), F.lit(0))))
+
+    def threes(c: Column) -> Column:  # beyond the end: null, and never read
+        return F.transform(c, lambda x, i: (x * power(2) + F.get(c, i + 1) * power(1) + F.get(c, i + 2)) % PRIME)
 
-    def parts(t: Column) -> Column:
-        return F.transform(t, lambda c, i: F.xxhash64(c, *[F.get(t, i + j) for j in range(1, STEP)]))  # beyond the end: null
+    def sixes(h: Column) -> Column:
+        return F.transform(h, lambda x, i: (x * power(3) + F.get(h, i + 3)) % PRIME)
 
-    def hashes(h: Column) -> Column:
-        gram = lambda i: F.xxhash64(*[F.get(h, i + j) for j in range(0, K, STEP)])
-        return F.transform(starts(h, K), lambda i: F.shiftrightunsigned(gram(i), 32) * F.lit(_PLACES) + (F.lit(_PLACES - 1) - i))
+    def grams(h: Column) -> Column:
+        gram = lambda i: (F.get(h, i) * power(6) + F.get(h, i + 6)) % PRIME
+        return F.transform(starts(h, K), lambda i: F.shiftrightunsigned(F.xxhash64(gram(i)), 32) * F.lit(_PLACES) + (F.lit(_PLACES - 1) - i))
 
     def least_parts(p: Column) -> Column:
         return F.transform(p, lambda x, i: F.least(x, *[F.get(p, i + j) for j in range(1, STEP)]))
@@ -43,8 +57,40 @@ def kept(text: Column) -> Column:
     def least(m: Column) -> Column:
         return F.array_distinct(F.transform(starts(m, W), lambda i: F.least(*[F.get(m, i + j) for j in range(0, W, STEP)])))
 
-    value = _let(F.split(solid, ""), lambda t: _let(parts(t), lambda h: _let(hashes(h), lambda p: _let(least_parts(p), least))))
-    return F.when(solid == "", F.array().cast("array<bigint>")).otherwise(value)
+    steps = [codes, threes, sixes, grams, least_parts, least]
+    value = F.split(bare, "")
+    for step in steps:
+        value = _let(value, step)
+    return F.when(bare == "", F.array().cast("array<bigint>")).otherwise(value)
+
+
+def _position(v: Column) -> Column:
+    return F.lit(_PLACES - 1) - v.bitwiseAND(F.lit(_PLACES - 1))
+
+
+def kept_of_start(kept: Column, size: Column) -> Column:
+    """What winnowing keeps of the first size characters, from what it keeps of all.
+
+    An entry is kept from the window on in which it comes in as the least, or, if it is greater than
+    the entry before it, in which that one is gone. It stays if that window lies within the start.
+    """
+    before = lambda i: F.get(kept, i - 1)
+    opens = lambda v, i: F.when(i == 0, F.lit(0)).when(v < before(i), _position(v) - (W - 1)).otherwise(_position(before(i)) + 1)
+    return F.filter(kept, lambda v, i: opens(v, i) <= size - (K + W - 1))
+
+
+def kept_joined(a_kept: Column, a: Column, b_kept: Column, b: Column) -> Column:
+    """kept(a + b) for a start a of one text and a start b of another, without white space, from what is kept of these texts.
+
+    Only windows across the joint are worked out anew.
+    """
+    most = K + W - 2
+    na, nb = F.length(a), F.length(b)
+    joint = F.concat(F.right(a, F.lit(most)), F.left(b, F.lit(most)))
+    whole = na + nb <= most
+    shift = lambda k, by: F.transform(k, lambda v: v - by)
+    across = F.when(whole | (F.length(joint) > most), shift(kept(joint), na - F.least(na, F.lit(most)))).otherwise(F.array().cast("array<bigint>"))
+    return F.array_distinct(F.concat(kept_of_start(a_kept, na), across, shift(kept_of_start(b_kept, nb), na)))
 
 
 def shown(kept: Column) -> Column:
@@ -72,19 +118,23 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 def neighbours(docs: DataFrame) -> tuple[DataFrame, object]:
     """Rows of docs(doc_id, text) in buckets of ids, and the window in which a row's lead is its next document.
 
-    Bounds are quantiles of the ids. The first row of a bucket in descending order is also a guest,
-    at the end of the bucket before it (of the first bucket: of the last), so no row's next document
-    is missing and no window spans more than a bucket. Equal ids are ordered by text hash, null ids
-    come last. Only bounds and one id of each bucket, MOST_BUCKETS at most, reach the driver.
+    Bounds are quantiles of the ids; an id that fills several has a bucket of its own, split by text
+    hash, the order of its rows. The first row of a bucket in descending order is also a guest, at the
+    end of the bucket before it (of the first bucket: of the last), so no row's next document is missing
+    and no window spans more than a bucket. Null ids come last. Only bounds, and the first row's id and
+    hash of each bucket, 2 * MOST_BUCKETS at most, reach the driver; that table is joined by broadcast.
     """
+    spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.withColumn("place", F.coalesce("doc_id", F.lit(-(1 << 63))))
     n = rows.count()
-    buckets = max(1, min(MOST_BUCKETS, math.ceil(n / BUCKET_ROWS)))
+    each = max(BUCKET_ROWS, -(-n // MOST_BUCKETS))
+    buckets = max(1, -(-n // each))
     bounds = []
     if buckets > 1:
-        found = rows.select(F.percentile_approx("place", F.lit([i / buckets for i in range(1, buckets)]), F.lit(10 * buckets)).alias("q")).first().q
-        bounds = sorted(set(found))
+        found = list(rows.select(F.percentile_approx("place", F.lit([i / buckets for i in range(1, buckets)]), F.lit(10 * buckets)).alias("q")).first().q)
+        hot = {a for a, b in zip(found, found[1:], strict=False) if a == b}
+        bounds = sorted({*found, *(x + 1 for x in hot)})
     wide = max(1, math.isqrt(len(bounds)))
     chunks = [bounds[i : i + wide] for i in range(0, len(bounds), wide)]
     if chunks:
@@ -95,18 +145,26 @@ def neighbours(docs: DataFrame) -> tuple[DataFrame, object]:
     else:
         bucket = F.lit(0)
     rows = rows.withColumn("bucket", bucket.cast("int"))
-    heads = sorted((r.bucket, r.head) for r in rows.groupBy("bucket").agg(F.max("place").alias("head")).collect())
-    if heads:
-        above = [b for b, _ in heads[1:]] + [heads[0][0]]
-        guest = F.create_map(*[x for (b, _), up in zip(heads, above, strict=True) for x in (F.lit(b), F.lit(up))])
-        first = F.create_map(*[F.lit(x) for pair in heads for x in pair])
-        own = F.struct(F.col("bucket").alias("b"), F.lit(0).alias("guest"))
-        also = F.struct(guest[F.col("bucket")].alias("b"), F.lit(1).alias("guest"))
-        places = F.when(F.col("place") == first[F.col("bucket")], F.array(own, also)).otherwise(F.array(own))
+    sizes = rows.groupBy("bucket").agg(F.count("*").alias("n"), (F.min("place") == F.max("place")).alias("one")).collect()
+    splits = {r.bucket: -(-r.n // each) for r in sizes if r.one and r.n > each}
+    hashed = F.xxhash64("text")
+    if splits:
+        parts = F.coalesce(F.create_map(*[F.lit(x) for pair in splits.items() for x in pair])[F.col("bucket")], F.lit(1))
+        part = F.least(F.floor((hashed / F.lit(2.0**64) + 0.5) * parts).cast("int"), parts - 1)
     else:
-        places = F.array(F.struct(F.col("bucket").alias("b"), F.lit(0).alias("guest")))
-    rows = rows.withColumn("at", F.explode(places)).select("doc_id", "text", "place", F.col("at.b").alias("bucket"), F.col("at.guest").alias("guest"))
-    return rows, Window.partitionBy("bucket").orderBy("guest", F.desc("place"), F.xxhash64("text"))
+        part = F.lit(0)
+    rows = rows.withColumn("part", part)
+    heads = rows.groupBy("bucket", "part").agg(F.min(F.struct((-F.col("place").cast("decimal(20,0)")).alias("p"), hashed.alias("h"))).alias("head")).collect()
+    heads = sorted((-r.bucket, r.part, -int(r.head.p), r.head.h) for r in heads)  # in the order of rows
+    before = [heads[-1], *heads[:-1]] if heads else []
+    table = [(-b, p, place, h, -up[0], up[1]) for (b, p, place, h), up in zip(heads, before, strict=True)]
+    small = spark.createDataFrame(table, "bucket int, part int, first_place long, first_hash long, up_bucket int, up_part int")
+    rows = rows.join(F.broadcast(small), ["bucket", "part"])
+    own = F.struct("bucket", "part", F.lit(0).alias("guest"))
+    also = F.struct(F.col("up_bucket").alias("bucket"), F.col("up_part").alias("part"), F.lit(1).alias("guest"))
+    places = F.when((F.col("place") == F.col("first_place")) & (hashed == F.col("first_hash")), F.array(own, also)).otherwise(F.array(own))
+    rows = rows.withColumn("at", F.explode(places)).select("doc_id", "text", "place", "at.bucket", "at.part", "at.guest")
+    return rows, Window.partitionBy("bucket", "part").orderBy("guest", F.desc("place"), F.xxhash64("text"))
 
 
 def compare_edits(docs: DataFrame) -> DataFrame:
@@ -114,20 +172,23 @@ def compare_edits(docs: DataFrame) -> DataFrame:
 
     The edited text has its last floor(n_chars / 2) characters replaced by the first as many of the
     next document in descending order of doc_id (after the last: the first). Null texts count as
-    empty: no fingerprint, and like another empty one. Repeated rows are neighbours of each other.
-    Extra columns are ignored; an empty table gives no rows. Texts are shuffled once.
+    empty: no fingerprint, and like another empty one. Rows of one id are neighbours of each other,
+    by text hash. Extra columns are ignored; an empty table gives no rows. Texts are shuffled once,
+    and each is hashed once: the edited text's fingerprint is put together from those of its parts.
     """
     rows, order = neighbours(docs)
-    rows = rows.withColumn("next", F.lead("text").over(order))
-    rows = rows.withColumn("kept", kept(F.col("text"))).withColumn("next_kept", F.lead("kept").over(order)).where("guest = 0")
+    rows = rows.withColumn("kept", kept(F.col("text")))
+    rows = rows.withColumns({"next": F.lead("text").over(order), "next_kept": F.lead("kept").over(order)}).where("guest = 0")
     half = F.floor(F.length("text") / 2).cast("int")
-    edited = F.concat(F.left("text", F.length("text") - half), F.left(F.coalesce("next", F.lit("")), half))
-    rows = rows.withColumn("edited", edited).withColumn("edited_kept", kept(F.col("edited")))
+    start, end = F.left("text", F.length("text") - half), F.left(F.coalesce("next", F.lit("")), half)
+    edited_kept = kept_joined(F.col("kept"), F.col("a"), F.coalesce("next_kept", F.array().cast("array<bigint>")), F.col("b"))
+    rows = rows.select("*", F.sha2(F.concat(start, end).cast("binary"), 256).alias("edited_sha256"), solid(start).alias("a"), solid(end).alias("b"))
+    rows = rows.withColumn("edited_kept", edited_kept)
     mine = hash_set(F.col("kept"))
     return rows.select(
         "doc_id",
         F.length("text").cast("long").alias("n_chars"),
-        F.sha2("edited", 256).alias("edited_sha256"),
+        "edited_sha256",
         shown(F.col("kept")).alias("fingerprint"),
         shown(F.col("edited_kept")).alias("edited_fingerprint"),
         likeness(mine, hash_set(F.col("edited_kept"))).alias("near_edited"),

@@ -151,6 +151,54 @@ def test_fingerprints_of_edits(spark, docs):
     assert winnow.compare_edits(docs).count() == len(ODD)
 
 
+def brute_kept(text):
+    """(position, hash) by sliding windows over rolling hashes of runs; hashes as the operator mixes them."""
+    t = re.sub(r"[ \t\n\x0b\f\r]+", "", text or "")
+    return [t[i : i + winnow.K] for i in range(max(1, len(t) - winnow.K + 1))] if t else []
+
+
+def test_winnowing_equals_brute_force(spark, monkeypatch):
+    """Kept positions are the rightmost least of each window, edited texts' fingerprints those of the texts themselves, likenesses those of sets."""
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(winnow, "BUCKET_ROWS", 7)
+    rng = random.Random(12)
+    texts = ["".join(rng.choice(("ab \n", "abcdefgh é中😀\t", "x"))[0 if rng.random() < 0.1 else -1] if rng.random() < 0.05 else rng.choice("abcd é中😀 ") for _ in range(rng.choice((0, 1, 3, 11, 12, 18, 19, 20, 25, 40, 200)))) for _ in range(90)]
+    texts += ["a" * 60, "ab" * 40, " " * 30, None, "a" * 60]
+    rows = [(i if i % 9 else 5, t) for i, t in enumerate(texts)] + [(None, "null id " * 9)] * 3 + [(None, t) for t in texts[:20]]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    grams = {g for t in texts for g in brute_kept(t)}
+    hashed = dict(spark.createDataFrame([(g,) for g in grams], "g string").select("g", (F.shiftright(F.get(winnow.kept(F.col("g")), F.lit(0)), 31)).alias("h")).collect())
+    for t in texts:
+        mine = brute_kept(t)
+        got = spark.createDataFrame([(t,)], "text string").select(winnow.kept(F.col("text")).alias("k")).first().k if len(mine) in (1, 8, 9, 40) else None
+        if got is not None:
+            values = [(hashed[g], -i) for i, g in enumerate(mine)]
+            want = sorted({-min(values[i : i + winnow.W])[1] for i in range(max(1, len(values) - winnow.W + 1))})
+            assert [(1 << 31) - 1 - v % (1 << 31) for v in got] == want
+    got = winnow.compare_edits(df)
+    assert got.count() == len(rows)
+    full = df.select(F.col("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
+    order = sorted(full.collect(), key=lambda r: (r.doc_id is None, -(r.doc_id or 0), r.h))
+    parts = []
+    for k, r in enumerate(order):
+        half, nxt = len(r.text) // 2, order[(k + 1) % len(order)].text
+        parts.append((r.doc_id, r.text, r.text[: len(r.text) - half] + nxt[:half], nxt))
+    direct = spark.createDataFrame(parts, "doc_id long, text string, edited string, nxt string").select("doc_id", "edited", *[winnow.kept(F.col(c)).alias(a) for c, a in (("text", "k"), ("edited", "e"), ("nxt", "x"))])
+    direct = direct.select("doc_id", F.sha2("edited", 256).alias("sha"), winnow.shown(F.col("k")).alias("f"), winnow.shown(F.col("e")).alias("ef"), "k", "e", "x").collect()
+    like = lambda a, b: 1.0 if not a | b else len(a & b) / len(a | b)
+    hs = lambda k: {v >> 31 for v in k}
+    want = sorted((str(r.doc_id), r.sha, r.f, r.ef, round(like(hs(r.k), hs(r.e)), 9), round(like(hs(r.k), hs(r.x)), 9)) for r in direct)
+    assert sorted((str(r.doc_id), r.edited_sha256, r.fingerprint, r.edited_fingerprint, round(r.near_edited, 9), round(r.near_next, 9)) for r in got.collect()) == want
+
+
+def test_one_character_in_front_changes_few_hashes(spark):
+    rng = random.Random(13)
+    kana = "".join(rng.choice("あいうえおかきくけこ") for _ in range(4000))
+    a, b = ({v >> 31 for v in r.kept} for r in winnow.fingerprints(spark.createDataFrame([(1, kana), (2, "ん" + kana)], "doc_id long, text string")).orderBy("doc_id").collect())
+    assert len(a & b) >= 0.9 * len(a)
+
+
 def test_winnowing_guarantee_and_rightmost_ties(spark):
     rng = random.Random(2)
     shared = " ".join(f"w{rng.randint(0, 50)}" for _ in range(winnow.K + winnow.W - 1))
