@@ -82,21 +82,24 @@ def kept_of_start(kept: Column, size: Column) -> Column:
 def kept_joined(a_kept: Column, a: Column, b_kept: Column, b: Column) -> Column:
     """kept(a + b) for a start a of one text and a start b of another, without white space, from what is kept of these texts.
 
-    Only windows across the joint are worked out anew.
+    Only windows across the joint are worked out anew. Lengths are taken once, not for each entry.
     """
     most = K + W - 2
-    na, nb = F.length(a), F.length(b)
+    none = F.array().cast("array<bigint>")
+
+    def put(x: Column) -> Column:
+        na, nb = x["na"], x["nb"]
+        shift = lambda k, by: F.transform(k, lambda v: v - by)
+        across = F.when((na + nb <= most) | (F.length(x["joint"]) > most), shift(kept(x["joint"]), na - F.least(na, F.lit(most)))).otherwise(none)
+        return F.array_distinct(F.concat(kept_of_start(a_kept, na), across, shift(kept_of_start(b_kept, nb), na)))
+
     joint = F.concat(F.right(a, F.lit(most)), F.left(b, F.lit(most)))
-    whole = na + nb <= most
-    shift = lambda k, by: F.transform(k, lambda v: v - by)
-    across = F.when(whole | (F.length(joint) > most), shift(kept(joint), na - F.least(na, F.lit(most)))).otherwise(F.array().cast("array<bigint>"))
-    return F.array_distinct(F.concat(kept_of_start(a_kept, na), across, shift(kept_of_start(b_kept, nb), na)))
+    return _let(F.struct(F.length(a).alias("na"), F.length(b).alias("nb"), joint.alias("joint")), put)
 
 
 def shown(kept: Column) -> Column:
-    """position:hash of each kept hash, comma-joined."""
-    one = lambda v: F.concat((F.lit(_PLACES - 1) - v % _PLACES).cast("string"), F.lit(":"), F.lower(F.hex(F.shiftright(v, 31))))
-    return F.array_join(F.transform(kept, one), ",")
+    """The entries by position, comma-joined: each hash * 2**31 + 2**31 - 1 - position."""
+    return F.array_join(kept.cast("array<string>"), ",")
 
 
 def hash_set(kept: Column) -> Column:
@@ -177,7 +180,7 @@ def compare_edits(docs: DataFrame) -> DataFrame:
     and each is hashed once: the edited text's fingerprint is put together from those of its parts.
     """
     rows, order = neighbours(docs)
-    rows = rows.withColumn("kept", kept(F.col("text")))
+    rows = rows.repartition("bucket", "part").withColumn("kept", kept(F.col("text")))  # only texts are shuffled
     rows = rows.withColumns({"next": F.lead("text").over(order), "next_kept": F.lead("kept").over(order)}).where("guest = 0")
     half = F.floor(F.length("text") / 2).cast("int")
     start, end = F.left("text", F.length("text") - half), F.left(F.coalesce("next", F.lit("")), half)
