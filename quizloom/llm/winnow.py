@@ -124,10 +124,9 @@ def neighbours(docs: DataFrame) -> tuple[DataFrame, object]:
     Bounds are quantiles of the ids; an id that fills several has a bucket of its own, split by text
     hash, the order of its rows. The first row of a bucket in descending order is also a guest, at the
     end of the bucket before it (of the first bucket: of the last), so no row's next document is missing
-    and no window spans more than a bucket. Null ids come last. Only bounds, and the first row's id and
-    hash of each bucket, 2 * MOST_BUCKETS at most, reach the driver; that table is joined by broadcast.
+    and no window spans more than a bucket. Null ids come last. Only bounds and sizes of
+    buckets reach the driver; the table of first rows, 2 * MOST_BUCKETS at most, is joined by broadcast.
     """
-    spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.withColumn("place", F.coalesce("doc_id", F.lit(-(1 << 63))))
     n = rows.count()
@@ -157,16 +156,18 @@ def neighbours(docs: DataFrame) -> tuple[DataFrame, object]:
     else:
         part = F.lit(0)
     rows = rows.withColumn("part", part)
-    heads = rows.groupBy("bucket", "part").agg(F.min(F.struct((-F.col("place").cast("decimal(20,0)")).alias("p"), hashed.alias("h"))).alias("head")).collect()
-    heads = sorted((-r.bucket, r.part, -int(r.head.p), r.head.h) for r in heads)  # in the order of rows
-    before = [heads[-1], *heads[:-1]] if heads else []
-    table = [(-b, p, place, h, -up[0], up[1]) for (b, p, place, h), up in zip(heads, before, strict=True)]
-    small = spark.createDataFrame(table, "bucket int, part int, first_place long, first_hash long, up_bucket int, up_part int")
+    least = F.struct((-F.col("place").cast("decimal(20,0)")).alias("p"), F.col("place").alias("place"), hashed.alias("hash"))
+    heads = rows.groupBy("bucket", "part").agg(F.min(least).alias("head"))
+    row_order = Window.orderBy(F.desc("bucket"), "part")  # over that small table
+    whole = row_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    up = lambda c: F.coalesce(F.lag(c).over(row_order), F.last(c).over(whole)).alias(f"up_{c}")
+    small = heads.select("bucket", "part", F.col("head.place").alias("first_place"), F.col("head.hash").alias("first_hash"), up("bucket"), up("part"))
     rows = rows.join(F.broadcast(small), ["bucket", "part"])
     own = F.struct("bucket", "part", F.lit(0).alias("guest"))
     also = F.struct(F.col("up_bucket").alias("bucket"), F.col("up_part").alias("part"), F.lit(1).alias("guest"))
     places = F.when((F.col("place") == F.col("first_place")) & (hashed == F.col("first_hash")), F.array(own, also)).otherwise(F.array(own))
     rows = rows.withColumn("at", F.explode(places)).select("doc_id", "text", "place", "at.bucket", "at.part", "at.guest")
+    rows = rows.repartition(min(1 << 15, max(1, len(sizes) + sum(splits.values()))), "bucket", "part")
     return rows, Window.partitionBy("bucket", "part").orderBy("guest", F.desc("place"), F.xxhash64("text"))
 
 
@@ -180,7 +181,7 @@ def compare_edits(docs: DataFrame) -> DataFrame:
     and each is hashed once: the edited text's fingerprint is put together from those of its parts.
     """
     rows, order = neighbours(docs)
-    rows = rows.repartition("bucket", "part").withColumn("kept", kept(F.col("text")))  # only texts are shuffled
+    rows = rows.withColumn("kept", kept(F.col("text")))  # only texts are shuffled
     rows = rows.withColumns({"next": F.lead("text").over(order), "next_kept": F.lead("kept").over(order)}).where("guest = 0")
     half = F.floor(F.length("text") / 2).cast("int")
     start, end = F.left("text", F.length("text") - half), F.left(F.coalesce("next", F.lit("")), half)
