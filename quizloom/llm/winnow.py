@@ -1,8 +1,9 @@
 """Document fingerprints by winnowing, in DataFrame functions only.
 
 A text's characters are taken without white space. Of all runs of K characters a rolling hash is
-taken: a polynomial modulo a prime, put together from those of runs of 3 and 6 characters, which
-every position shares with its neighbours, and mixed once at the end. Of each window of W
+taken: a polynomial over bits (a character's code shifted by its distance from the run's end, all
+added without carry), put together from those of runs of 3 and 6 characters, which every position
+shares with its neighbours, and mixed once at the end. Of each window of W
 neighbouring hashes the least is kept, the rightmost of equals, with its position. Two texts that
 share K + W - 1 characters in a row therefore share a kept hash, wherever in either text they stand.
 """
@@ -19,8 +20,8 @@ K, W, STEP = 12, 8, 4
 #: Rows that a bucket of neighbours is meant to hold, and most buckets: beyond that they grow, and spill.
 BUCKET_ROWS, MOST_BUCKETS = 2000, 1 << 18
 _PLACES = 1 << 31
-#: Modulus and base of the polynomial, and what stands for characters that a text under K lacks.
-PRIME, BASE, ABSENT = (1 << 31) - 1, 1_000_003, 1 << 30
+#: The 32 bits of a hash within an entry, and what stands for characters that a text under K lacks.
+_HASH, ABSENT = ((1 << 32) - 1) << 31, 1 << 32
 
 
 def _let(value: Column, body) -> Column:
@@ -34,32 +35,35 @@ def solid(text: Column) -> Column:
 
 def kept(text: Column) -> Column:
     """Kept hashes with their positions, by position: array of (32-bit hash * 2**31 + 2**31 - 1 - position)."""
-    bare = solid(text)
-    starts = lambda x, n: F.sequence(F.lit(0), F.greatest(F.size(x) - n, F.lit(0)))
-    power = lambda n: F.lit(pow(BASE, n, PRIME)).cast("long")
+    return kept_of(solid(text))
+
+
+def kept_of(bare: Column) -> Column:
+    """kept() of a text without white space."""
+    long = lambda n: F.lit(n).cast("long")
+    first = lambda x, n: F.slice(x, F.lit(1), F.greatest(F.size(x) - n, F.lit(1)))
 
     def codes(t: Column) -> Column:
-        return F.concat(F.transform(t, lambda c: F.hash(c).cast("long")), F.array_repeat(F.lit(ABSENT).cast("long"), F.greatest(K - F.size(t), F.lit(0))))
+        return F.concat(F.transform(t, lambda c: F.hash(c).cast("long")), F.array_repeat(long(ABSENT), F.greatest(K - F.size(t), F.lit(0))))
 
     def threes(c: Column) -> Column:  # beyond the end: null, and never read
-        return F.transform(c, lambda x, i: (x * power(2) + F.get(c, i + 1) * power(1) + F.get(c, i + 2)) % PRIME)
+        return F.transform(c, lambda x, i: F.shiftleft(x, 2).bitwiseXOR(F.shiftleft(F.get(c, i + 1), 1)).bitwiseXOR(F.get(c, i + 2)))
 
     def sixes(h: Column) -> Column:
-        return F.transform(h, lambda x, i: (x * power(3) + F.get(h, i + 3)) % PRIME)
+        return F.transform(h, lambda x, i: F.shiftleft(x, 3).bitwiseXOR(F.get(h, i + 3)))
 
     def grams(h: Column) -> Column:
-        gram = lambda i: (F.get(h, i) * power(6) + F.get(h, i + 6)) % PRIME
-        return F.transform(starts(h, K), lambda i: F.shiftrightunsigned(F.xxhash64(gram(i)), 32) * F.lit(_PLACES) + (F.lit(_PLACES - 1) - i))
+        gram = lambda x, i: F.shiftleft(x, 6).bitwiseXOR(F.get(h, i + 6))
+        return F.transform(first(h, K - 1), lambda x, i: F.xxhash64(gram(x, i)).bitwiseAND(long(_HASH)) + (long(_PLACES - 1) - i))
 
     def least_parts(p: Column) -> Column:
         return F.transform(p, lambda x, i: F.least(x, *[F.get(p, i + j) for j in range(1, STEP)]))
 
     def least(m: Column) -> Column:
-        return F.array_distinct(F.transform(starts(m, W), lambda i: F.least(*[F.get(m, i + j) for j in range(0, W, STEP)])))
+        return F.array_distinct(F.transform(first(m, W - 1), lambda x, i: F.least(x, *[F.get(m, i + j) for j in range(STEP, W, STEP)])))
 
-    steps = [codes, threes, sixes, grams, least_parts, least]
     value = F.split(bare, "")
-    for step in steps:
+    for step in (codes, threes, sixes, grams, least_parts, least):
         value = _let(value, step)
     return F.when(bare == "", F.array().cast("array<bigint>")).otherwise(value)
 
@@ -72,11 +76,20 @@ def kept_of_start(kept: Column, size: Column) -> Column:
     """What winnowing keeps of the first size characters, from what it keeps of all.
 
     An entry is kept from the window on in which it comes in as the least, or, if it is greater than
-    the entry before it, in which that one is gone. It stays if that window lies within the start.
+    the entry before it, in which that one is gone. It stays if that window lies within the start: no
+    entry behind the start's last window can, and all at or before that window's first hash do.
     """
-    before = lambda i: F.get(kept, i - 1)
-    opens = lambda v, i: F.when(i == 0, F.lit(0)).when(v < before(i), _position(v) - (W - 1)).otherwise(_position(before(i)) + 1)
-    return F.filter(kept, lambda v, i: opens(v, i) <= size - (K + W - 1))
+    last = size - (K + W - 1)
+    reached = F.filter(kept, lambda v: v.bitwiseAND(F.lit(_PLACES - 1)) >= F.lit(_PLACES - 1).cast("long") - (last + W - 1))
+
+    def put(x: Column) -> Column:
+        sure, seen, last = x["sure"], x["seen"], x["last"]
+        before = lambda i: F.get(seen, sure + i - 1)
+        opens = lambda v, i: F.when(sure + i == 0, F.lit(0)).when(v < before(i), _position(v) - (W - 1)).otherwise(_position(before(i)) + 1)
+        return F.concat(F.slice(seen, F.lit(1), sure), F.filter(F.slice(seen, sure + 1, F.lit(W)), lambda v, i: opens(v, i) <= last))
+
+    found = _let(reached, lambda r: F.struct(F.greatest(F.size(r) - W, F.lit(0)).alias("sure"), r.alias("seen"), last.alias("last")))
+    return _let(found, put)
 
 
 def kept_joined(a_kept: Column, a: Column, b_kept: Column, b: Column) -> Column:
@@ -90,7 +103,7 @@ def kept_joined(a_kept: Column, a: Column, b_kept: Column, b: Column) -> Column:
     def put(x: Column) -> Column:
         na, nb = x["na"], x["nb"]
         shift = lambda k, by: F.transform(k, lambda v: v - by)
-        across = F.when((na + nb <= most) | (F.length(x["joint"]) > most), shift(kept(x["joint"]), na - F.least(na, F.lit(most)))).otherwise(none)
+        across = F.when((na + nb <= most) | (F.length(x["joint"]) > most), shift(kept_of(x["joint"]), na - F.least(na, F.lit(most)))).otherwise(none)
         return F.array_distinct(F.concat(kept_of_start(a_kept, na), across, shift(kept_of_start(b_kept, nb), na)))
 
     joint = F.concat(F.right(a, F.lit(most)), F.left(b, F.lit(most)))
@@ -98,19 +111,18 @@ def kept_joined(a_kept: Column, a: Column, b_kept: Column, b: Column) -> Column:
 
 
 def shown(kept: Column) -> Column:
-    """The entries by position, comma-joined: each hash * 2**31 + 2**31 - 1 - position."""
-    return F.array_join(kept.cast("array<string>"), ",")
+    """The entries by position, as a list: each hash * 2**31 + 2**31 - 1 - position."""
+    return F.when(F.size(kept) == 0, F.lit("")).otherwise(kept.cast("string"))
 
 
-def hash_set(kept: Column) -> Column:
-    return F.array_distinct(F.transform(kept, lambda v: F.shiftright(v, 31)))
+def hashes(kept: Column) -> Column:
+    return F.transform(kept, lambda v: F.shiftright(v, 31))
 
 
 def likeness(a: Column, b: Column) -> Column:
     """Share of common hashes among all (1 if both are empty)."""
-    common = F.size(F.array_intersect(a, b))
-    every = F.size(a) + F.size(b) - common
-    return F.when(every == 0, F.lit(1.0)).otherwise(common / every)
+    every = F.size(F.array_union(a, b))
+    return F.when(every == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / every)
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -181,20 +193,20 @@ def compare_edits(docs: DataFrame) -> DataFrame:
     and each is hashed once: the edited text's fingerprint is put together from those of its parts.
     """
     rows, order = neighbours(docs)
-    rows = rows.withColumn("kept", kept(F.col("text")))  # only texts are shuffled
+    rows = rows.withColumn("bare", solid(F.col("text"))).withColumn("kept", kept_of(F.col("bare"))).drop("bare")  # only texts are shuffled
     rows = rows.withColumns({"next": F.lead("text").over(order), "next_kept": F.lead("kept").over(order)}).where("guest = 0")
     half = F.floor(F.length("text") / 2).cast("int")
     start, end = F.left("text", F.length("text") - half), F.left(F.coalesce("next", F.lit("")), half)
     edited_kept = kept_joined(F.col("kept"), F.col("a"), F.coalesce("next_kept", F.array().cast("array<bigint>")), F.col("b"))
     rows = rows.select("*", F.sha2(F.concat(start, end).cast("binary"), 256).alias("edited_sha256"), solid(start).alias("a"), solid(end).alias("b"))
     rows = rows.withColumn("edited_kept", edited_kept)
-    mine = hash_set(F.col("kept"))
+    mine = hashes(F.col("kept"))
     return rows.select(
         "doc_id",
         F.length("text").cast("long").alias("n_chars"),
         "edited_sha256",
         shown(F.col("kept")).alias("fingerprint"),
         shown(F.col("edited_kept")).alias("edited_fingerprint"),
-        likeness(mine, hash_set(F.col("edited_kept"))).alias("near_edited"),
-        likeness(mine, hash_set(F.col("next_kept"))).alias("near_next"),
+        likeness(mine, hashes(F.col("edited_kept"))).alias("near_edited"),
+        likeness(mine, hashes(F.col("next_kept"))).alias("near_next"),
     )
