@@ -3,7 +3,7 @@
 A text's characters are taken without white space. Of all runs of K characters a rolling hash is
 taken: a polynomial over bits (a character's code shifted by its distance from the run's end, all
 added without carry), put together from those of runs of 3 and 6 characters, which every position
-shares with its neighbours, and mixed once at the end. Of each window of W
+shares with its neighbours. A character's code is 64 random bits. Of each window of W
 neighbouring hashes the least is kept, the rightmost of equals, with its position. Two texts that
 share K + W - 1 characters in a row therefore share a kept hash, wherever in either text they stand.
 """
@@ -44,7 +44,7 @@ def kept_of(bare: Column) -> Column:
     first = lambda x, n: F.slice(x, F.lit(1), F.greatest(F.size(x) - n, F.lit(1)))
 
     def codes(t: Column) -> Column:
-        return F.concat(F.transform(t, lambda c: F.hash(c).cast("long")), F.array_repeat(long(ABSENT), F.greatest(K - F.size(t), F.lit(0))))
+        return F.concat(F.transform(t, lambda c: F.xxhash64(c)), F.array_repeat(long(ABSENT), F.greatest(K - F.size(t), F.lit(0))))
 
     def threes(c: Column) -> Column:  # beyond the end: null, and never read
         return F.transform(c, lambda x, i: F.shiftleft(x, 2).bitwiseXOR(F.shiftleft(F.get(c, i + 1), 1)).bitwiseXOR(F.get(c, i + 2)))
@@ -54,7 +54,7 @@ def kept_of(bare: Column) -> Column:
 
     def grams(h: Column) -> Column:
         gram = lambda x, i: F.shiftleft(x, 6).bitwiseXOR(F.get(h, i + 6))
-        return F.transform(first(h, K - 1), lambda x, i: F.xxhash64(gram(x, i)).bitwiseAND(long(_HASH)) + (long(_PLACES - 1) - i))
+        return F.transform(first(h, K - 1), lambda x, i: gram(x, i).bitwiseAND(long(_HASH)) + (long(_PLACES - 1) - i))
 
     def least_parts(p: Column) -> Column:
         return F.transform(p, lambda x, i: F.least(x, *[F.get(p, i + j) for j in range(1, STEP)]))
@@ -104,7 +104,11 @@ def kept_joined(a_kept: Column, a: Column, b_kept: Column, b: Column) -> Column:
         na, nb = x["na"], x["nb"]
         shift = lambda k, by: F.transform(k, lambda v: v - by)
         across = F.when((na + nb <= most) | (F.length(x["joint"]) > most), shift(kept_of(x["joint"]), na - F.least(na, F.lit(most)))).otherwise(none)
-        return F.array_distinct(F.concat(kept_of_start(a_kept, na), across, shift(kept_of_start(b_kept, nb), na)))
+        return _let(F.struct(kept_of_start(a_kept, na).alias("a"), across.alias("c"), shift(kept_of_start(b_kept, nb), na).alias("b")), once)
+
+    def once(x: Column) -> Column:  # neighbouring windows of two parts may keep one hash, the last of the one and the first of the other
+        known = lambda v: v.eqNullSafe(F.try_element_at(x["a"], F.lit(-1))) | v.eqNullSafe(F.get(x["b"], F.lit(0)))
+        return F.concat(x["a"], F.filter(x["c"], lambda v: ~known(v)), x["b"])
 
     joint = F.concat(F.right(a, F.lit(most)), F.left(b, F.lit(most)))
     return _let(F.struct(F.length(a).alias("na"), F.length(b).alias("nb"), joint.alias("joint")), put)
