@@ -20,8 +20,8 @@ K, W, STEP = 12, 8, 4
 #: Rows that a bucket of neighbours is meant to hold, and most buckets: beyond that they grow, and spill.
 BUCKET_ROWS, MOST_BUCKETS = 2000, 1 << 18
 _PLACES = 1 << 31
-#: The 32 bits of a hash within an entry, and what stands for characters that a text under K lacks.
-_HASH, ABSENT = ((1 << 32) - 1) << 31, 1 << 32
+#: What stands for characters that a text under K lacks.
+ABSENT = 1 << 32
 
 
 def _let(value: Column, body) -> Column:
@@ -34,7 +34,7 @@ def solid(text: Column) -> Column:
 
 
 def kept(text: Column) -> Column:
-    """Kept hashes with their positions, by position: array of (32-bit hash * 2**31 + 2**31 - 1 - position)."""
+    """Kept hashes with their positions, by position: array of (signed 33-bit hash * 2**31 + 2**31 - 1 - position)."""
     return kept_of(solid(text))
 
 
@@ -54,7 +54,7 @@ def kept_of(bare: Column) -> Column:
 
     def grams(h: Column) -> Column:
         gram = lambda x, i: F.shiftleft(x, 6).bitwiseXOR(F.get(h, i + 6))
-        return F.transform(first(h, K - 1), lambda x, i: gram(x, i).bitwiseAND(long(_HASH)) + (long(_PLACES - 1) - i))
+        return F.transform(first(h, K - 1), lambda x, i: F.shiftleft(gram(x, i), 31).bitwiseXOR(F.bitwise_not(i).cast("long")))
 
     def least_parts(p: Column) -> Column:
         return F.transform(p, lambda x, i: F.least(x, *[F.get(p, i + j) for j in range(1, STEP)]))
