@@ -4,7 +4,8 @@ Bytes are stored as the samples of a RIFF/WAVE file (8-bit unsigned, mono), whic
 and features are computed from what is read back: polyphase resampling by UP/DOWN, overlapped
 log-mel filterbanks, and segmentation by energy with hysteresis. Features come in tensors of
 TENSOR_FRAMES frames by MELS bands (the last is padded with the floor), each with its span of
-seconds. Signals are read in blocks, so memory doesn't grow with their length.
+seconds. Signals are resampled and analysed in blocks; beside its samples a text takes memory for
+its features alone, about half its size. Tensors are stored as an Arrow stream.
 """
 
 from __future__ import annotations
@@ -12,7 +13,6 @@ from __future__ import annotations
 import hashlib
 import struct
 import zlib
-from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
@@ -23,14 +23,14 @@ from pyspark.sql import functions as F
 
 from quizloom.llm.common import blocks, map_arrow
 
-RATE, UP, DOWN, TAPS = 16_000, 1, 2, 16
+RATE, UP, DOWN, TAPS = 16_000, 3, 4, 16
 FRAME, HOP, MELS, TENSOR_FRAMES = 256, 128, 24, 16
 #: The payload is padded with PAD to a positive multiple of UNIT; its last TAIL bytes have a checksum of their own.
 UNIT, PAD, TAIL = 576, 255, 32
 #: A segment opens where the level is OPEN decibels above the signal's floor, and closes where it falls below CLOSE.
 OPEN_DB, CLOSE_DB, MIN_FRAMES = 6.0, 3.0, 2
 FLOOR = -120.0
-_BLOCK = 1 << 17
+_BLOCK, _FRAMES = 1 << 17, 512
 
 
 def pack(data: bytes) -> bytes:
@@ -65,20 +65,32 @@ def _filter() -> np.ndarray:
     return np.pad(h, (0, rows * UP - n)).reshape(rows, UP).T.astype(np.float32)
 
 
-def resample(signal: np.ndarray) -> np.ndarray:
-    """Polyphase resampling by UP / DOWN: each output is one phase's dot product, computed at the output rate only."""
+def _level(samples: np.ndarray) -> np.ndarray:
+    """8-bit samples as numbers from -1 to 1; others as they are."""
+    return (samples.astype(np.float32) - 127.5) / 127.5 if samples.dtype == np.uint8 else samples.astype(np.float32)
+
+
+def resampled_size(n: int) -> int:
+    return -(-n * UP // DOWN)
+
+
+def resample(samples: np.ndarray, first: int = 0, last: int | None = None) -> np.ndarray:
+    """Outputs first to last - 1 of polyphase resampling by UP / DOWN: each is one phase's dot product, at the output rate only. Beyond its ends a signal is silent."""
     phases = _filter()
     taps, half = phases.shape[1], (2 * TAPS * max(UP, DOWN) + 1) // 2
-    n = -(-len(signal) * UP // DOWN)
-    at = np.arange(n) * DOWN + half
-    padded = np.concatenate([np.zeros(taps, np.float32), signal.astype(np.float32), np.zeros(half // UP + taps + 1, np.float32)])
-    windows = np.lib.stride_tricks.sliding_window_view(padded, taps)
-    out = np.empty(n, np.float32)
+    at = np.arange(first, resampled_size(len(samples)) if last is None else last) * DOWN + half
+    if not len(at):
+        return np.zeros(0, np.float32)
+    low, high = int(at[0]) // UP - taps + 1, int(at[-1]) // UP + 1
+    part = _level(samples[max(low, 0) : max(min(high, len(samples)), 0)])
+    part = np.pad(part, (max(-low, 0), high - low - max(-low, 0) - len(part)))
+    windows = np.lib.stride_tricks.sliding_window_view(part, taps)
+    out = np.empty(len(at), np.float32)
     for phase in range(UP):
         mine = np.flatnonzero(at % UP == phase)
         for s in range(0, len(mine), _BLOCK):
             k = mine[s : s + _BLOCK]
-            out[k] = windows[at[k] // UP + 1] @ phases[phase][::-1]
+            out[k] = windows[at[k] // UP - taps + 1 - low] @ phases[phase][::-1]
     return out
 
 
@@ -93,15 +105,18 @@ def _mel() -> np.ndarray:
     return np.maximum(0, np.minimum(up, down)).astype(np.float32)
 
 
-def log_mel(signal: np.ndarray) -> Iterator[np.ndarray]:
-    """Decibels of mel bands, frames of FRAME samples every HOP, in blocks."""
-    if len(signal) < FRAME:
-        signal = np.pad(signal, (0, FRAME - len(signal)))
-    frames = np.lib.stride_tricks.sliding_window_view(signal, FRAME)[::HOP]
-    window = np.hanning(FRAME).astype(np.float32)
-    for s in range(0, len(frames), 512):
-        power = np.abs(np.fft.rfft(frames[s : s + 512] * window)) ** 2
-        yield np.maximum(FLOOR, 10 * np.log10(power @ _mel().T + 1e-12)).astype(np.float32)
+def log_mel(samples: np.ndarray) -> np.ndarray:
+    """Decibels of mel bands, (frames, MELS): frames of FRAME resampled samples every HOP, worked out _FRAMES at a time. A short signal is one frame."""
+    n = resampled_size(len(samples))
+    frames = 1 + max(0, n - FRAME) // HOP
+    out, window = np.empty((frames, MELS), np.float32), np.hanning(FRAME).astype(np.float32)
+    for a in range(0, frames, _FRAMES):
+        b = min(frames, a + _FRAMES)
+        signal = resample(samples, a * HOP, min(n, (b - 1) * HOP + FRAME))
+        signal = np.pad(signal, (0, (b - 1 - a) * HOP + FRAME - len(signal)))
+        power = np.abs(np.fft.rfft(np.lib.stride_tricks.sliding_window_view(signal, FRAME)[::HOP] * window)) ** 2
+        out[a:b] = np.maximum(FLOOR, 10 * np.log10(power @ _mel().T + 1e-12))
+    return out
 
 
 def segments(level: np.ndarray) -> list[tuple[int, int]]:
@@ -120,8 +135,7 @@ def segments(level: np.ndarray) -> list[tuple[int, int]]:
 
 def extract(samples: bytes) -> tuple[np.ndarray, list[tuple[float, float]], list[tuple[float, float]]]:
     """Tensors (n, TENSOR_FRAMES, MELS), the span of seconds of each, and the active spans."""
-    signal = (np.frombuffer(samples, np.uint8).astype(np.float32) - 127.5) / 127.5
-    mel = np.concatenate(list(log_mel(resample(signal))))
+    mel = log_mel(np.frombuffer(samples, np.uint8))
     second = HOP / (RATE * UP / DOWN)
     n = -(-len(mel) // TENSOR_FRAMES)
     tensors = np.full((n * TENSOR_FRAMES, MELS), FLOOR, np.float32)
@@ -137,18 +151,22 @@ def tensor_table(tensors: np.ndarray, spans: list[tuple[float, float]]) -> pa.Ta
     return pa.table({"start_s": pa.array([a for a, _ in spans], pa.float64()), "end_s": pa.array([b for _, b in spans], pa.float64()), "log_mel": col})
 
 
-def stored(tensors: np.ndarray, spans: list[tuple[float, float]]) -> tuple[np.ndarray, list[tuple[float, float]]]:
-    """Tensors and time spans written as Arrow's fixed-shape tensors and read back."""
+def store(tensors: np.ndarray, spans: list[tuple[float, float]]) -> bytes:
+    """tensor_table() as an Arrow stream."""
     table, sink = tensor_table(tensors, spans), pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, table.schema) as out:
         out.write_table(table)
-    back = pa.ipc.open_stream(sink.getvalue()).read_all()
-    shaped = back["log_mel"].combine_chunks()
-    return shaped.to_numpy_ndarray(), list(zip(back["start_s"].to_pylist(), back["end_s"].to_pylist(), strict=True))
+    return sink.getvalue().to_pybytes()
+
+
+def load(stream: bytes) -> tuple[np.ndarray, list[tuple[float, float]]]:
+    """Tensors and time spans of a stored stream."""
+    back = pa.ipc.open_stream(stream).read_all()
+    return back["log_mel"].combine_chunks().to_numpy_ndarray(), list(zip(back["start_s"].to_pylist(), back["end_s"].to_pylist(), strict=True))
 
 
 def summary(tensors: np.ndarray, active: list[tuple[float, float]]) -> str:
-    """Frames, active spans, the mean of each band in whole decibels, and a digest of all features in tenths of a decibel."""
+    """Frames, active spans, the mean of each band in whole decibels, and a digest of all features in half decibels."""
     flat = tensors.reshape(-1, MELS)
     rounded = np.round(flat * 2).astype("<i2")
     means = ",".join(str(int(round(float(x)))) for x in flat.mean(0, dtype=np.float64))
@@ -157,10 +175,10 @@ def summary(tensors: np.ndarray, active: list[tuple[float, float]]) -> str:
 
 
 def audio_features(docs: DataFrame, full: bool = False) -> DataFrame:
-    """doc_id, n_bytes, payload and media digests and the feature summary of every row of docs(doc_id, text).
+    """doc_id, n_bytes, payload and media digests, the feature summary and tensors of every row of docs(doc_id, text).
 
-    full=True adds media (binary), start_s, end_s, log_mel (array of tensors, each flattened to
-    TENSOR_FRAMES * MELS floats, which tensor_table() shapes) and active spans. A null or empty
+    tensors is an Arrow stream of fixed-shape tensors with their time spans, which load() reads; the
+    summary is made from what was read back. full=True adds media (binary) and active spans. A null or empty
     text is one unit of padding. Equal texts give equal values; repeated rows stay; other columns
     are ignored; an empty table gives no rows. Each text is read in blocks, however long.
     """
@@ -172,19 +190,20 @@ def audio_features(docs: DataFrame, full: bool = False) -> DataFrame:
                 media = pack(t)
                 payload = unpack(media)
                 tensors, spans, active = extract(payload)
-                tensors, spans = stored(tensors, spans)
-                rows.append((len(t), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-TAIL:]), len(media), hashlib.sha256(media).hexdigest(), summary(tensors, active)))
+                stream = store(tensors, spans)
+                tensors, spans = load(stream)
+                rows.append((len(t), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-TAIL:]), len(media), hashlib.sha256(media).hexdigest(), summary(tensors, active), stream))
                 if full:
-                    extra.append((media, [a for a, _ in spans], [b for _, b in spans], [x.ravel() for x in tensors], [list(x) for x in active]))
-            kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
-            names = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
+                    extra.append((media, [list(x) for x in active]))
+            kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.binary()]
+            names = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "tensors"]
             cols = [part.column(0), *(pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True))]
             if full:
-                kinds = [pa.binary(), pa.list_(pa.float64()), pa.list_(pa.float64()), pa.list_(pa.list_(pa.float32())), pa.list_(pa.list_(pa.float64()))]
+                kinds = [pa.binary(), pa.list_(pa.list_(pa.float64()))]
                 cols += [pa.array(c, k) for c, k in zip(zip(*extra, strict=True), kinds, strict=True)]
-                names += ["media", "start_s", "end_s", "log_mel", "active"]
+                names += ["media", "active"]
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    schema = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
-    schema += ", media binary, start_s array<double>, end_s array<double>, log_mel array<array<float>>, active array<array<double>>" * full
+    schema = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, tensors binary"
+    schema += ", media binary, active array<array<double>>" * full
     return map_arrow(docs.select(F.col("doc_id").cast("long"), "text"), run, schema)

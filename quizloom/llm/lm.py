@@ -1,14 +1,14 @@
 """Language-model scores: word counts as a base, and the marginal probability over a subword lattice.
 
-The lattice model takes the pieces of an existing vocabulary. A piece's score starts from its
-place in that vocabulary and is then fitted to the training texts by expectation maximisation
+The lattice model takes the pieces of an existing vocabulary and their scores: log probabilities,
+or, in a vocabulary of merges, ranks, of which the start is 1 / (rank + RANKED). Scores are then fitted to the training texts by expectation maximisation
 over their word counts; the end of a text is a piece of its own. A text's probability is the
 sum over all ways to cut it into pieces, by a forward recursion in log space. No piece goes
 past a white space, so the sum is a product over words, and each distinct word of the corpus is
 worked out once.
 
-Word counts come from all training texts. The HEAD most frequent words (a fixed bound) are
-broadcast; all others meet their counts in a join, so no vocabulary is held in one place.
+Word counts come from all training texts. The HEAD most frequent words of at most HEAD_BYTES
+(fixed bounds) are broadcast; all others meet their counts in a join, so no vocabulary is held in one place.
 """
 
 from __future__ import annotations
@@ -29,29 +29,37 @@ FOLDS = 7
 HEAD, PASSES, PRIOR = 100_000, 2, 0.5
 #: Expected counts are added up as whole numbers of this part, so that sums don't depend on their order.
 UNIT = 1 << 16
-MAX_PIECE, WIDE = 16, 48
+WIDE = 48
+#: Offset of ranks; bytes of a word that the broadcast head may hold.
+RANKED, HEAD_BYTES = 20.0, 64
+#: Bytes of a long word whose arcs are looked up at once.
+_SPAN = 1 << 16
 _BASE = np.uint64(1_099_511_628_211)
 _NONE = -1e30
 
 
-def load_pieces(path: str) -> list[bytes]:
-    """Pieces of a sentencepiece model in order, as bytes, a word start as a space; then the 256 single bytes. Read on the driver."""
+def load_pieces(path: str) -> tuple[list[bytes], np.ndarray]:
+    """Pieces of a sentencepiece model in order, as bytes, a word start as a space, with their scores; then the 256 single bytes, scored least. Read on the driver."""
     import sentencepiece
 
     sp = sentencepiece.SentencePieceProcessor(model_file=path)
-    pieces = []
+    found: dict[bytes, float] = {}
     for i in range(sp.get_piece_size()):
         if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i)):
             b = sp.id_to_piece(i).replace("▁", " ").encode()
-            if b" " not in b[1:] and len(b) <= MAX_PIECE and b == b.translate(ASCII_LOWER):
-                pieces.append(b)
-    seen = set(pieces)
-    return list(dict.fromkeys(pieces)) + [bytes([x]) for x in range(256) if bytes([x]) not in seen]
-
-
-def first_scores(pieces: list[bytes]) -> np.ndarray:
-    """Log probabilities from the places in the vocabulary, the end piece last."""
-    p = 1.0 / (np.arange(len(pieces) + 1) + 20.0)
+            if b" " not in b[1:] and b == b.translate(ASCII_LOWER):
+                found.setdefault(b, sp.get_score(i))
+    least = min(found.values(), default=0.0)
+    for x in range(256):
+        found.setdefault(bytes([x]), least - 1)
+    return list(found), np.array(list(found.values()))
+
+
+def first_scores(scores: np.ndarray) -> np.ndarray:
+    """Log probabilities from a vocabulary's scores, the end piece last, as likely as the best piece: whole numbers are ranks, others log probabilities."""
+    ranked = bool((scores == np.round(scores)).all())
+    p = 1.0 / (scores.max() - scores + RANKED) if ranked else np.exp(scores - scores.max())
+    p = np.append(p, p.max())
     return np.log(p / p.sum())
 
 
@@ -141,21 +149,53 @@ class Lattice:
             if len(hit):
                 out += np.bincount(p[hit], counts[hit] * x[hit], self.n + 1)[: self.n]
 
+    def arcs(self, word: bytes):
+        """(starts, ends, piece numbers) of a word of any length, by start, a span of it at a time."""
+        text = np.frombuffer(word, np.uint8).astype(np.uint64)
+        for a in range(0, len(text), _SPAN):
+            size = min(_SPAN, len(text) - a)
+            h, starts, ends, pieces = np.zeros(size, np.uint64), [], [], []
+            for n in range(1, self.longest + 1):
+                on = min(size, len(text) - a - n + 1)
+                if on <= 0:
+                    break
+                h = h[:on] * _BASE + text[a + n - 1 : a + n - 1 + on] + np.uint64(1)
+                p = self._find(h)
+                hit = np.flatnonzero(p != self.n)
+                starts.append(hit + a)
+                ends.append(hit + a + n)
+                pieces.append(p[hit])
+            starts, ends, pieces = np.concatenate(starts), np.concatenate(ends), np.concatenate(pieces)
+            order = np.lexsort((ends, starts))
+            yield starts[order], ends[order], pieces[order]
+
+    def _sums(self, word: bytes) -> list[float]:
+        """Log sums of all ways to each place of a word."""
+        f = [_NONE] * (len(word) + 1)
+        f[0] = 0.0
+        for starts, ends, pieces in self.arcs(word):
+            for i, j, s in zip(starts.tolist(), ends.tolist(), self.logp[pieces].tolist(), strict=True):
+                x, y = f[i] + s, f[j]
+                f[j] = (x + math.log1p(math.exp(y - x)) if x > y else y + math.log1p(math.exp(x - y))) if y > _NONE else x
+        return f
+
     def one(self, word: bytes) -> float:
-        """Log probability of one word of any length, in memory of the longest piece."""
-        last = [0.0]
-        for j in range(1, len(word) + 1):
-            total = -math.inf
-            for back in range(1, min(len(last), self.longest) + 1):
-                h = np.array([self._hash(word[j - back : j])], np.uint64)
-                p = int(self._find(h)[0])
-                if p != self.n:
-                    x = last[-back] + float(self.logp[p])
-                    total = max(x, total) + math.log1p(math.exp(-abs(x - total))) if total > -math.inf else x
-            last.append(total)
-            if len(last) > self.longest:
-                last.pop(0)
-        return last[-1]
+        """Log probability of one word of any length."""
+        return self._sums(word)[-1]
+
+    def expected_one(self, word: bytes, count: float, out: np.ndarray) -> None:
+        """Adds the expected piece counts of one word of any length, taken count times."""
+        f = self._sums(word)
+        b = [_NONE] * len(f)
+        b[-1] = 0.0
+        for starts, ends, pieces in reversed(list(self.arcs(word))):
+            scores = self.logp[pieces]
+            for i, j, s in zip(starts[::-1].tolist(), ends[::-1].tolist(), scores[::-1].tolist(), strict=True):
+                x, y = b[j] + s, b[i]
+                b[i] = (x + math.log1p(math.exp(y - x)) if x > y else y + math.log1p(math.exp(x - y))) if y > _NONE else x
+            # all that starts here is known: the sums behind it are final
+            share = np.exp(np.minimum(0.0, np.array(f)[starts] + scores + np.array(b)[ends] - f[-1]))
+            out += np.bincount(pieces, count * share, self.n + 1)[: self.n]
 
 
 def tokens(text: bytes) -> list[bytes]:
@@ -215,10 +255,10 @@ def word_scores(counts: DataFrame, pieces: list[bytes], logp: np.ndarray) -> Dat
     return map_arrow(counts.select("word", "c"), run, "word binary, c long, lp double")
 
 
-def fit_pieces(counts: DataFrame, ends: int, pieces: list[bytes]) -> np.ndarray:
+def fit_pieces(counts: DataFrame, ends: int, pieces: list[bytes], scores: np.ndarray) -> np.ndarray:
     """Log probabilities of pieces and end, by PASSES of expectation maximisation over all word counts."""
     ship(counts.sparkSession)
-    logp = first_scores(pieces)
+    logp = first_scores(scores)
     prior = np.exp(logp) * PRIOR * len(pieces)
     for _ in range(PASSES):
         shared = counts.sparkSession.sparkContext.broadcast((pieces, logp))
@@ -227,10 +267,9 @@ def fit_pieces(counts: DataFrame, ends: int, pieces: list[bytes]) -> np.ndarray:
             lattice = Lattice(*shared.value)
             total = np.zeros(lattice.n)
             for rows in _by_length(batches):
-                if len(rows[0][0]) >= WIDE:  # a word past WIDE is counted by its parts of that length
-                    parts = [((b" " + w)[at : at + WIDE], c) for w, c in rows for at in range(0, len(w) + 1, WIDE)]
-                    for part, c in parts:
-                        lattice.expected([part], np.array([c], np.float64), total)
+                if len(rows[0][0]) >= WIDE:
+                    for w, c in rows:
+                        lattice.expected_one(b" " + w, float(c), total)
                     continue
                 for at in range(0, len(rows), 5000):
                     ws, cs = zip(*rows[at : at + 5000], strict=True)
@@ -261,11 +300,10 @@ def lm_scores(docs: DataFrame, path: str) -> DataFrame:
     ends = docs.where(~F.col("held_out")).count()
     words = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count_if(F.col("c") > 0).alias("v"), F.count("*").alias("rows")).first()
     n, v = words.n + ends, words.v + (ends > 0)
-    pieces = load_pieces(path)
-    logp = fit_pieces(counts.where("c > 0"), ends, pieces)
+    pieces, scores = load_pieces(path)
+    logp = fit_pieces(counts.where("c > 0"), ends, pieces, scores)
     known = cut(word_scores(counts, pieces, logp), "words")
-    head = {bytes(r.word): (r.c, r.lp) for r in known.orderBy(F.desc("c"), "word").limit(HEAD).collect()}
-    whole = words.rows <= HEAD
+    head = {bytes(r.word): (r.c, r.lp) for r in known.where(F.octet_length("word") <= HEAD_BYTES).orderBy(F.desc("c"), "word").limit(HEAD).collect()}
     denominator = math.log10(n + v + 1)
     shared, end = spark.sparkContext.broadcast(head), float(logp[-1])
 
@@ -294,8 +332,6 @@ def lm_scores(docs: DataFrame, path: str) -> DataFrame:
     scored = map_arrow(docs, run, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, tail array<struct<word:binary,k:bigint>>")
     last = F.lit(n).cast("long").alias("train_tokens")
     to_log10 = 1 / math.log(10)
-    if whole:
-        return scored.select("doc_id", "held_out", "n_tokens", "n_known", last, "base_score", (F.col("score") * to_log10).alias("score"))
     scored = cut(scored.withColumn("row", F.monotonically_increasing_id()), "scored")  # written, so a row keeps its number
     tail = scored.select("row", F.explode("tail").alias("t")).select("row", "t.word", "t.k").join(known, "word")
     k = F.col("k")

@@ -33,8 +33,8 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 _HEX_ANY = re.compile(r"(?:[0-9a-f]{2}){12,}|(?:[0-9A-F]{2}){12,}")
 _B64 = re.compile(r"[A-Za-z0-9+/_-]{24,}={0,2}")
-_JWT = re.compile(r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{4,}+\.[A-Za-z0-9_-]{4,}+")
-_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{1,60})-----([A-Za-z0-9+/=\s]+)-----END \1-----")
+_PART = re.compile(r"[A-Za-z0-9_-]+")
+_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{1,60})-----\s*((?:[A-Za-z0-9-]{1,40}:[^\n]*\n(?:[ \t][^\n]*\n)*)*)([A-Za-z0-9+/=\s]+)-----END \1-----")
 _SSH = re.compile(r"(?:ssh-(?:rsa|dss|ed25519)|ecdsa-sha2-nistp(?:256|384|521)) ([A-Za-z0-9+/]{40,}={0,2})")
 _OPENSSH = b"openssh-key-v1\x00"
 
@@ -99,8 +99,61 @@ def ssh_key(data: bytes) -> bool:
     return len(fields) >= 2 and fields[0].startswith((b"ssh-", b"ecdsa-"))
 
 
+def openssh_key(data: bytes) -> bool:
+    """Whether data is a private key file of OpenSSH: cipher, key derivation and its options, the number of keys, as many public keys, and one private block, lengths exact."""
+    at = len(_OPENSSH)
+
+    def field() -> bytes | None:
+        nonlocal at
+        if at + 4 > len(data):
+            return None
+        n = int.from_bytes(data[at : at + 4], "big")
+        if at + 4 + n > len(data):
+            return None
+        at += 4 + n
+        return data[at - n : at]
+
+    if not data.startswith(_OPENSSH):
+        return False
+    names = [field(), field(), field()]
+    if None in names or not names[0] or not names[1] or at + 4 > len(data):
+        return False
+    count = int.from_bytes(data[at : at + 4], "big")
+    at += 4
+    if not 1 <= count <= 16:
+        return False
+    for _ in range(count):
+        public = field()
+        if public is None or not ssh_key(public):
+            return False
+    private = field()
+    return private is not None and len(private) >= 16 and len(private) % 8 == 0 and at == len(data)
+
+
 def key_bytes(data: bytes | None) -> bool:
-    return data is not None and (data.startswith(_OPENSSH) or der_key(data) or ssh_key(data))
+    return data is not None and (openssh_key(data) or der_key(data) or ssh_key(data))
+
+
+def pem_key(headers: str, body: str) -> bool:
+    """Whether a PEM block holds a key: its encoding, or, if the headers say how it is enciphered, whole cipher blocks."""
+    data = decode64("".join(body.split()))
+    if "DEK-Info:" in headers:
+        return data is not None and len(data) >= 64 and len(data) % 8 == 0
+    return key_bytes(data)
+
+
+def tokens(text: str, a: int, b: int) -> list[Span]:
+    """Signed tokens within a run: three dotted parts, the first a header; tried from each part on, so names before a token don't hide it."""
+    parts, out, k = [m.span() for m in _PART.finditer(text, a, b)], [], 0
+    while k + 2 < len(parts):
+        (x, x2), (y, y2), (z, z2) = parts[k : k + 3]
+        near = text[x2:y] == "." and text[y2:z] == "."
+        if near and x2 - x >= 8 and y2 - y >= 4 and z2 - z >= 4 and signed_header(text[x:x2]):
+            out.append((x, z2, "jwt"))
+            k += 3
+        else:
+            k += 1
+    return out
 
 
 def hides_secret(data: bytes) -> bool:
@@ -143,12 +196,12 @@ def base_spans(text: str, runs: list[tuple[int, int]] | None = None) -> list[Spa
 def confirmed_spans(text: str, runs: list[tuple[int, int]]) -> list[Span]:
     out: list[Span] = []
     if "-----BEGIN " in text:
-        out += [(*m.span(), "pem") for m in _PEM.finditer(text) if key_bytes(decode64("".join(m[2].split())))]
+        out += [(*m.span(), "pem") for m in _PEM.finditer(text) if pem_key(m[2], m[3])]
     if "ssh-" in text or "ecdsa-" in text:
         out += [(*m.span(), "sshkey") for m in _SSH.finditer(text) if key_bytes(decode64(m[1]))]
     inside = lambda a, b: any(x <= a and b <= y for x, y, _ in out)
     for a, b in runs:
-        out += [(*m.span(), "jwt") for m in _JWT.finditer(text, a, b) if signed_header(m[0].partition(".")[0])]
+        out += tokens(text, a, b)
         for m in _HEX_ANY.finditer(text, a, b):
             if inside(*m.span()):
                 continue

@@ -8,8 +8,10 @@ that mark the toxic texts of the training sample. A word's likeness to a landmar
 over the landmark's own norm, at most 1, to the power SHARP. If the word spells the landmark
 with letters put in, or lacks one inner letter, the kernel is instead taken of that alignment:
 the mean weight of its neighbouring pairs. Words so spelled that the sample's other texts use
-as well are left to the kernel. A document sums the likenesses of its words, is mapped by the inverse root of the landmarks' kernel matrix, and a linear machine
-with squared hinge loss and a logistic link gives its score. Every text is scored whole.
+as well are left to the kernel. A document sums the likenesses of its words and is mapped by the inverse root of the landmarks'
+kernel matrix, which is its Nystroem map; the mapped vector's length is then damped, so that one
+long text doesn't stand for many. A linear machine with squared hinge loss and a logistic link
+gives the score. Every text is scored whole.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quizloom.llm.common import blocks, crc_mod, map_arrow, sole
+from quizloom.session import cut
 
 HELD_OUT, FOLDS, CUT = 2, 4, 0.3
 #: Training sample: at most this many rows of each label, those of least id hash.
@@ -164,7 +167,7 @@ class Kernel:
         return out
 
     def documents(self, texts: list[str]) -> list[np.ndarray]:
-        """Of each text the summed likenesses of its words, damped so that one long text doesn't stand for many."""
+        """Of each text the Nystroem map of the summed likenesses of its words, its length damped to log(1 + length)."""
         if len(self.known) > MAX_KNOWN:
             self.older, self.known = self.known, {}
         counts, known, new = [words(t) for t in texts], self.known, {}
@@ -188,7 +191,9 @@ class Kernel:
             for w, n in mine.items():
                 if (v := known[w]) is not None:
                     total += n * v
-            out.append(np.log1p(total) @ self.root)
+            mapped = total @ self.root
+            length = float(np.linalg.norm(mapped))
+            out.append(mapped * (math.log1p(length) / length) if length else mapped)
         return out
 
 
@@ -203,7 +208,9 @@ def _sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     for label in (1, 0):
         part = seen.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
         ids = part if ids is None else ids.unionByName(part)
-    return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+    found = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+    one = found.groupBy("doc_id").agg(F.min_by(F.struct("text", "toxic"), F.xxhash64("text")).alias("r"))  # of repeated ids one row
+    return cut(one.select("doc_id", "r.toxic", "r.text"), "labelled")
 
 
 def _candidates(sample: DataFrame) -> list[tuple[str, int, int]]:
@@ -293,7 +300,11 @@ def fit_linear(x: np.ndarray, y: np.ndarray, share: float = 0.5, c: float = 100.
 
 
 def train(docs: DataFrame, labels: DataFrame) -> tuple[list[str], frozenset[str], np.ndarray, float, float, float]:
-    """Landmarks, plain words, weights, bias, slope and offset. Without toxic rows, or any rows, nothing is toxic."""
+    """Landmarks, plain words, weights, bias, slope and offset. Without toxic rows, or any rows, nothing is toxic.
+
+    Of a repeated id one row is learnt from, that whose text hashes least, with the greater label; null
+    ids, null labels and labels other than 0 and 1 are left out; a null text counts as empty.
+    """
     sample = _sample(docs, labels)
     landmarks = choose(_candidates(sample))
     if not landmarks:
@@ -308,7 +319,7 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[list[str], frozenset[str]
             xs = [x.tolist() for x in k.documents([t.decode("utf-8", "replace") for t in texts])]
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(xs, pa.list_(pa.float64()))], names=["toxic", "x"])
 
-    rows = map_arrow(sample.select(F.col("toxic").cast("int").alias("toxic"), "text"), run, "toxic int, x array<double>").collect()  # 2 * SAMPLE rows at most, but for repeated ids
+    rows = map_arrow(sample.select(F.col("toxic").cast("int").alias("toxic"), "text"), run, "toxic int, x array<double>").collect()  # 2 * SAMPLE rows at most
     rows.sort(key=lambda r: (r.toxic, r.x))
     x, y = np.array([r.x for r in rows]).reshape(len(rows), kernel.root.shape[1]), np.array([r.toxic for r in rows])
     # The sample has as many rows of either label as it can; the link goes by the labels' own shares.
