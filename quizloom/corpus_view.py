@@ -11,7 +11,7 @@ from quizloom.session import table
 def corpus_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     seen = labels.select(F.col("doc_id").alias("lid")).distinct()
-    s = F.split("text", r"\. ")
+    s = F.split("text", r"\. ", 5)  # the question, three options, and all the rest as the last option
     df = docs.join(seen, docs.doc_id == seen.lid, "left")
     verified = F.col("lid").isNotNull()
     return df.select(
@@ -34,7 +34,7 @@ def corpus_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 SQL = """
 corpus AS (
   SELECT 'D-' || lpad(CAST(d.doc_id AS VARCHAR), 9, '0') AS id, d.doc_id AS pos, d.source AS org, d.lang AS ccaa,
-         CAST(2000 + d.doc_id % 25 AS INTEGER) AS year, string_split(d.text, '. ')[1] AS q, string_split(d.text, '. ')[2:5] AS opts,
+         CAST(2000 + d.doc_id % 25 AS INTEGER) AS year, string_split(d.text, '. ')[1] AS q, CASE WHEN len(string_split(d.text, '. ')) < 5 THEN string_split(d.text, '. ')[2:4] ELSE list_append(string_split(d.text, '. ')[2:4], array_to_string(string_split(d.text, '. ')[5:], '. ')) END AS opts,
          l.doc_id IS NOT NULL AS resp_verificada,
          CASE WHEN l.doc_id IS NOT NULL THEN substr('ABCD', CAST(1 + d.n_chars % 4 AS INTEGER), 1) END AS resp,
          CASE d.doc_id % 3 WHEN 1 THEN 0.2::DOUBLE WHEN 2 THEN 0.25::DOUBLE END AS penalizacion,

@@ -103,6 +103,13 @@ def iso_date(c) -> Column:
     return F.when(m(3) != "", whole).otherwise(F.array_max(F.regexp_extract_all(c, F.lit(r"\b(20\d{2})\b"))))
 
 
+def iso_date_or_year(c) -> Column:
+    """dd-mm-yyyy within a text as ISO; else the first of January of its largest year of 19xx or 20xx; else null."""
+    m = lambda i: F.regexp_extract(c, r"(\d{2})-(\d{2})-(\d{4})", i)
+    year = F.array_max(F.regexp_extract_all(c, F.lit(r"\b(20\d{2}|19\d{2})\b")))
+    return F.when(m(3) != "", F.concat_ws("-", m(3), m(2), m(1))).otherwise(F.concat(year, F.lit("-01-01")))
+
+
 def tags(c, patterns: dict[str, str]) -> Column:
     """Names of the patterns that a text matches, joined by +."""
     return F.array_join(F.array_compact(F.array(*[F.when(F.regexp_like(c, F.lit(p)), F.lit(n)) for n, p in patterns.items()])), "+")
@@ -148,5 +155,18 @@ def unit(v: Column) -> Column:
     return F.transform(v, lambda x: x / norm)
 
 
+def mean_pool(vectors: Column, mask: Column) -> Column:
+    """The mean of the vectors whose mask is 1; zeros if none is. vectors: array of arrays of one length."""
+    count = F.greatest(F.aggregate(mask, F.lit(0.0), lambda s, x: s + x.cast("double")), F.lit(1e-9))
+    masked = F.zip_with(vectors, mask, lambda v, m: F.transform(v, lambda x: x.cast("double") * m.cast("double")))
+    zeros = F.transform(F.get(vectors, F.lit(0)), lambda x: F.lit(0.0))
+    return F.transform(F.aggregate(masked, zeros, lambda s, v: F.zip_with(s, v, lambda a, b: a + b)), lambda x: x / count)
+
+
+def count_marks(c, mark: str) -> Column:
+    """How often a text holds a mark, without overlaps; null: 0."""
+    return F.coalesce((F.length(c) - F.length(F.replace(F.col(c) if isinstance(c, str) else c, F.lit(mark), F.lit("")))) / len(mark), F.lit(0)).cast("long")
+
+
 def script_safe(c) -> Column:
     return F.replace(c, F.lit("</"), F.lit("<\\/"))

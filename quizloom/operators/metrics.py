@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quizloom.functions.text import key
+from quizloom.functions.text import key, masked_digits, year_of
 from quizloom.schema import LETTERS, Corpus, Verified, need_verified
 
 #: Options that stand for all or none of the others, and negative stems.
@@ -136,12 +136,19 @@ def recurrence_counts(df: DataFrame, least_chars: int = 80) -> DataFrame:
     return a.join(F.broadcast(b))  # a row by a row
 
 
-def reasons(df: DataFrame, column: str = "fails", k: int = 6) -> DataFrame:
-    """The k most frequent reasons with their numbers masked."""
-    from quizloom.functions.text import masked_digits
+def reasons(df: DataFrame, column: str = "fails", k: int = 6, order: str | None = None) -> DataFrame:
+    """The k most frequent reasons with their numbers masked; ties by the reason met first in the order of a column, else by text."""
+    first = F.min(F.struct(order, "i")) if order else F.lit(0)
+    one = df.select(*([order] if order else []), F.posexplode(column).alias("i", "r")).groupBy(masked_digits("r").alias("reason")).agg(F.count("*").alias("n"), first.alias("met"))
+    return one.orderBy(F.desc("n"), "met", "reason").limit(k).select("reason", "n")
 
-    one = df.select(F.explode(column).alias("r")).groupBy(masked_digits("r").alias("reason")).agg(F.count("*").alias("n"))
-    return one.orderBy(F.desc("n"), "reason").limit(k)
+
+def sittings(df: DataFrame) -> DataFrame:
+    """k, sittings: of each key the distinct (org, year) in order of org and date, as 'org year'; without a date 's/f'. df: q, org, fecha."""
+    year = year_of("fecha")
+    per = df.groupBy(key("q").alias("k"), "org", year.alias("year")).agg(F.min("fecha").alias("first"))
+    listed = F.array_sort(F.collect_list(F.struct("org", "first", F.concat_ws(" ", "org", "year").alias("s"))))
+    return per.groupBy("k").agg(F.transform(listed, lambda x: x.s).alias("sittings"))
 
 
 def numbering(df: DataFrame, group: str, num: str) -> DataFrame:
@@ -165,10 +172,19 @@ def laplace_weights(counts: DataFrame, topics: DataFrame, questions: int, alpha:
     return out.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("expected"), "topic")).cast("long"))
 
 
-def family_summary(df: DataFrame, family: str, now: int = 2026) -> DataFrame:
-    """Per family: size, majority topic (ties: first met), topics, orgs, years, sittings, recency. df: id, topic, org, year, pos."""
-    topics = df.groupBy(family, "topic").agg(F.count("*").alias("k"), F.min("pos").alias("p"))
-    topics = topics.groupBy(family).agg(F.array_sort(F.collect_list(F.struct((-F.col("k")).alias("a"), "p", "topic", "k"))).alias("t"))
-    topics = topics.select(family, F.get("t", F.lit(0))["topic"].alias("majority"), F.map_from_entries(F.transform("t", lambda x: F.struct(x.topic, x.k))).alias("topics"))
-    base = df.groupBy(family).agg(F.count("*").alias("n"), F.array_sort(F.collect_set("org")).alias("orgs"), F.array_sort(F.collect_set("year")).alias("years"), F.count_distinct("org", "year").alias("n_sittings"), F.sum(recency(F.col("year"), now)).alias("weight"), F.array_sort(F.collect_list("id")).alias("members"))
-    return base.join(topics, family)
+def family_summary(df: DataFrame, family: str, now: int = 2026, least: int = 1) -> DataFrame:
+    """Per family of at least so many rows: size, majority topic (ties: first met), topics, orgs, years, sittings, recency, members. df: id, topic, org, year, pos.
+
+    Rows are first added up by family, topic, org and year, so one shuffle of those sums is followed by
+    one grouping; members of a family meet in one row.
+    """
+    cells = df.groupBy(family, "topic", "org", "year").agg(F.count("*").alias("k"), F.min("pos").alias("p"), F.collect_list("id").alias("ids"))
+    cells = cells.groupBy(family).agg(F.sum("k").alias("n"), F.sum(F.col("k") * recency(F.col("year"), now)).alias("weight"), F.collect_list(F.struct("topic", "org", "year", "k", "p", "ids")).alias("c")).where(F.col("n") >= least)
+    names = F.array_distinct(F.transform("c", lambda x: x.topic))
+    of = lambda t: F.filter("c", lambda x: x.topic.eqNullSafe(t))
+    topics = F.transform(names, lambda t: F.struct(t.alias("topic"), F.aggregate(of(t), F.lit(0).cast("long"), lambda s, x: s + x.k).alias("k"), F.array_min(F.transform(of(t), lambda x: x.p)).alias("p")))
+    best = F.get(F.array_sort(F.transform("t", lambda x: F.struct((-x.k).alias("a"), x.p.alias("p"), x.topic.alias("topic")))), F.lit(0))["topic"]
+    sets = lambda f: F.array_sort(F.array_compact(F.array_distinct(F.transform("c", f))))
+    sat = F.size(F.array_distinct(F.filter(F.transform("c", lambda x: F.when(x.org.isNotNull() & x.year.isNotNull(), F.struct(x.org, x.year))), lambda x: x.isNotNull()))).cast("long")
+    t = cells.withColumn("t", topics)
+    return t.select(family, "n", sets(lambda x: x.org).alias("orgs"), sets(lambda x: x.year).alias("years"), sat.alias("n_sittings"), "weight", F.array_sort(F.flatten(F.transform("c", lambda x: x.ids))).alias("members"), best.alias("majority"), F.map_from_entries(F.transform(F.filter("t", lambda x: x.topic.isNotNull()), lambda x: F.struct(x.topic, x.k))).alias("topics"))

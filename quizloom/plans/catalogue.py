@@ -16,6 +16,7 @@ from quizloom.operators import metrics as mx
 from quizloom.operators import records as rc
 from quizloom.operators import similarity as sim
 from quizloom.operators import study as st
+from quizloom.plans import ingest
 from quizloom.plans.oracle import ORACLE
 from quizloom.schema import Corpus, Verified
 from quizloom.session import table
@@ -186,7 +187,7 @@ def link_context_longest(s, d):
 @query
 def index_left_match(s, d):
     pages = table(s, d, "pages").select("page_id", "url")
-    index = table(s, d, "documents").select(F.concat(F.lit("Page-"), F.col("doc_id").cast("string"), F.lit(".html")).alias("slug"), F.col("source").alias("org"), F.col("doc_id").alias("row"))
+    index = table(s, d, "documents").select(F.concat(F.when(F.col("doc_id") % 3 == 0, F.lit("Page-")).otherwise(F.lit("page__")), (F.col("doc_id") - F.col("doc_id") % 2).cast("string"), F.lit(".html")).alias("slug"), F.col("source").alias("org"), F.col("doc_id").alias("row"))
     left = pages.withColumn("file", F.concat(F.lit("raw/page_"), F.col("page_id").cast("string"), F.lit(".htm")))
     return rc.lookup(left, index, tx.stem_key("file"), tx.stem_key("slug"), ["row"]).select("page_id", "slug", "org")
 
@@ -298,8 +299,11 @@ def scope_evidence(s, d):
 
 @query
 def token_jaccard_pairs(s, d):
-    b = table(s, d, "benchmark").select("item_id", tx.token_set("text", STOP).alias("t"))
-    return sim.jaccard_pairs(b, "item_id", "t", 0.02).select("a", "b", F.round("jaccard", 6).alias("jaccard"))
+    b = table(s, d, "benchmark")  # each item whole, and its first two thirds
+    start = F.left("text", F.floor(F.length("text") * 2 / 3).cast("int"))
+    b = b.select((F.col("item_id") * 2).alias("item_id"), "text").unionByName(b.select((F.col("item_id") * 2 + 1).alias("item_id"), start.alias("text")))
+    b = b.select("item_id", tx.token_set("text", STOP).alias("t"))
+    return sim.jaccard_pairs(b, "item_id", "t", 0.5).select("a", "b", F.round("jaccard", 6).alias("jaccard"))
 
 
 @query
@@ -340,7 +344,7 @@ def topic_weights_laplace(s, d):
 @query
 def family_summary(s, d):
     docs = table(s, d, "documents").select(F.col("doc_id").cast("string").alias("id"), F.md5(tx.key("text").cast("binary")).alias("family"), F.col("lang").alias("topic"), F.col("source").alias("org"), (2000 + F.col("doc_id") % 25).cast("int").alias("year"), F.col("doc_id").alias("pos"))
-    f = mx.family_summary(docs, "family").where("n > 1")
+    f = mx.family_summary(docs, "family", least=2)
     return f.select("family", "n", "majority", F.size("topics").cast("long").alias("n_topics"), F.array_join("orgs", ",").alias("orgs"), "n_sittings", F.round("weight", 6).alias("weight"), F.array_join("members", ",").alias("members"))
 
 
@@ -354,7 +358,8 @@ def migrate_defaults(s, d):
 @query
 def compact_payload(s, d):
     c = corpus_view(s, d).where(F.col("resp").isin(schema.LETTERS))
-    return c.select("id", F.left("q", F.lit(700)).alias("q"), F.size("opts").cast("long").alias("n_opts"), (F.expr("locate(resp, 'ABCD')") - 1).cast("long").alias("r"), F.when(F.col("ccaa") != "", F.col("ccaa")).alias("c"))
+    ctx = F.left(F.get("opts", F.lit(0)), F.lit(700))  # the context is cut, the question is whole
+    return c.select("id", "q", ctx.alias("ctx"), F.size("opts").cast("long").alias("n_opts"), (F.expr("locate(resp, 'ABCD')") - 1).cast("long").alias("r"), F.when(F.col("ccaa") != "", F.col("ccaa")).alias("c"))
 
 
 @query
@@ -412,14 +417,6 @@ def html_questions(s, d):
     return parsers.parse_pages(p.withColumn("html", F.concat("html", form))).select("file", "num", "q", F.size("opts").cast("long").alias("n_opts"), "right_index", F.size("fails").cast("long").alias("n_fails"), F.size("warnings").cast("long").alias("n_warnings"))
 
 
-@query
-def ocr_questions(s, d):
-    c = table(s, d, "conversations")
-    text = F.when(F.col("role") == "user", F.concat((F.floor(F.col("turn") / 2) + 1).cast("string"), F.lit(". "), F.col("text"))).otherwise(F.concat(F.lit("a) "), F.col("text")))
-    lines = c.select(F.col("conv_id").cast("string").alias("doc"), F.lit(1).alias("page"), F.col("turn").cast("int").alias("line_no"), text.alias("text"), F.lit(0.95).alias("conf"))
-    return parsers.parse_scans(lines).select("doc", "num", F.size("opts").cast("long").alias("n_opts"), F.size("warnings").cast("long").alias("n_warnings"))
-
-
 @query
 def daily_event_counts(s, d):
     return daily_counts(table(s, d, "events"))
@@ -520,8 +517,8 @@ def file_quarantine(s, d):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return _QUERIES | ingest.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE)
+    return ORACLE | ingest.SQL

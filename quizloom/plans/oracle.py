@@ -106,7 +106,7 @@ ORACLE = {
     "title_category": f"WITH p AS (SELECT page_id, trim(regexp_replace({_TIDY.format('''trim(regexp_replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '\\s+', ' ', 'g'))''')}, '\\s+', ' ', 'g')) AS title FROM pages) SELECT page_id, title, CASE WHEN regexp_matches(lower(title), 'the|of') THEN 'english' WHEN regexp_matches(lower(title), 'der|ein') THEN 'german' WHEN regexp_matches(lower(title), 'les|que') THEN 'romance' ELSE 'other' END AS category FROM p",
     "title_entities": "SELECT entity, count(*) AS n FROM (SELECT unnest(regexp_extract_all(html, '&[a-z]+;')) AS entity FROM pages) GROUP BY entity",
     "link_context_longest": """WITH a AS (SELECT page_id, unnest(regexp_extract_all(html, '<a [^>]*href="[^"]*"[^>]*>[^<]*')) AS a FROM pages), o AS (SELECT page_id, regexp_extract(a, 'href="([^"]*)"', 1) AS url, regexp_extract(a, '>([^<]*)$', 1) AS ctx FROM a) SELECT url, ctx, page_id FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY length(ctx) DESC, page_id, ctx) AS r FROM o) WHERE r = 1""",
-    "index_left_match": "SELECT p.page_id, 'Page-' || d.doc_id || '.html' AS slug, d.source AS org FROM pages p LEFT JOIN documents d ON d.doc_id = p.page_id",
+    "index_left_match": "WITH i AS (SELECT CASE WHEN doc_id % 3 = 0 THEN 'Page-' ELSE 'page__' END || (doc_id - doc_id % 2) || '.html' AS slug, source AS org, doc_id AS row FROM documents), k AS (SELECT *, regexp_replace(lower(regexp_replace(slug, '\\.[^.]*$', '')), '[^a-z0-9]', '', 'g') AS key FROM i), f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY row) AS r FROM k) WHERE r = 1) SELECT p.page_id, f.slug, f.org FROM pages p LEFT JOIN f ON f.key = regexp_replace(lower(regexp_replace(regexp_extract('raw/page_' || p.page_id || '.htm', '([^/]*)$', 1), '\\.[^.]*$', '')), '[^a-z0-9]', '', 'g')",
     "answer_join": f"WITH {GRID} SELECT d.doc_id AS num, d.source, g.resp, g.resp IS NOT NULL AS resp_verificada FROM documents d LEFT JOIN grid g ON d.doc_id = g.num",
     "answer_upsert": f"WITH {GRID}, r AS (SELECT doc_id AS num, CASE WHEN doc_id % 10 = 0 THEN 'D' END AS resp FROM documents) SELECT coalesce(g.num, r.num) AS num, coalesce(r.resp, g.resp) AS resp FROM grid g FULL JOIN r ON g.num = r.num",
     "answer_gaps": "SELECT doc_id AS num FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)",
@@ -124,14 +124,14 @@ ORACLE = {
     "rule_cascade": f"WITH {CORPUS}, f AS (SELECT id, {FOLD_B.format('q')} AS s, {FOLD_B.format(chr(40) + 'concat_ws(' + chr(39) + ' ' + chr(39) + ', q, array_to_string(opts, ' + chr(39) + ' ' + chr(39) + '))' + chr(41))} AS o FROM corpus) SELECT id, coalesce({_RULE.format('s', 1, 2, 3)}, {_RULE.format('o', 1, 2, 3)}) AS topic FROM f",
     "foreign_filter": f"WITH f AS (SELECT doc_id, {FOLD_B.format('text')} AS s FROM documents) SELECT doc_id FROM f WHERE regexp_matches(s, '\\b(the|les|los)\\b') AND NOT regexp_matches(s, '\\b(is|est)\\b') AND regexp_matches(s, '\\b(of|de|der)\\b')",
     "scope_evidence": f"WITH f AS (SELECT doc_id, text, {FOLD_B.format('text')} AS s FROM documents), m AS (SELECT *, regexp_extract(s, '\\b(with|avec|mit|con)\\b') AS w FROM f WHERE regexp_matches(s, '\\b(with|avec|mit|con)\\b')), a AS (SELECT *, length(regexp_extract(s, '(?s)^(.*?)\\b(with|avec|mit|con)\\b', 1)) + 1 AS pos FROM m) SELECT doc_id, substr(text, greatest(pos - 30, 1), pos + length(w) + 40 - greatest(pos - 30, 1)) AS evidence FROM a",
-    "token_jaccard_pairs": f"WITH t AS (SELECT item_id, list_distinct(list_filter(string_split_regex(trim(regexp_replace({FOLD.format('text')}, '[^a-z0-9ñ ]', ' ', 'g')), ' +'), lambda x: length(x) > 2 AND x NOT IN ('the', 'and', 'for', 'los', 'las', 'der', 'die', 'das', 'les', 'des', 'que', 'con'))) AS t FROM benchmark), p AS (SELECT a.item_id AS a, b.item_id AS b, len(list_intersect(a.t, b.t)) / (len(a.t) + len(b.t) - len(list_intersect(a.t, b.t))) AS j FROM t a JOIN t b ON a.item_id < b.item_id) SELECT a, b, round(j, 6) AS jaccard FROM p WHERE j >= 0.02",
+    "token_jaccard_pairs": f"WITH pieces AS (SELECT item_id * 2 AS item_id, text FROM benchmark UNION ALL SELECT item_id * 2 + 1, left(text, CAST(floor(length(text) * 2 / 3) AS INTEGER)) FROM benchmark), t AS (SELECT item_id, list_distinct(list_filter(string_split_regex(trim(regexp_replace({FOLD.format('text')}, '[^a-z0-9ñ ]', ' ', 'g')), ' +'), lambda x: length(x) > 2 AND x NOT IN ('the', 'and', 'for', 'los', 'las', 'der', 'die', 'das', 'les', 'des', 'que', 'con'))) AS t FROM pieces), p AS (SELECT a.item_id AS a, b.item_id AS b, len(list_intersect(a.t, b.t)) / (len(a.t) + len(b.t) - len(list_intersect(a.t, b.t))) AS j FROM t a JOIN t b ON a.item_id < b.item_id) SELECT a, b, round(j, 6) AS jaccard FROM p WHERE j >= 0.5",
     "cosine_pairs": "WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings), p AS (SELECT a.vec_id AS a, b.vec_id AS b, 1.0 - list_dot_product(a.v, b.v) AS d FROM e a JOIN e b ON a.vec_id < b.vec_id) SELECT a, b, round(d, 4) AS distance FROM p WHERE d < 0.65",
     "threshold_sweep": "WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings), p AS (SELECT 1.0 - list_dot_product(a.v, b.v) AS d FROM e a JOIN e b ON a.vec_id < b.vec_id) SELECT t.threshold, count(*) FILTER (d < t.threshold) AS n_pairs FROM p, (VALUES (0.5::DOUBLE), (0.55::DOUBLE), (0.6::DOUBLE), (0.65::DOUBLE), (0.7::DOUBLE)) t(threshold) WHERE d < 0.7 GROUP BY 1",
     "recency_weight": f"WITH {CORPUS} SELECT org, count(*) AS n, round(sum({RECENCY}), 6) AS weight, round(sum({RECENCY}) / count(*), 3) AS mean_weight FROM corpus GROUP BY org",
     "topic_weights_laplace": "WITH c AS (SELECT CAST(doc_id % 20 + 1 AS INTEGER) AS topic, count(*) AS n FROM labels GROUP BY 1), j AS (SELECT CAST(n_nationkey + 1 AS INTEGER) AS topic, coalesce(c.n, 0) AS n FROM nation LEFT JOIN c ON c.topic = n_nationkey + 1), e AS (SELECT topic, n, round((n + 0.5::DOUBLE) / (sum(n) OVER () + 0.5::DOUBLE * count(*) OVER ()) * 65, 6) AS expected FROM j) SELECT topic, n, expected, row_number() OVER (ORDER BY expected DESC, topic) AS rank FROM e",
     "family_summary": f"WITH d AS (SELECT CAST(doc_id AS VARCHAR) AS id, md5({KEY.format('text')}) AS family, lang, source, CAST(2000 + doc_id % 25 AS INTEGER) AS year, doc_id FROM documents), t AS (SELECT family, lang, count(*) AS k, min(doc_id) AS p FROM d GROUP BY 1, 2), m AS (SELECT family, lang FROM (SELECT *, row_number() OVER (PARTITION BY family ORDER BY k DESC, p) AS r FROM t) WHERE r = 1) SELECT d.family, count(*) AS n, any_value(m.lang) AS majority, count(DISTINCT d.lang) AS n_topics, array_to_string(list_sort(list(DISTINCT source)), ',') AS orgs, count(DISTINCT source || ' ' || year) AS n_sittings, round(sum({RECENCY}), 6) AS weight, array_to_string(list_sort(list(id)), ',') AS members FROM d JOIN m ON d.family = m.family GROUP BY d.family HAVING count(*) > 1",
     "migrate_defaults": f"WITH {CORPUS} SELECT id, resp, resp IN ('A', 'B', 'C', 'D') AS resp_verificada, coalesce(CASE WHEN pos % 4 = 0 THEN conf END, 1.0::DOUBLE) AS conf, 'html' AS origen, false AS revisar, 0.0::DOUBLE AS penalizacion, false AS reserva, true AS changed FROM corpus",
-    "compact_payload": f"WITH {CORPUS} SELECT id, left(q, 700) AS q, len(opts) AS n_opts, CAST(instr('ABCD', resp) - 1 AS BIGINT) AS r, nullif(ccaa, '') AS c FROM corpus WHERE resp IN ('A', 'B', 'C', 'D')",
+    "compact_payload": f"WITH {CORPUS} SELECT id, q, left(opts[1], 700) AS ctx, len(opts) AS n_opts, CAST(instr('ABCD', resp) - 1 AS BIGINT) AS r, nullif(ccaa, '') AS c FROM corpus WHERE resp IN ('A', 'B', 'C', 'D')",
     "payload_json": f"WITH {CORPUS} SELECT replace(CAST(to_json({{'id': id, 'q': q, 'opts': opts, 'resp': resp}}) AS VARCHAR), '</', '<\\/') AS json FROM corpus WHERE resp IN ('A', 'B', 'C', 'D')",
     "hash_sample": "SELECT doc_id FROM documents ORDER BY md5('1-' || doc_id), doc_id LIMIT 20",
     "union_parts": "SELECT 'documents' AS part, count(*) AS n, CAST(0 AS BIGINT) AS n_extra FROM documents UNION ALL SELECT 'benchmark', count(*), count(text) FROM benchmark",
@@ -139,8 +139,8 @@ ORACLE = {
     "set_intersection": "SELECT doc_id FROM documents INTERSECT SELECT doc_id FROM labels",
     "normalised_keys": f"SELECT doc_id, md5({KEY.format('text')}) AS spaced, md5(trim(regexp_replace(regexp_replace({FOLD.format('text')}, '[^a-z0-9\\s]', '', 'g'), '\\s+', ' ', 'g'))) AS removed, md5({FOLD.format('text')}) AS folded FROM documents",
     "scalar_functions": "SELECT c_custkey, CASE WHEN c_custkey < 1000 THEN CAST(c_custkey AS INTEGER) END AS num, CASE WHEN c_custkey < 1000 THEN regexp_replace(c_custkey || '.- Stem of ' || c_name, '^\\s*\\d{1,3}\\s*[.)-]\\s*', '') ELSE c_custkey || '.- Stem of ' || c_name END AS rest, CASE WHEN c_custkey % 8 <= 5 THEN substr('ABCDEF', CAST(c_custkey % 8 + 1 AS INTEGER), 1) END AS letter, regexp_replace(c_name, '[0-9]+', 'N', 'g') AS masked, c_name AS option, CASE WHEN c_custkey % 3 = 0 THEN '2015' ELSE 's/f' END AS year, printf('X-%02d-%03d', c_custkey % 90, c_custkey % 900) AS id FROM customer",
-    "grid_scan": "SELECT o_custkey, CAST(o_orderkey AS INTEGER) AS num, CASE WHEN o_orderkey % 5 = 4 THEN NULL ELSE substr('ABCD', CAST(o_orderkey % 5 + 1 AS INTEGER), 1) END AS resp FROM orders",
-    "html_questions": "SELECT url AS file, CAST(CASE WHEN page_id + 1 < 1000 THEN page_id + 1 ELSE page_id END AS INTEGER) AS num, url AS q, CAST(4 AS BIGINT) AS n_opts, CAST(1 AS INTEGER) AS right_index, CAST(0 AS BIGINT) AS n_fails, CAST(CASE WHEN page_id BETWEEN 1 AND 999 THEN 1 ELSE 0 END AS BIGINT) AS n_warnings FROM pages WHERE page_id < 999",
+    "grid_scan": "WITH t AS (SELECT o_custkey, string_agg(o_orderkey || ' ' || CASE WHEN o_orderkey % 5 = 4 THEN 'anulada' ELSE substr('abcd', CAST(o_orderkey % 5 + 1 AS INTEGER), 1) END, ' ' ORDER BY o_orderkey) AS text FROM orders GROUP BY 1), p AS (SELECT o_custkey, unnest(regexp_extract_all(text, '[0-9]+ [a-z]+')) AS p FROM t), s AS (SELECT o_custkey, string_split(p, ' ') AS s FROM p) SELECT o_custkey, CAST(s[1] AS INTEGER) AS num, CASE WHEN upper(s[2]) <> 'ANULADA' THEN upper(s[2]) END AS resp FROM s",
+    "html_questions": "SELECT url AS file, CAST(CASE WHEN page_id + 1 <= 999 THEN page_id + 1 WHEN page_id <= 999 THEN page_id ELSE 1 END AS INTEGER) AS num, CASE WHEN page_id + 1 <= 999 THEN url ELSE CAST(page_id + 1 AS VARCHAR) || '. ' || url END AS q, CAST(4 AS BIGINT) AS n_opts, CAST(1 AS INTEGER) AS right_index, CAST(CASE WHEN page_id > 999 THEN 1 ELSE 0 END AS BIGINT) AS n_fails, CAST(CASE WHEN page_id BETWEEN 1 AND 998 THEN 1 ELSE 0 END AS BIGINT) AS n_warnings FROM pages",
     "daily_event_counts": "SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, event_type, count(*) AS n, round(sum(value), 4) AS value FROM events GROUP BY 1, 2",
     "likelihood_weights": f"WITH {CORPUS} SELECT org, count(*) AS n, round(sum(exp(-0.1::DOUBLE * greatest(2026 - year, 0)) * CASE ccaa WHEN 'es' THEN 1.0::DOUBLE WHEN 'fr' THEN 0.75::DOUBLE WHEN 'de' THEN 0.25::DOUBLE ELSE 0.5::DOUBLE END), 6) AS weight FROM corpus GROUP BY org",
     "topic_weights_dirichlet": f"WITH {SYLLABUS} SELECT topic, n, round(expected, 6) AS expected FROM expected",

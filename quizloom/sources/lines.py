@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: What opens a question, an option, a topic and a section.
-NUMBER, OPTION, TOPIC, SECTION = r"^\s*(\d{1,3})\s*\.\s*-?\s+", r"^\s*[a-dA-D]\s*\)\s*", r"^\s*(\d{1,2})\.\s+(.*)$", r"(?i)^\s*(parte\s+general|temario\s+espec)"
+#: What opens a question, an option, a topic of a list, a topic and a section of a syllabus; and lines that repeat on each sheet.
+NUMBER, OPTION, TOPIC = r"^\s*(\d{1,3})\s*\.\s*-?\s+", r"^\s*[a-dA-D]\s*\)\s*", r"^\s*(\d{1,2})\.\s+(.*)$"
+SYLLABUS_TOPIC, SECTION = r"^\s*TEMA\s+(\d{1,2})\s*[:.]\s*(.*)$", r"^\s*(PARTE GENERAL|TEMARIO ESPEC[ÍI]FICO|PARTE ESPEC[ÍI]FICA)\s*$"
+NOISE = r"(?i)^\s*(BOLET[ÍI]N OFICIAL|núm\.\s*\d+|https://sede|\d{4,}-\d{4,}|\.dóC|ANEXO|PROGRAMA)"
+#: Fixed value: where a topic's first sentence ends.
+SENTENCE = r"(?<=[a-záéíóúñ0-9)])[.:]\s"
 
 
 def _joined(column: str = "text"):
@@ -44,9 +48,17 @@ def bold_questions(lines: DataFrame, bold: float = 0.5, number: str = NUMBER, op
     return out.withColumn("misnumbered", F.col("printed") != F.col("num"))
 
 
-def syllabus(lines: DataFrame, noise: str = r"^\s*\d*\s*$", section: str = SECTION, topic: str = TOPIC) -> DataFrame:
-    """doc, section, num, text of numbered topics from lines (doc, page, line_no, text); what follows goes on with the open topic, a section closes it."""
-    kept = lines.where(F.col("text").isNotNull() & ~F.regexp_like("text", F.lit(noise)))
+def without_noise(lines: DataFrame, noise: str = NOISE) -> DataFrame:
+    """Lines that are neither null, blank nor noise."""
+    return lines.where((F.trim("text") != "") & ~F.regexp_like("text", F.lit(noise)))
+
+
+def syllabus(lines: DataFrame, noise: str = NOISE, section: str = SECTION, topic: str = SYLLABUS_TOPIC) -> DataFrame:
+    """doc, section, num, text of numbered topics from lines (doc, page, line_no, text); what follows goes on with the open topic, a section closes it.
+
+    Noise, blank and null lines are left out, as are those outside all sections; an empty table gives no rows.
+    """
+    kept = without_noise(lines, noise)
     w = Window.partitionBy("doc").orderBy("page", "line_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     is_section, is_topic = F.regexp_like("text", F.lit(section)), F.regexp_like("text", F.lit(topic))
     specific = F.when(F.upper("text").contains("ESPEC"), F.lit("specific")).otherwise(F.lit("general"))
@@ -60,7 +72,7 @@ def topic_names(lines: DataFrame, text: str = "text", order: str = "line_no", mo
     """topic, name: the first sentence of each numbered line, cut; of a number met twice the last line's."""
     t = F.trim(text)
     named = lines.where(F.regexp_like(t, F.lit(TOPIC))).select(F.regexp_extract(t, TOPIC, 1).cast("int").alias("topic"), F.regexp_extract(t, TOPIC, 2).alias("rest"), F.col(order).alias("o"))
-    first = F.get(F.split("rest", r"(?<=[a-záéíóúñ0-9)])[.:]\s", 2), F.lit(0))
+    first = F.get(F.split("rest", SENTENCE, 2), F.lit(0))
     return named.withColumn("name", F.left(F.trim(first), F.lit(most))).groupBy("topic").agg(F.max_by("name", "o").alias("name"))
 
 

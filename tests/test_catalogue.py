@@ -3,6 +3,7 @@
 import math
 import os
 import random
+import re
 
 import duckdb
 import numpy as np
@@ -13,11 +14,12 @@ from quizloom import schema
 from quizloom.functions import text as tx
 from quizloom.operators import metadata as md
 from quizloom.operators import metrics as mx
+from quizloom.operators import records, reports
 from quizloom.operators import similarity as sim
 from quizloom.operators import study as st
 from quizloom.plans import catalogue
 from quizloom.schema import Corpus, CorpusInvalid, Verified
-from quizloom.sources import files, lines, parsers
+from quizloom.sources import files, layout, lines, parsers
 from quizloom.streaming.ingest import append_stream, daily_counts
 
 SF = "/root/testdata/sf0.001"
@@ -84,21 +86,93 @@ HTML = """<form name="pregunta07"><p>7. What is <b>this</b> &amp; that&nbsp;thin
 <input type="radio" onclick="respuesta07('Incorrecto')"/>c) Three<br/><input type="radio" onclick="respuesta07('Incorrecto')"/>d) Four<input type="text" name="resultado"/></form><form><input type="text"></form>"""
 
 
-def test_pages():
-    (q,) = parsers.questions(HTML, "f")
-    assert (q["num"], q["q"], q["opts"], q["right_index"], q["fails"]) == (7, "What is this & that thing?", ["One thing", "Two things", "Three", "Four"], 1, [])
-    (q,) = parsers.questions(HTML.replace("Correcto", "Incorrecto").replace("InIncorrecto", "Incorrecto"), "f")
-    assert q["right_index"] is None and q["fails"]
-    (q,) = parsers.questions(HTML.replace("7. What", "9. What"), "f")
-    assert q["num"] == 9 and q["warnings"] and not q["fails"]
+def test_pages(spark):
+    pages = [("a", HTML), ("b", HTML.replace("Correcto", "Incorrecto").replace("InIncorrecto", "Incorrecto")), ("c", HTML.replace("7. What", "9. What")), ("d", None), ("e", "")]
+    got = {r.file: r for r in parsers.parse_pages(spark.createDataFrame(pages, "url string, html string")).collect()}
+    a, b, c = got["a"], got["b"], got["c"]
+    assert len(got) == 3 and (a.num, a.q, a.opts, a.right_index, a.fails) == (7, "What is this & that thing?", ["One thing", "Two things", "Three", "Four"], 1, [])
+    assert b.right_index is None and b.fails and c.num == 9 and c.warnings and not c.fails
+
+
+def _lines(spark, texts, page=1, doc="d"):
+    return spark.createDataFrame([(doc, page, i, t, 0.9) for i, t in enumerate(texts)], "doc string, page int, line_no int, text string, conf double")
+
+
+def test_scans(spark):
+    seen = [tx.look_alike_number(F.lit(t)) for t in ("1", "|", "l |", "lO", "95", "ab")]
+    assert list(spark.range(1).select(*seen).first()) == [1, 1, 11, 10, 95, None]
+    texts = ["cover", "1. First stem", "goes on", "8. not a new one", None, " ", "a) one", "8) two", "c) three", "more", "d) four", "e) five", "l. second time", "2. Second stem"]
+    got = parsers.parse_scans(_lines(spark, texts).union(_lines(spark, ["1. Other", "a) x"], doc="e"))).orderBy("doc", "num").collect()
+    a, b, c = got
+    assert a.q == "First stem goes on 8. not a new one" and a.opts == ["one", "two", "three more", "four e) five l. second time"] and a.conf <= 0.99
+    assert a.warnings == ["option 8 where b was due"] and b.num == 2 and (c.doc, c.q, c.opts) == ("e", "Other", ["x"])
+    strict = parsers.parse_scans(_lines(spark, ["1. First", "b) not yet", "a) one", "c) no", "b. two", "9) no", "6. Far ahead", "4. Ahead"]), strict_letters=True).orderBy("num").collect()
+    assert [(r.num, r.q, r.opts) for r in strict] == [(1, "First b) not yet", ["one c) no", "two 9) no 6. Far ahead"]), (4, "Ahead", [])]
+    assert strict[1].warnings == ["expected 2, found 4"] and parsers.parse_scans(_lines(spark, ["no question"])).count() == 0
+
+
+def test_sections(spark):
+    texts = ["TEORICO", "1 First", "A) a", "B) b", "A) no option", "C) c", "D) d", "CASO PRACTICO 1: a man", "of 40", "2 Second of", "A) a", "B) b", "C) c", "D) d", "3 No question", "200 Out of range", "4 Fourth", "A) a", "Página 3 de 4"]
+    got = parsers.parse_sections(_lines(spark, texts, page=3), [("theory", 3, 21, 1, 100), ("practice", 22, 34, 101, 150)]).orderBy("num").collect()
+    assert [(r.num, r.q, r.opts, r.context) for r in got] == [
+        (1, "First", ["a", "b A) no option", "c", "d"], None), (2, "Second of 3 No question 200 Out of range", ["a", "b", "c", "d"], "CASO PRACTICO 1: a man of 40"), (4, "Fourth", ["a"], "CASO PRACTICO 1: a man of 40"),
+    ]
+    assert parsers.parse_sections(_lines(spark, texts, page=50), [("theory", 3, 21, 1, 100)]).count() == 0
+
+
+def test_link_contexts_equal_brute_force(spark):
+    rng = random.Random(3)
+    pages = [(i, "".join(rng.choice(['<a href="u1">one</a>', '<a href="u2">', "<b>x</b> ", "word  ", "é\n", '<a href="u3"></a>']) for _ in range(rng.randint(0, 40)))) for i in range(30)] + [(99, None)]
+    best = {}
+    for i, h in pages:
+        for m in re.finditer('href="([^"]+)"', h or ""):
+            text = re.sub(r"\s+", " ", re.sub("<[^>]+>", " ", h[max(0, m.start() - 20) : m.end() + 20])).strip()
+            if m[1] not in best or len(text) > len(best[m[1]][0]):
+                best[m[1]] = (text, i)
+    got = layout.link_contexts(spark.createDataFrame(pages, "page_id int, html string"), 'href="([^"]+)"', 20)
+    assert {r.url: (r.ctx, r.page) for r in got.collect()} == best
+
+
+def test_complete_only_and_quarantine(spark, tmp_path):
+    q = spark.createDataFrame([("a", 1), ("a", 2), ("b", 1), ("c", 1), ("c", 2), ("c", 9), ("d", 1)], "category string, num int")
+    g = spark.createDataFrame([("a", 1), ("a", 2), ("b", 1), ("c", 1), ("c", 2)], "category string, num int")
+    assert {r.category: (r.state, r.numbers) for r in reports.category_states(q, g, 2).collect()} == {"a": ("complete", ""), "b": ("gaps", "2"), "c": ("outside", "9"), "d": ("no grid", "")}
+    assert reports.complete_only(q, g, 2).select("category").distinct().first().category == "a"
+    df = spark.createDataFrame([("a", "x"), ("b", "y")], "id string, why string")
+    out = str(tmp_path / "q")
+    assert files.append_quarantine(df, out, ["id"]) == 2 and files.append_quarantine(df, out, ["id"]) == 0
+    cache = str(tmp_path / "c")
+    assert files.write_cache(df, cache) == 2 and files.write_cache(df.union(df), cache) == 0
+    text = reports.write_report([("ids", reports.report(df, "%s: %s", "id", "why"))], str(tmp_path / "r"))
+    assert text == "== ids ==\na: x\nb: y\n" and [r.value for r in spark.read.text(str(tmp_path / "r")).collect()] == text.rstrip("\n").split("\n")
+    assert files.write_jsonl(df, str(tmp_path / "j")) == 2 and files.write_jsonl(df, str(tmp_path / "k"), dry_run=True) == 2
+    with pytest.raises(ValueError):
+        files.filled_page("<html>", "/*DATA*/", F.lit("{}"))
+
+
+def test_pages_read_in_any_encoding(spark, tmp_path):
+    for name, data in (("a.html", "é€".encode()), ("b.htm", "é€".encode("cp1252")), ("c.txt", b"\xef\xbb\xbfx"), ("d.pdf", b"no")):
+        (tmp_path / name).write_bytes(data)
+    with pytest.warns(UserWarning):
+        got = files.read_pages(spark, str(tmp_path), str(tmp_path / "none"))
+    assert {r.path.rsplit("/", 1)[1]: r.text for r in got.collect()} == {"a.html": "é€", "b.htm": "é€", "c.txt": "x"}
+    (tmp_path / "arr.json").write_text('[{"id": "a"}, {"id": "b"}]')
+    assert sorted(r.id for r in files.read_json_array(spark, str(tmp_path / "arr.json"), "id string").collect()) == ["a", "b"]
+
+
+def test_empty_inputs(spark):
+    none = lambda t: spark.createDataFrame([], t)
+    assert parsers.parse_scans(none("doc string, page int, line_no int, text string, conf double")).count() == 0
+    assert layout.scan_lines(none("doc int, page int, block int, par int, line int, word_no int, text string, conf double")).count() == 0
+    assert layout.placed_grid(none("doc int, page int, x double, y double, text string, conf int, width int")).count() == 0
+    assert reports.category_states(none("category string, num int"), none("category string, num int"), 3).count() == 0
+    assert mx.family_summary(none("id string, family string, topic int, org string, year int, pos int"), "family").count() == 0
+    assert mx.sittings(none("q string, org string, fecha string")).count() == 0
+    r = reports.confidence_summary(none("conf double")).first()
+    assert (r.n, r["mean"], r.least) == (0, 0.0, 0.0) and reports.payload_meta(none("topic int, fam int")).first().n == 0
+    assert records.islands(none("u int, t int"), "u", "t", lambda a, b: b - a > 1).count() == 0 and records.whole_groups(none("g int, x int"), "g", F.col("x") > 0).count() == 0
 
 
-def test_scans():
-    assert [parsers.number(t) for t in ("1", "|", "l |", "lO", "95", "ab")] == [1, 1, 11, 10, 95, None]
-    lines = [(1, t, 0.9) for t in ("cover", "1. First stem", "goes on", "8. not a new one", "a) one", "b) two", "c) three", "more", "d) four", "2. Second stem")]
-    a, b = parsers.scanned_questions(lines)
-    assert a["q"] == "First stem goes on 8. not a new one" and a["opts"] == ["one", "two", "three more", "four"] and b["num"] == 2 and a["conf"] <= 0.99
-
 
 def test_linkage_and_leaders(spark):
     df = spark.createDataFrame([(1, ["aa", "bb", "cc"]), (2, ["aa", "bb", "dd"]), (3, ["bb", "dd", "ee"]), (4, []), (5, ["zz"])], "id long, t array<string>")
@@ -138,8 +212,9 @@ def test_files(spark, tmp_path):
     p = str(tmp_path / "a.jsonl")
     with open(p, "w") as f:
         f.write('{"id": "a", "q": "x"}\n\nnot json\n')
-    got = files.read_jsonl(spark, p).orderBy("line").collect()
-    assert [(r.line, r.id, r._corrupt) for r in got] == [(1, "a", None), (3, None, "not json")]
+    got = files.read_jsonl(spark, p).orderBy("at").collect()
+    assert [(r.id, r._corrupt) for r in got] == [("a", None), (None, "not json")]
+    assert [(r.line, r._corrupt) for r in files.bad_lines(spark, p).collect()] == [(3, "not json")]
     df = spark.createDataFrame([("a",), ("b",), ("b",)], "id string")
     out = os.path.join(tmp_path, "out")
     assert files.append_new(df, out, ["id"], df.schema) == (2, 1)
@@ -170,9 +245,10 @@ def test_bold_questions(spark):
 
 
 def test_syllabus_and_feed(spark):
-    rows = ["1. Before any section", "PARTE GENERAL", "1. First topic. Its rest", "goes  on", "12", "TEMARIO ESPECÍFICO", "stray", "2. Second: more"]
+    rows = ["TEMA 9: Before any section", "PARTE GENERAL", "TEMA 1: First topic. Its rest", "goes  on", "núm. 12", "PARTE ESPECÍFICA", "stray", "TEMA 2. Second: more"]
     df = spark.createDataFrame([("d", 1, i, t) for i, t in enumerate(rows)], "doc string, page int, line_no int, text string")
     assert sorted((r.section, r.num, r.text) for r in lines.syllabus(df).collect()) == [("general", 1, "First topic. Its rest goes on"), ("specific", 2, "Second: more")]
+    df = spark.createDataFrame([("d", 1, i, t) for i, t in enumerate(["1. First topic. Its rest", "goes on", "2. Second: more"])], "doc string, page int, line_no int, text string")
     assert {r.topic: r.name for r in lines.topic_names(df).collect()} == {1: "First topic", 2: "Second"}
     feed = '{"feed": {"entry": [{"title": {"$t": "Colección X"}, "link": [{"rel": "self", "href": "s"}, {"rel": "alternate", "href": "u"}]}, {"title": {"$t": "Other"}, "link": []}]}}'
     assert [tuple(r) for r in lines.feed_entries(spark.createDataFrame([(feed,), ("no json",)], "value string")).collect()] == [("Colección X", "u")]
