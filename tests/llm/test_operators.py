@@ -111,6 +111,53 @@ def test_repeats_equal_brute_force(spark, monkeypatch):
     assert {i: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for i, r in got.items()} == want
 
 
+def test_order_of_records_equals_brute_force():
+    import numpy as np
+
+    rng = random.Random(6)
+    side, size = suffix.DEPTH - suffix.K, 2 * suffix.DEPTH - suffix.K
+    middles = [bytes(rng.choice(b"ab") for _ in range(suffix.K)) for _ in range(3)] + [b"a" * suffix.K, b"a" * (suffix.K - 1) + b"b"]
+    sides = [bytes(rng.choice(b"a\0") for _ in range(side)) for _ in range(4)]
+    rows, low, high, ids = [], [], [], []
+    for _ in range(400):
+        lo = rng.randint(0, side)
+        hi = rng.randint(lo, side)
+        t = bytearray(rng.choice(sides) + rng.choice(middles) + rng.choice(sides))
+        if rng.random() < 0.5:
+            t[rng.randrange(size)] ^= 1
+        t[: side - hi] = bytes(side - hi)
+        t[size - lo :] = bytes(lo)
+        rows.append(bytes(t)), low.append(lo), high.append(hi), ids.append(rng.randint(0, 50))
+    least = {}
+    for t, lo, hi, i in zip(rows, low, high, ids, strict=True):
+        for o in range(lo, hi + 1):
+            w = (o, t[side - o : side - o + suffix.DEPTH])
+            least[w] = min(i, least.get(w, i))
+    want = [sum(1 << o for o in range(lo, hi + 1) if least[o, t[side - o : side - o + suffix.DEPTH]] < i) for t, lo, hi, i in zip(rows, low, high, ids, strict=True)]
+    table = np.frombuffer(b"".join(rows), np.uint8).reshape(-1, size)
+    got = suffix.windows_of_smaller_ids(table, np.array(low, np.uint8), np.array(high, np.uint8), np.array(ids))
+    assert got.tolist() == want and any(want)
+    assert len(suffix.windows_of_smaller_ids(table[:0], np.zeros(0, np.uint8), np.zeros(0, np.uint8), np.zeros(0, np.int64))) == 0
+
+
+def test_repeats_do_not_rest_on_hashes(monkeypatch):
+    """All hashes alike: each place passes the filter, and the order alone tells windows apart."""
+    import numpy as np
+
+    rng = random.Random(7)
+    passages = ["".join(rng.choice("abcd e") for _ in range(rng.randint(30, 120))) for _ in range(8)]
+    texts = sorted({"".join(rng.choice(passages) for _ in range(rng.randint(1, 6))).encode() for _ in range(60)})
+    monkeypatch.setattr(suffix, "_PART", 1 << 8)
+    monkeypatch.setattr(suffix.Hashes, "of", lambda self, start, end: np.zeros(len(start), np.uint64))
+    b = suffix.Bucket(texts, list(range(len(texts))), 40, 4)
+    b.copies()
+    b.drop(np.zeros(len(b.texts), bool))
+    r = b.second(b.first()[0])
+    found = suffix.windows_of_smaller_ids(r.rows, r.low, r.high, r.ids)
+    got = suffix._result(texts, list(range(len(texts))), b, b.marks(r, found))
+    assert dict(enumerate(got)) == brute_repeats(list(enumerate(texts)))
+
+
 def test_latin_split_equals_the_general_one():
     enc = bpe.Encoder({bytes([i]): i for i in range(256)}, queries.PATTERN)
     rng, every = random.Random(1), "".join(map(chr, range(256)))
