@@ -41,12 +41,11 @@ def kept(text: Column) -> Column:
 def kept_of(bare: Column) -> Column:
     """kept() of a text without white space."""
     long = lambda n: F.lit(n).cast("long")
-    first = lambda x, n: F.slice(x, F.lit(1), F.greatest(F.size(x) - n, F.lit(1)))
 
     def codes(t: Column) -> Column:
         return F.concat(F.transform(t, lambda c: F.xxhash64(c)), F.array_repeat(long(ABSENT), F.greatest(K - F.size(t), F.lit(0))))
 
-    def threes(c: Column) -> Column:  # beyond the end: null, and never read
+    def threes(c: Column) -> Column:  # beyond the end: null, here and below, which least passes over
         return F.transform(c, lambda x, i: F.shiftleft(x, 2).bitwiseXOR(F.shiftleft(F.get(c, i + 1), 1)).bitwiseXOR(F.get(c, i + 2)))
 
     def sixes(h: Column) -> Column:
@@ -54,18 +53,19 @@ def kept_of(bare: Column) -> Column:
 
     def grams(h: Column) -> Column:
         gram = lambda x, i: F.shiftleft(x, 6).bitwiseXOR(F.get(h, i + 6))
-        return F.transform(first(h, K - 1), lambda x, i: F.shiftleft(gram(x, i), 31).bitwiseXOR(F.bitwise_not(i).cast("long")))
+        return F.transform(h, lambda x, i: F.shiftleft(gram(x, i), 31).bitwiseXOR(F.bitwise_not(i).cast("long")))
 
     def least_parts(p: Column) -> Column:
         return F.transform(p, lambda x, i: F.least(x, *[F.get(p, i + j) for j in range(1, STEP)]))
 
     def least(m: Column) -> Column:
-        return F.array_distinct(F.transform(first(m, W - 1), lambda x, i: F.least(x, *[F.get(m, i + j) for j in range(STEP, W, STEP)])))
+        return F.transform(m, lambda x, i: F.least(x, *[F.get(m, i + j) for j in range(STEP, W, STEP)]))
 
     value = F.split(bare, "")
     for step in (codes, threes, sixes, grams, least_parts, least):
         value = _let(value, step)
-    return F.when(bare == "", F.array().cast("array<bigint>")).otherwise(value)
+    whole = F.slice(value, F.lit(1), F.greatest(F.length(bare) - (K + W - 2), F.lit(1)))  # windows that lie within the text; or one
+    return F.when(bare == "", F.array().cast("array<bigint>")).otherwise(F.array_distinct(whole))
 
 
 def _position(v: Column) -> Column:
