@@ -5,11 +5,13 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import weakref
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
+_written: dict[int, tuple] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,7 +54,7 @@ def scratch(spark: SparkSession) -> str:
 def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     """Write df as a Parquet table in the shared folder and read it back, which ends its lineage.
 
-    The files survive the loss of any executor. They are deleted when the application ends.
+    The files survive the loss of any executor. They are deleted by drop(), or when the application ends.
     """
     spark = df.sparkSession
     path = f"{scratch(spark)}/quizloom-{name}-{uuid.uuid4().hex}"
@@ -60,4 +62,15 @@ def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     jvm = spark._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     hpath.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).deleteOnExit(hpath)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _written[id(out)] = (weakref.ref(out, lambda _, k=id(out): _written.pop(k, None)), path)
+    return out
+
+
+def drop(*frames: DataFrame) -> None:
+    """Delete the files of frames that cut() gave, once nothing reads them any more (a round's, when the next is written)."""
+    for df in frames:
+        if known := _written.pop(id(df), None):
+            spark = df.sparkSession
+            hpath = spark._jvm.org.apache.hadoop.fs.Path(known[1])
+            hpath.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(hpath, True)
