@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quizloom.llm import audio, bpe, lm, mixing, pii, secrets, simhash, suffix, toxicity, winnow
+from quizloom.llm import audio, bpe, extract, lm, mixing, oracle, phrases, pii, pq, secrets, simhash, suffix, toxicity, winnow
 from quizloom.session import table
 
 #: Vocabulary files of public tokenizers, outside the repository.
@@ -60,15 +60,28 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def op11_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return extract.extract_text(pages, extract.train(pages))
+
+
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pq.vector_codes(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = {f.__name__: f for f in (op1_toxicity, op2_fingerprints, op3_bpe, op4_mixing, op5_suffix_dedup, op6_secrets, op7_media, op8_lm, op9_pii, op10_simhash)}
+    found = {f.__name__: f for f in (op1_toxicity, op2_fingerprints, op3_bpe, op4_mixing, op5_suffix_dedup, op6_secrets, op7_media, op8_lm, op9_pii, op10_simhash, op11_html, op12_phrases, op13_codes)}
     import corpus_pipeline
 
     return found | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_mixing": MIXING_SQL}
+    return {"op4_mixing": MIXING_SQL, "op12_phrases": oracle.PHRASES_SQL, "op13_codes": oracle.vector_code_sql()}
 
 
 MIXING_SQL = r"""
