@@ -22,8 +22,8 @@ from quizloom.llm.common import map_arrow
 from quizloom.llm.dom import HINTS, NAMES, Block, leaf_blocks
 from quizloom.llm.layouts import MARK, PROSE, Setter
 
-#: Pages of the training sample, code points of one, layouts that each is set in, passes, and the size of steps and penalty.
-SAMPLE, SHORT, LAYOUTS, PASSES, STEP, DECAY = 240, 100_000, 3, 150, 0.15, 1e-3
+#: Pages of the training sample, how many times as many are drawn by hash, code points of one, layouts that each is set in, passes, and the size of steps and penalty.
+SAMPLE, SPARE, SHORT, LAYOUTS, PASSES, STEP, DECAY = 240, 2, 100_000, 3, 150, 0.15, 1e-3
 #: Set phrases of boilerplate.
 _CUES = {
     "rights": r"©|\(c\) \d{4}|copyright|all rights reserved|tous droits|alle rechte|derechos reservados|impressum|privacy policy|terms of (use|service)|datenschutz|mentions légales|aviso legal",
@@ -172,8 +172,11 @@ def train(pages: DataFrame) -> tuple[dict[str, float], np.ndarray]:
 
     Where no page is marked, fixed sentences are set in layouts.
     """
-    short = pages.where((F.char_length("html") <= SHORT) & F.col("html").contains("<article"))
-    drawn = short.select("html", F.xxhash64("html").alias("order")).orderBy("order", "html").limit(SAMPLE).collect()  # SAMPLE * SHORT code points at most
+    # Only hashes under a bound are put in order, so that tasks don't each send the driver a sample.
+    share = min(1.0, SPARE * SAMPLE / max(1, pages.count()))
+    order = F.pmod(F.xxhash64("html"), F.lit(1 << 40))
+    short = pages.where((F.char_length("html") <= SHORT) & F.col("html").contains("<article") & (order <= int(share * (1 << 40))))
+    drawn = short.select("html", order.alias("order")).distinct().orderBy("order", "html").limit(SAMPLE).collect()
     return fit(labelled_pages([r.html for r in drawn]))
 
 
