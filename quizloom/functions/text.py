@@ -26,10 +26,12 @@ SEVERAL = {"ﬁ": "fi", "ﬂ": "fl", "…": "...", "½": "1⁄2", "¼": "1⁄4",
 
 def fold(c) -> Column:
     """Lower case without diacritics, punctuation kept."""
-    out = F.translate(F.lower(c), _FROM, _TO)
+    low = F.lower(c)
+    out = F.translate(low, _FROM, _TO)
     for a, b in SEVERAL.items():
         out = F.replace(out, F.lit(a), F.lit(b))
-    return F.regexp_replace(out, r"\p{Mn}", "")
+    # ASCII needs no more than lower case
+    return F.when(F.octet_length(low) == F.length(low), low).otherwise(F.regexp_replace(out, r"\p{Mn}", ""))
 
 
 def fold_upper(c) -> Column:

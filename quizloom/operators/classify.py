@@ -2,52 +2,85 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quizloom.functions.names import fresh
 from quizloom.functions.text import evidence, fold
+from quizloom.operators.terms import MOST, Terms
 
 Rule = tuple[str, str, int]
-Lexicon = dict[int, list[tuple[str, int]]]
-
-
-def prefix_pattern(term: str) -> str:
-    """A term ending in ~ matches words that start so, another whole words."""
-    return rf"\b{term[:-1]}" if term.endswith("~") else rf"\b{term}\b"
 
 
 def first_rule(stem: Column, rules: list[Rule]) -> Column:
     """The first rule that matches the folded stem: struct(name, pattern, topic); null if none."""
-    return F.coalesce(*[F.when(F.regexp_like(stem, F.lit(p)), F.struct(F.lit(n).alias("name"), F.lit(t).alias("topic"))) for n, p, t in rules])
-
-
-def scores(stem: Column, options: Column, lexicon: Lexicon) -> Column:
-    """array of struct(points, order, topic), best first: a term's weight in the stem, else 1 in the options for weights of 2 or more; presence counts, not frequency."""
-    out = []
-    for order, (topic, terms) in enumerate(lexicon.items()):
-        total = F.lit(0)
-        for term, weight in terms:
-            p = F.lit(prefix_pattern(term))
-            hit = F.when(F.regexp_like(stem, p), F.lit(weight))
-            total = total + (hit.when(F.regexp_like(options, p), F.lit(1)) if weight >= 2 else hit).otherwise(F.lit(0))
-        out.append(F.struct((-total).alias("neg"), F.lit(order).alias("order"), F.lit(topic).alias("topic")))
-    return F.array_sort(F.filter(F.array(*out), lambda s: s.neg < 0))
-
-
-def classify(df: DataFrame, rules: list[Rule], lexicon: Lexicon, q: str = "q", opts: str = "opts") -> DataFrame:
+    each = [F.when(F.regexp_like(stem, F.lit(p)), F.struct(F.lit(n).alias("name"), F.lit(t).alias("topic"))) for n, p, t in rules]
+    return F.coalesce(*each) if each else F.lit(None).cast("struct<name:string,topic:int>")
+
+
+class Lexicon:
+    """Weighted terms of topics, from a dict of lists or a table(topic, term, weight); topics in the dict's order, or by number.
+
+    A term's weight counts where the stem has it; else 1 where the options have it and its weight is 2 or
+    more. Presence counts, not frequency. A term that a topic names twice counts twice, as two rows would.
+    """
+
+    def __init__(self, spark: SparkSession, topics: dict[int, list[tuple[str, int]]]):
+        self.topics = {t: [(term, w) for term, w in terms if term] for t, terms in topics.items()}
+        self.terms = Terms(spark, [term for terms in self.topics.values() for term, _ in terms])
+
+    @classmethod
+    def of(cls, table: DataFrame) -> Lexicon:
+        rows = table.select(F.col("topic").cast("int").alias("topic"), "term", F.col("weight").cast("int").alias("weight")).where("topic IS NOT NULL AND weight IS NOT NULL").orderBy("topic", "term", "weight").limit(MOST + 1).collect()
+        if len(rows) > MOST:
+            raise ValueError(f"more than {MOST} terms")
+        topics: dict[int, list[tuple[str, int]]] = {}
+        for r in rows:
+            topics.setdefault(r.topic, []).append((r.term, r.weight))
+        return cls(table.sparkSession, topics)
+
+    def scores(self, stem_hits: Column, option_hits: Column) -> Column:
+        """array of struct(neg, order, topic), best first, of the topics with points. Each hit's points are looked up by its number and added up by topic."""
+        shares: list[list[tuple[int, int, int]]] = [[] for _ in self.terms.terms]
+        for order, terms in enumerate(self.topics.values()):
+            for term, w in terms:
+                if term in self.terms.number:
+                    shares[self.terms.number[term]].append((order, w, int(w >= 2)))
+        if not any(shares):
+            return F.array().cast("array<struct<neg:int,order:int,topic:int>>")
+        each = (", ".join(f"named_struct('order', {o}, 'w', {w}, 'half', {h})" for o, w, h in s) for s in shares)
+        table = F.expr("array(" + ", ".join(f"array({s})" for s in each) + ")")  # folded to one constant
+        own = F.flatten(F.transform(stem_hits, lambda i: F.transform(F.get(table, i), lambda s: F.struct(s.order.alias("order"), s.w.alias("p")))))
+        other = F.flatten(F.transform(F.array_except(option_hits, stem_hits), lambda i: F.transform(F.get(table, i), lambda s: F.struct(s.order.alias("order"), s.half.alias("p")))))
+        got = F.concat(own, other)
+        number = F.lit(list(self.topics))
+        per = F.transform(F.array_distinct(F.transform(got, lambda s: s.order)), lambda o: F.struct((-F.aggregate(F.filter(got, lambda s: s.order == o), F.lit(0), lambda n, s: n + s.p)).alias("neg"), o.alias("order"), F.get(number, o).alias("topic")))
+        return F.array_sort(F.filter(per, lambda s: s.neg < 0))
+
+
+def classify(df: DataFrame, rules: list[Rule], lexicon: Lexicon | dict[int, list[tuple[str, int]]], q: str = "q", opts: str = "opts") -> DataFrame:
     """df with topic, second_topic and why. A rule settles the topic; else the lexicon's best of at least 2 points,
-    abstaining (topic null, the best as second) where it leads by less than 1."""
-    stem, options = fold(q), fold(F.array_join(opts, " "))
-    df = df.withColumns({"__stem": stem, "__opts": F.coalesce(options, F.lit(""))})
-    df = df.withColumn("__rule", first_rule(F.col("__stem"), rules)).withColumn("__s", scores(F.col("__stem"), F.col("__opts"), lexicon))
-    best, second = F.get("__s", F.lit(0)), F.get("__s", F.lit(1))
+    abstaining (topic null, the best as second) where it leads by less than 1.
+
+    A null or empty stem matches no rule and has no points of its own; null options are empty. Ties go to the
+    topic that comes first; repeated rows give equal rows; the three columns replace those of the same names.
+    """
+    if isinstance(lexicon, dict):
+        lexicon = Lexicon(df.sparkSession, lexicon)
+    stem, options, in_stem, in_options, rule, s = fresh(df, "stem", "options", "in_stem", "in_options", "rule", "s")
+    out = df.withColumns({stem: fold(F.col(q)), options: fold(F.coalesce(F.array_join(opts, " "), F.lit("")))})
+    out = out.withColumn(rule, first_rule(F.col(stem), rules))
+    open_ = F.col(rule).isNull()  # only such texts are read by the automaton
+    out = out.withColumns({in_stem: lexicon.terms.hits(F.when(open_, F.col(stem))), in_options: lexicon.terms.hits(F.when(open_, F.col(options)))})
+    out = out.withColumn(s, lexicon.scores(F.col(in_stem), F.col(in_options)))
+    best, second = F.get(F.col(s), F.lit(0)), F.get(F.col(s), F.lit(1))
     points = -best["neg"]
     lead = points + F.coalesce(second["neg"], F.lit(0))
     sure = (points >= 2) & (lead >= 1)
-    topic = F.coalesce(F.col("__rule.topic"), F.when(sure, best["topic"]))
-    other = F.when(F.col("__rule").isNotNull(), F.lit(None).cast("int")).when(sure, second["topic"]).when((points >= 2) & (lead < 1), second["topic"])
-    why = F.when(F.col("__rule").isNotNull(), F.concat(F.lit("rule:"), F.col("__rule.name"))).when(best.isNull(), F.lit("none")).when(points < 2, F.lit("weak")).when(lead < 1, F.lit("tie")).otherwise(F.concat(F.lit("lexicon:"), points.cast("string")))
-    return df.withColumns({"topic": topic.cast("int"), "second_topic": other.cast("int"), "why": why}).drop("__stem", "__opts", "__rule", "__s")
+    topic = F.coalesce(F.col(rule)["topic"], F.when(sure, best["topic"]))
+    other = F.when(~open_, F.lit(None).cast("int")).when(points >= 2, second["topic"])
+    why = F.when(~open_, F.concat(F.lit("rule:"), F.col(rule)["name"])).when(best.isNull(), F.lit("none")).when(points < 2, F.lit("weak")).when(lead < 1, F.lit("tie")).otherwise(F.concat(F.lit("lexicon:"), points.cast("string")))
+    return out.withColumns({"topic": topic.cast("int"), "second_topic": other.cast("int"), "why": why}).drop(stem, options, in_stem, in_options, rule, s)
 
 
 def rule_cascade(df: DataFrame, stages: list[list[Rule]], q: str = "q", opts: str = "opts") -> DataFrame:
@@ -60,8 +93,9 @@ def rule_cascade(df: DataFrame, stages: list[list[Rule]], q: str = "q", opts: st
 
 def scope(df: DataFrame, pattern: str, q: str = "q") -> DataFrame:
     """in_scope, and the text around the first match."""
-    df = df.withColumn("__f", fold(q))
-    return df.withColumns({"in_scope": F.regexp_like("__f", F.lit(pattern)), "evidence": evidence(F.col(q), F.col("__f"), pattern)}).drop("__f")
+    (f,) = fresh(df, "f")
+    df = df.withColumn(f, fold(F.col(q)))
+    return df.withColumns({"in_scope": F.regexp_like(F.col(f), F.lit(pattern)), "evidence": evidence(F.col(q), F.col(f), pattern)}).drop(f)
 
 
 def foreign(stem: Column, foreign_pattern: str, home_pattern: str, legal_pattern: str) -> Column:
