@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +14,8 @@ from quizloom.functions import text as tx
 from quizloom.operators import classify as cl
 from quizloom.operators import rules as rl
 from quizloom.operators.terms import Terms, term_counts
-from quizloom.session import table
+from quizloom.session import scratch, table
+from quizloom.sources import strict
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -32,6 +34,42 @@ def query(sql: str):
     return add
 
 
+_STRICT = f"""{CORPUS}, ids AS (
+  SELECT *, CASE WHEN pos % 17 = 6 THEN 'D-' || lpad(CAST(pos - 1 AS VARCHAR), 9, '0') ELSE id END AS ident, pos % 17 AS k FROM corpus
+), per AS (
+  SELECT CASE WHEN k <> 5 THEN ident END AS id, unnest(list_filter(CASE WHEN k = 5 THEN ['unreadable JSON'] ELSE [
+    CASE WHEN k = 7 THEN 'missing reserva' END, CASE WHEN k = 8 THEN 'verification not boolean' END,
+    CASE WHEN (resp_verificada OR k = 8) AND NOT coalesce(CASE WHEN k = 2 THEN 'Z' ELSE resp END IN ('A', 'B', 'C', 'D'), false) THEN 'verified without a valid letter' END,
+    CASE WHEN NOT resp_verificada AND k = 2 THEN 'letter without verification' END,
+    CASE WHEN k = 9 OR opts IS NULL OR len(opts) = 0 THEN 'no options' END, CASE WHEN k = 1 OR q IS NULL OR trim(regexp_replace(q, '\\s+', ' ', 'g')) = '' THEN 'empty stem' END,
+    CASE WHEN k = 3 THEN 'confidence outside 0 to 1' END, CASE WHEN k = 4 THEN 'penalty outside 0 to 1' END, CASE WHEN k = 7 THEN 'reserve not boolean' END] END, lambda x: x IS NOT NULL)) AS why
+  FROM ids
+), twice AS (
+  SELECT ident AS id, 'repeated id' AS why FROM ids WHERE k <> 5 QUALIFY row_number() OVER (PARTITION BY ident ORDER BY pos) > 1
+)"""
+
+
+@query(f"WITH {_STRICT} SELECT * FROM per UNION ALL SELECT * FROM twice")
+def strict_failures(s, d):
+    """The corpus written as JSON lines with faults of each kind, then checked as it is read."""
+    c = corpus_view(s, d)
+    k = F.col("pos") % 17
+    ident = F.when(k == 6, F.concat(F.lit("D-"), F.lpad((F.col("pos") - 1).cast("string"), 9, "0"))).otherwise(F.col("id"))
+    record = F.struct(
+        ident.alias("id"), "org", "ccaa", F.lit("2020-01-01").alias("fecha"), F.lit(None).cast("string").alias("turno"), F.col("pos").cast("int").alias("num"), F.lit(None).cast("string").alias("bloque"),
+        F.when(k == 1, F.lit(" ")).otherwise(F.col("q")).alias("q"), F.when(k == 9, F.array().cast("array<string>")).otherwise(F.col("opts")).alias("opts"),
+        F.when(k == 2, F.lit("Z")).otherwise(F.col("resp")).alias("resp"), "resp_verificada", F.when(k == 3, F.lit(1.5)).otherwise(F.col("conf")).alias("conf"),
+        F.lit("html").alias("origen"), F.when(k == 4, F.lit(7.0)).otherwise(F.col("penalizacion")).alias("penalizacion"), "reserva",
+    )
+    json = F.to_json(record, {"ignoreNullFields": "false"})
+    json = F.when(k == 5, F.left(json, F.length(json) - 2)).when(k == 7, F.regexp_replace(json, r',"reserva":(true|false)\}$', "}")).when(k == 8, F.regexp_replace(json, r'"resp_verificada":(true|false)', '"resp_verificada":"yes"')).otherwise(json)
+    folder = f"{scratch(s)}/parts-{uuid.uuid4().hex}"
+    lines = c.select(json.alias("value"))
+    for n in range(3):  # three parts, as Spark writes them
+        lines.where(F.pmod(F.xxhash64("value"), F.lit(3)) == n).write.mode("append").text(folder, lineSep="\n")
+    return strict.failures(s, folder, (), "*.txt").select("id", F.regexp_replace("why", ", first in .*$", "").alias("why"))
+
+
 def terms_table(s: SparkSession, d: str) -> DataFrame:
     """r, term, topic, weight: the WORDS most frequent words of four letters or more, every fourth as a prefix, and the PAIRS most frequent pairs of neighbours."""
     text = table(s, d, "documents").select(tx.fold("text").alias("t"))
