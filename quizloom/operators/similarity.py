@@ -61,6 +61,81 @@ def cosine_pairs(df: DataFrame, ident: str, vector: str, below: float, block: in
     return dealt.groupBy("i", "j", "dim").applyInPandas(one, "a long, b long, distance double")
 
 
+def vector_classes(df: DataFrame, ident: str, vector: str) -> DataFrame:
+    """(id, first): rows of equal vectors by the least id among them; null vectors are classes of their own. Groups of copies of any size are one node to what compares vectors."""
+    rows = df.select(F.col(ident).cast("long").alias("id"), F.col(vector).alias("v"), F.when(F.col(vector).isNull(), F.col(ident).cast("string")).otherwise(F.sha2(F.col(vector).cast("string"), 256)).alias("k"))
+    return rows.select("id", "k").join(rows.groupBy("k").agg(F.min("id").alias("first")), "k").select("id", "first")
+
+
+def _sample_cells(df: DataFrame, vector: str, cells: int, most: int, rounds: int = 10) -> np.ndarray:
+    """Unit centres of a sample of about `most` vectors, drawn by hash; worked out on the driver, whatever the table's size."""
+    share = min(1.0, most / max(1, df.count()))
+    order = F.pmod(F.xxhash64(vector), F.lit(1 << 40))
+    rows = df.where(order <= int(share * (1 << 40))).select(F.col(vector).cast("array<double>").alias("v"), order.alias("o")).distinct().orderBy("o", "v").limit(most).collect()
+    if not rows:
+        return np.zeros((0, 0))
+    dim = len(rows[0].v)
+    x = np.array([r.v for r in rows if len(r.v) == dim], np.float64).reshape(-1, dim)
+    centres = x[:: max(1, len(x) // cells)][:cells].copy()
+    for _ in range(rounds):
+        near = (x @ centres.T).argmax(1)
+        sums = np.zeros_like(centres)
+        np.add.at(sums, near, x)
+        norm = np.linalg.norm(sums, axis=1)
+        centres[norm > 0] = sums[norm > 0] / norm[norm > 0, None]
+    return centres
+
+
+def cosine_pairs_indexed(df: DataFrame, ident: str, vector: str, below: float, cells: int | None = None, probes: int = 4, sample: int = 20_000, block: int = 2048) -> DataFrame:
+    """(a, b, distance) of pairs a < b of unit vectors with cosine distance under the bound, found by an inverted index and compared exactly.
+
+    Centres are fitted on a bounded sample; every row lies in the cells of its nearest centres, and rows of
+    one cell are compared, in blocks where the cell is large, so no cell is one task's. A pair is told in the
+    first cell it shares. Nothing told is wrong; pairs that share no cell are missed: recall grows with probes, and
+    with as many probes as cells is whole. A row costs the size of its cells, not of the table. Null vectors,
+    and those of another length than the centres, are in no pair. For groups of copies take vector_classes() first.
+    """
+    ship(df.sparkSession)
+    base = df.where(F.col(vector).isNotNull()).select(F.col(ident).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"))
+    n = base.count()
+    cells = cells or int(min(4096, max(1, round(n**0.5 / 4))))
+    centres = _sample_cells(base, "v", cells, sample)
+    probes = min(probes, max(1, len(centres)))
+
+    def place(frames):
+        for f in frames:
+            f = f[f.v.map(len) == centres.shape[1]]
+            if len(f):
+                x = np.array(f.v.tolist(), np.float64)
+                near = np.sort(np.argpartition(-(x @ centres.T), probes - 1, axis=1)[:, :probes], axis=1).astype(np.int32)
+                yield pd.DataFrame({"id": f.id, "v": f.v, "cs": list(near)})
+
+    if not len(centres):
+        return df.sparkSession.createDataFrame([], "a long, b long, distance double")
+    placed = cut(base.mapInPandas(place, "id long, v array<double>, cs array<int>"), "placed")
+    flat = placed.select("id", "v", "cs", F.explode("cs").alias("cell"))
+    sizes = flat.groupBy("cell").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    meets = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: F.struct(F.least("k", x).alias("i"), F.greatest("k", x).alias("j")))
+    dealt = flat.join(F.broadcast(sizes), "cell").withColumn("k", own).select("id", "v", "cs", "cell", "k", F.explode(meets).alias("p"))  # a row for each of at most 4096 cells, or as many as were asked for
+
+    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+        cell, i, j = int(pdf.cell.iloc[0]), int(pdf.i.iloc[0]), int(pdf.j.iloc[0])
+        ids, k, x, cs = pdf.id.to_numpy(), pdf.k.to_numpy(), np.array(pdf.v.tolist(), np.float64), np.array(pdf.cs.tolist())
+        left, right = np.flatnonzero(k == i), np.flatnonzero(k == j)
+        d = 1.0 - x[left] @ x[right].T
+        r, c = np.nonzero(d < below)
+        a, b = left[r], right[c]
+        keep = ids[a] < ids[b] if i == j else ids[a] != ids[b]
+        a, b, d = a[keep], b[keep], d[r, c][keep]
+        both = (cs[a][:, :, None] == cs[b][:, None, :]).any(2)
+        first = np.where(both, cs[a], np.iinfo(np.int32).max).min(1) == cell
+        a, b = ids[a[first]], ids[b[first]]
+        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b), "distance": d[first]})
+
+    return dealt.select("id", "v", "cs", "cell", "k", "p.i", "p.j").groupBy("cell", "i", "j").applyInPandas(one, "a long, b long, distance double")
+
+
 def linked(pairs: DataFrame) -> DataFrame:
     """(node, root) of the components of pairs (a, b): least label by rounds, each written to the shared folder."""
     edges = cut(pairs.select(F.col("a").cast("long").alias("u"), F.col("b").cast("long").alias("v")).where("u <> v").distinct(), "pairs")
@@ -105,44 +180,91 @@ def leaders(df: DataFrame, ident: str, tokens: str, least: float = 0.5) -> DataF
     return rows.join(named, "set", "left").select("id", F.coalesce("leader", "id").alias("leader"))
 
 
-def average_linkage(vectors: np.ndarray, below: float) -> np.ndarray:
-    """Labels of agglomerative clustering by mean cosine distance, merged while under the bound."""
+#: Distinct vectors of one component that families() takes: memory is in proportion, time grows with the square.
+MOST_LINKED = 50_000
+
+
+def average_linkage(vectors: np.ndarray, below: float, weights: np.ndarray | None = None) -> np.ndarray:
+    """Labels (the least member's place) of agglomerative clustering by mean cosine distance, merged while under the bound; a vector of weight w stands for w copies.
+
+    A chain goes from each cluster to its nearest, until two are each other's nearest: those merge. That gives the
+    clusters that merging the closest pair first gives (up to ties), as a merged cluster is never nearer to a third than the
+    nearer of its halves. The mean distance of two clusters follows from their mean vectors, so no distances are kept:
+    memory is that of the vectors. A cluster with none under the bound is done, for the same reason.
+    """
     n = len(vectors)
-    d = 1.0 - vectors @ vectors.T
-    np.fill_diagonal(d, np.inf)
-    size, label = np.ones(n), np.arange(n)
-    while n > 1:
-        i, j = np.unravel_index(np.argmin(d), d.shape)
-        if d[i, j] >= below:
-            break
-        i, j = min(i, j), max(i, j)
-        row = (d[i] * size[i] + d[j] * size[j]) / (size[i] + size[j])
-        d[i], d[:, i] = row, row
-        d[i, i] = np.inf
-        d[j], d[:, j] = np.inf, np.inf
-        size[i] += size[j]
-        label[label == j] = i
-    return label
+    mean, size = np.array(vectors, np.float64), np.ones(n) if weights is None else np.array(weights, np.float64)
+    at, root = np.arange(n), np.arange(n)  # members' places of rows still open, and what each was merged into
+    off = np.zeros(n)
+    chain: list[int] = []
+    start = 0
+    while True:
+        if not chain:
+            while start < len(at) and off[start]:
+                start += 1
+            if start == len(at):
+                break
+            if off.astype(bool).sum() * 2 > len(at) > 64:  # leave out what is done
+                left = off == 0
+                at, mean, size, off, start = at[left], mean[left], size[left], off[left], 0
+            chain.append(start)
+        i = chain[-1]
+        d = 1.0 - mean @ mean[i] + off
+        d[i] = np.inf
+        j = int(d.argmin())
+        if len(chain) > 1 and d[chain[-2]] <= d[j]:
+            j = chain[-2]
+        if not d[j] < below:
+            off[i] = np.inf
+            chain.pop()
+        elif len(chain) > 1 and j == chain[-2]:
+            del chain[-2:]
+            total = size[i] + size[j]
+            mean[j] = (mean[i] * size[i] + mean[j] * size[j]) / total
+            size[j], off[i] = total, np.inf
+            root[at[i]] = at[j]
+            if j < start:
+                start = j
+        else:
+            chain.append(j)
+    for i in range(n):
+        r = i
+        while root[r] != r:
+            r = root[r]
+        while root[i] != r and i != r:
+            root[i], i = r, root[i]
+    least = np.full(n, n)
+    np.minimum.at(least, root, np.arange(n))
+    return least[root]
 
 
-def families(df: DataFrame, ident: str, vector: str, below: float) -> DataFrame:
+def families(df: DataFrame, ident: str, vector: str, below: float, most: int = MOST_LINKED) -> DataFrame:
     """(id, family, representative): average-linkage clusters; family is the least id, representative the member nearest the centroid.
 
     Clusters cut under a bound lie within components of pairs under it, so components are an
-    exact block. A component's vectors meet in one task: its distance matrix bounds its size.
+    exact block, whose distinct vectors meet in one task; equal vectors are one node with a weight, so copies cost
+    nothing. A component of more than `most` distinct vectors is refused with an error: take a lower bound. Null vectors are families of their own.
     """
     ship(df.sparkSession)
-    roots = linked(cosine_pairs(df, ident, vector, below))
-    named = df.select(F.col(ident).cast("long").alias("id"), F.col(vector).alias("v")).join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    classes = cut(vector_classes(df, ident, vector), "classes")
+    weights = classes.groupBy("first").agg(F.count("*").alias("weight"))
+    nodes = cut(df.select(F.col(ident).cast("long").alias("first"), F.col(vector).cast("array<double>").alias("v")).join(weights, "first"), "nodes")
+    roots = cut(linked(cosine_pairs(nodes, "first", "v", below)).withColumnRenamed("node", "first"), "roots")
+    largest = roots.groupBy("root").count().agg(F.max("count")).first()[0] or 0
+    if largest > most:
+        raise ValueError(f"{largest} vectors are one component under {below}; {most} are the most that one task links")
+    named = nodes.join(roots, "first", "left").withColumn("root", F.coalesce("root", "first"))
+    alone = named.where("v IS NULL").select("first", F.col("first").alias("family"), F.col("first").alias("representative"))
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("id")
-        x = np.array(pdf.v.tolist(), np.float64)
-        labels, ids, out = average_linkage(x, below), pdf.id.to_numpy(), []
-        for k in np.unique(labels):
-            m = np.flatnonzero(labels == k)
-            c = x[m].mean(0)
-            out.append(pd.DataFrame({"id": ids[m], "family": ids[m].min(), "representative": ids[m][np.argmax(np.round(x[m] @ c, 9))]}))
+        pdf = pdf.sort_values("first")
+        x, w = np.array(pdf.v.tolist(), np.float64), pdf.weight.to_numpy()
+        labels, ids, out = average_linkage(x, below, w), pdf["first"].to_numpy(), []
+        order = np.argsort(labels, kind="stable")
+        for m in np.split(order, np.flatnonzero(np.diff(labels[order])) + 1):
+            c = (x[m] * w[m, None]).sum(0) / w[m].sum()
+            out.append(pd.DataFrame({"first": ids[m], "family": ids[m].min(), "representative": ids[m][np.argmax(np.round(x[m] @ c, 9))]}))
         return pd.concat(out)
 
-    return named.groupBy("root").applyInPandas(one, "id long, family long, representative long")
+    found = named.where("v IS NOT NULL").groupBy("root").applyInPandas(one, "first long, family long, representative long").unionByName(alone)
+    return classes.join(found, "first").select("id", "family", "representative")

@@ -317,6 +317,12 @@ def cosine_pairs(s, d):
     return sim.cosine_pairs(table(s, d, "embeddings"), "vec_id", "embedding", 0.65).select("a", "b", F.round("distance", 4).alias("distance"))
 
 
+@query
+def cosine_index_pairs(s, d):
+    p = sim.cosine_pairs_indexed(table(s, d, "embeddings"), "vec_id", "embedding", 0.5)
+    return p.select("a", "b", F.round("distance", 4).alias("distance"))
+
+
 @query
 def threshold_sweep(s, d):
     p = sim.cosine_pairs(table(s, d, "embeddings"), "vec_id", "embedding", 0.7)

@@ -95,6 +95,18 @@ ORACLE = {
     "wildcard_presence": f"WITH {CORPUS}, w AS (SELECT len(list_filter(opts, lambda o: regexp_matches({FOLD_B.format('o')}, '\\b(all|none|the|los|der)\\b'))) > 0 AS h FROM corpus) SELECT count(*) AS n, count(*) FILTER (h) AS n_with, round(count(*) FILTER (h) / greatest(count(*), 1), 6) AS rate FROM w",
     "wildcard_hit_rate": f"WITH {CORPUS}, w AS (SELECT resp, list_transform(opts, lambda o: regexp_matches({FOLD_B.format('o')}, '\\b(all|none|the|los|der)\\b')) AS x FROM corpus WHERE {V}), h AS (SELECT coalesce(x[instr('ABCD', resp)], false) AS hit FROM w WHERE list_contains(x, true)) SELECT count(*) AS n, count(*) FILTER (hit) AS hits, round(count(*) FILTER (hit) / greatest(count(*), 1), 6) AS rate FROM h",
     "length_bias_stats": f"WITH {CORPUS}, w AS (SELECT length(opts[instr('ABCD', resp)])::DOUBLE AS own, list_sum(list_transform(opts, lambda o: length(o)))::DOUBLE AS total FROM corpus WHERE {V} AND len(opts) = 4), dd AS (SELECT own - (total - own) / 3 AS d FROM w) SELECT count(d) AS n, round(avg(d), 5) AS mean, round(stddev_samp(d), 5) AS sd, round(avg(d) / (stddev_samp(d) / sqrt(count(d))), 5) AS t FROM dd",
+    # A finite sum over the degrees of freedom, whose terms are counted up in a recursion.
+    "length_bias_p": f"""WITH RECURSIVE {CORPUS}, w AS (SELECT length(opts[instr('ABCD', resp)])::DOUBLE AS own, list_sum(list_transform(opts, lambda o: length(o)))::DOUBLE AS total FROM corpus WHERE {V} AND len(opts) = 4
+), dd AS (SELECT own - (total - own) / 3 AS d FROM w
+), st AS (SELECT count(d) AS n, round(avg(d), 5) AS mean, round(stddev_samp(d), 5) AS sd, CASE WHEN count(d) >= 3 AND stddev_samp(d) > 0 THEN round(avg(d) / (stddev_samp(d) / sqrt(count(d))), 5) END AS t FROM dd
+), an AS (SELECT *, n - 1 AS v, atan(abs(t) / sqrt(n - 1)) AS o FROM st
+), up AS (
+  SELECT 0 AS k, CASE WHEN v % 2 = 0 THEN 1.0::DOUBLE ELSE cos(o) END AS term, CASE WHEN v % 2 = 0 THEN 1.0::DOUBLE ELSE cos(o) END AS total FROM an
+  UNION ALL
+  SELECT k + 1, term * f, total + term * f
+  FROM (SELECT k, term, total, CASE WHEN v % 2 = 0 THEN (2 * k + 1)::DOUBLE / (2 * k + 2) ELSE (2 * k + 2)::DOUBLE / (2 * k + 3) END * cos(o) * cos(o) AS f FROM up, an WHERE k < (v - 2 - v % 2) // 2)
+)
+SELECT n, mean, sd, t, round(1 - (SELECT CASE WHEN v = 1 THEN 2 * o / pi() WHEN v % 2 = 0 THEN sin(o) * total ELSE 2 / pi() * (o + sin(o) * total) END FROM up ORDER BY k DESC LIMIT 1), 6) AS p FROM an""",
     "recurrence_topk": f"WITH {STEMS}, {KEYED}, per AS (SELECT k, count(*) AS n, arg_min(q, pos) AS q, list_sort(list(DISTINCT org || ' ' || year)) AS s FROM keyed GROUP BY k) SELECT left(q, 92) AS q, len(s) AS n_sittings, n, array_to_string(s, ', ') AS sittings FROM (SELECT * FROM per WHERE len(s) > 1 ORDER BY len(s) DESC, q LIMIT 40)",
     "recurrence_counts": f"WITH {STEMS}, {KEYED}, per AS (SELECT k, count(*) AS n, count(DISTINCT org || ' ' || year) AS s FROM keyed GROUP BY k) SELECT count(*) FILTER (s > 1) AS recurrent, count(*) FILTER (s = 1 AND n > 1) AS same_sitting, (SELECT count(*) FROM stems WHERE length(q) < 80) AS short_discarded FROM per",
     "qa_recurrence": f"WITH {CORPUS} SELECT {KEY.format('q')} AS k, count(*) AS n, array_to_string(list_sort(list(DISTINCT regexp_replace(id, '[0-9]{{3}}$', ''))), ',') AS origins FROM corpus GROUP BY 1 HAVING count(*) > 1 ORDER BY n DESC, k LIMIT 5",
