@@ -5,21 +5,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quizloom.functions.names import fresh
+
 
 def first_wins(df: DataFrame, by: list[str], order: list[str]) -> DataFrame:
-    """The first row of each key in the order given."""
-    w = Window.partitionBy(*by).orderBy(*order)
-    return df.withColumn("__r", F.row_number().over(w)).where("__r = 1").drop("__r")
+    """The first row of each key in the order given; of rows that tie, that of the least hash. A null key is a key.
+
+    A least row is kept for each key before anything is shuffled, so a key that most rows have costs a row a
+    task. Repeated rows give one; columns may have any name; an empty table gives no rows.
+    """
+    (row,) = fresh(df, "row")
+    whole = [F.col(f"`{c}`") for c in df.columns]
+    least = df.groupBy(*by).agg(F.min_by(F.struct(*whole), F.struct(*order, F.xxhash64(*whole))).alias(row))
+    return least.select(f"`{row}`.*")
 
 
 def new_and_collided(new: DataFrame, known: DataFrame, by: str, order: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Rows to append, and those whose key is known already or came before in the same batch."""
-    w = Window.partitionBy(by).orderBy(*order)
-    ranked = new.withColumn("__r", F.row_number().over(w))
-    there = known.select(F.col(by).alias("__k")).distinct()
-    joined = ranked.join(there, ranked[by] == there["__k"], "left")
-    fresh = (F.col("__r") == 1) & F.col("__k").isNull()
-    return joined.where(fresh).drop("__r", "__k"), joined.where(~fresh).drop("__r", "__k")
+    """Rows to append (the first of each key that isn't known), and all others: known, or not the first of their batch.
+
+    A null key is a key, known if a known row has it. Both together are the rows of new, repeated ones as often
+    as they are there. Columns may have any name; empty tables give no rows.
+    """
+    (k,) = fresh(new, "k")
+    there = known.select(F.col(by).alias(k)).distinct()
+    rows = first_wins(new, [by], order).join(there, F.col(f"`{by}`").eqNullSafe(F.col(k)), "left_anti")
+    return rows, new.exceptAll(rows)
 
 
 def quarantine(df: DataFrame, fails: str = "fails") -> tuple[DataFrame, DataFrame]:
@@ -34,8 +44,8 @@ def with_answers(questions: DataFrame, grid: DataFrame, on: str = "num") -> Data
 
 def upsert(base: DataFrame, rectified: DataFrame, on: str = "num") -> DataFrame:
     """Grid with non-null rectifications over it, and those of new numbers."""
-    r = rectified.select(on, F.col("resp").alias("__new"))
-    return base.select(on, "resp").join(r, on, "full").select(on, F.coalesce("__new", "resp").alias("resp"))
+    r = rectified.select(on, F.col("resp").alias("new"))
+    return base.select(on, "resp").join(r, on, "full").select(on, F.coalesce("new", "resp").alias("resp"))
 
 
 def gaps(df: DataFrame, group: str, num: str) -> DataFrame:
@@ -46,10 +56,11 @@ def gaps(df: DataFrame, group: str, num: str) -> DataFrame:
 
 
 def lookup(df: DataFrame, index: DataFrame, key_left, key_right, order: list[str]) -> DataFrame:
-    """Left join by exact key, the index row that comes first winning."""
-    right = first_wins(index.withColumn("__k", key_right), ["__k"], order)
-    left = df.withColumn("__l", key_left)
-    return left.join(right, left["__l"] == right["__k"], "left").drop("__k", "__l")
+    """Left join by exact key, the index row that comes first winning; a null key finds nothing."""
+    k, mine = fresh(df, "k", "mine", also=index.columns)
+    right = first_wins(index.withColumn(k, key_right), [k], order)
+    both = df.withColumn(mine, key_left).join(right, F.col(mine) == F.col(k), "left")
+    return both.drop(k, mine)
 
 
 def carry_forward(df: DataFrame, group: str, order: str, value, name: str) -> DataFrame:
@@ -70,12 +81,14 @@ def islands(df: DataFrame, group: str, order: str, gap) -> DataFrame:
     """Rows numbered by island: a new one begins where gap(previous, current) holds."""
     w = Window.partitionBy(group).orderBy(*([order] if isinstance(order, str) else order))
     jump = F.when(gap(F.lag(F.col(order if isinstance(order, str) else order[0])).over(w), F.col(order if isinstance(order, str) else order[0])), 1).otherwise(0)
-    return df.withColumn("__j", jump).withColumn("island", F.sum("__j").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))).drop("__j")
+    (j,) = fresh(df, "jump")
+    return df.withColumn(j, jump).withColumn("island", F.sum(j).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))).drop(j)
 
 
 def whole_groups(df: DataFrame, group: str, ok) -> DataFrame:
     """Rows of groups all of whose rows hold ok."""
-    good = df.groupBy(group).agg(F.bool_and(F.coalesce(ok, F.lit(False))).alias("__all")).where("__all").select(group)
+    (every,) = fresh(df, "every")
+    good = df.groupBy(group).agg(F.bool_and(F.coalesce(ok, F.lit(False))).alias(every)).where(F.col(every)).select(group)
     return df.join(good, group, "left_semi")
 
 

@@ -50,7 +50,7 @@ def bad_lines(spark: SparkSession, path, schema: T.StructType = RECORD, most: in
     ahead = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("file", "split", "first", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("before"))
     bad = read_jsonl(spark, path, schema).where("_corrupt IS NOT NULL").select("file", "split", "at", "_corrupt")
-    return bad.join(F.broadcast(starts), ["file", "split"]).select("file", (F.col("before") + F.col("at") - F.col("first") + 1).alias("line"), "_corrupt").orderBy("file", "line").limit(most)
+    return bad.join(starts, ["file", "split"]).select("file", (F.col("before") + F.col("at") - F.col("first") + 1).alias("line"), "_corrupt").orderBy("file", "line").limit(most)
 
 
 def read_json_array(spark: SparkSession, path, schema: T.StructType | str) -> DataFrame:
@@ -77,10 +77,9 @@ def write_cache(df: DataFrame, path: str, ident: str = "id") -> int:
         if "PATH_NOT_FOUND" not in str(e):
             raise
         known = df.select(ident).limit(0)
-    fresh = missing_ids(df.dropDuplicates([ident]), known, ident)
-    before = known.count()
-    fresh.write.mode("append").parquet(path)
-    return spark.read.parquet(path).count() - before
+    seen = Observation()  # counted while written
+    missing_ids(df.dropDuplicates([ident]), known, ident).observe(seen, F.count("*").alias("n")).write.mode("append").parquet(path)
+    return seen.get["n"]
 
 
 def json_array(df: DataFrame, order: str) -> DataFrame:
