@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quizloom.functions.text import fold
+from quizloom.functions.text import fold, tidy
 
 #: What an index calls a body, and its name and region.
 BODIES = {
@@ -87,3 +87,10 @@ def translated(df: DataFrame, fixed: dict[str, object]) -> DataFrame:
     opts = F.transform(F.array(*[F.lit(x) for x in "abcd"]), lambda k: F.coalesce(F.try_element_at("opciones", k), F.lit("")))
     out = df.select("id", F.col("fecha_examen").alias("fecha"), F.col("enunciado").alias("q"), opts.alias("opts"), F.upper(F.coalesce("respuesta_correcta", F.lit(""))).alias("resp"), F.regexp_replace("tema", "^T+", "").try_cast("int").alias("tema_primario"))
     return out.withColumns({c: F.lit(v) for c, v in fixed.items()})
+
+
+def page_title(html: Column, first: int | None = None) -> Column:
+    """A page's title, tidied, looked for in its first code points only if a number is given; null without one."""
+    head = html if first is None else F.left(html, F.lit(first))
+    title = F.regexp_extract(head, r"(?is)<title[^>]*>(.*?)</title>", 1)
+    return F.nullif(F.trim(F.regexp_replace(tidy(title), r"\s+", " ")), F.lit(""))

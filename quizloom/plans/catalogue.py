@@ -16,7 +16,7 @@ from quizloom.operators import metrics as mx
 from quizloom.operators import records as rc
 from quizloom.operators import similarity as sim
 from quizloom.operators import study as st
-from quizloom.plans import forms, ingest, topics
+from quizloom.plans import forms, ingest, shown, topics
 from quizloom.plans.oracle import ORACLE
 from quizloom.schema import Corpus, Verified
 from quizloom.session import table
@@ -523,8 +523,8 @@ def file_quarantine(s, d):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return _QUERIES | ingest.QUERIES | topics.QUERIES | forms.QUERIES
+    return _QUERIES | ingest.QUERIES | topics.QUERIES | forms.QUERIES | shown.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return ORACLE | ingest.SQL | topics.SQL | forms.SQL
+    return ORACLE | ingest.SQL | topics.SQL | forms.SQL | shown.SQL
