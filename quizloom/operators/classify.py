@@ -1,4 +1,8 @@
-"""Topics of texts: ordered rules on the stem, then a weighted lexicon with abstention; and its evaluation."""
+"""Topics of texts: ordered rules on the stem, then a weighted lexicon with abstention; and its evaluation.
+
+Null texts match nothing; texts of any length are read whole; repeated rows give equal rows; all columns pass
+and results replace columns of their names; an empty table gives no rows, or zeros where the answer is one row.
+"""
 
 from __future__ import annotations
 
@@ -104,14 +108,17 @@ def foreign(stem: Column, foreign_pattern: str, home_pattern: str, legal_pattern
 
 
 def evaluate(gold: DataFrame, predicted: DataFrame, on: str = "id") -> DataFrame:
-    """total, missing, covered, agree, agree_or_second; gold: topic (and second), predicted: topic."""
-    j = gold.join(predicted.select(on, F.col("topic").alias("p"), F.lit(True).alias("there")), on, "left")
+    """total, missing, covered, agree, agree_or_second; gold: topic (and second), predicted: topic. A null gold topic agrees with nothing."""
+    p, there = fresh(gold, "p", "there")
+    j = gold.join(predicted.select(on, F.col("topic").alias(p), F.lit(True).alias(there)), on, "left")
+    said = F.col(p)
     return j.agg(
-        F.count("*").alias("total"), F.count_if(F.col("there").isNull()).alias("missing"), F.count_if(F.col("p").isNotNull()).alias("covered"),
-        F.count_if(F.col("p") == F.col("topic")).alias("agree"), F.count_if((F.col("p") == F.col("topic")) | (F.col("p") == F.col("second"))).alias("agree_or_second"),
+        F.count("*").alias("total"), F.count_if(F.col(there).isNull()).alias("missing"), F.count_if(said.isNotNull()).alias("covered"),
+        F.count_if(said == F.col("topic")).alias("agree"), F.count_if((said == F.col("topic")) | (said == F.col("second"))).alias("agree_or_second"),
     )
 
 
 def confusions(gold: DataFrame, predicted: DataFrame, k: int = 8, on: str = "id") -> DataFrame:
-    j = gold.join(predicted.select(on, F.col("topic").alias("p")), on).where("p IS NOT NULL AND p <> topic")
+    """topic, p, n: the k most frequent confusions; ties by topic, then p."""
+    j = gold.select(on, "topic").join(predicted.select(on, F.col("topic").alias("p")), on).where("p IS NOT NULL AND p <> topic")
     return j.groupBy("topic", "p").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "topic", "p").limit(k)

@@ -1,4 +1,10 @@
-"""Statistics of a question corpus. Those on answers take Verified records only."""
+"""Statistics of a question corpus. Those on answers take Verified records only.
+
+Unless a function says otherwise: a null group is a group of its own; a null text, list, year or number adds nothing
+to what is counted of it, but its row counts; repeated rows count each; shares of nothing are 0; an empty
+table gives one row of zeros where the answer is one row, else no rows. Only the columns named are read, so
+others may have any name. Ties are broken as each function states.
+"""
 
 from __future__ import annotations
 
@@ -60,6 +66,7 @@ def negation_by_letter(v: Verified, pattern: str = NEGATIVE) -> DataFrame:
 
 
 def wildcard_presence(c: Corpus, pattern: str = WILDCARD) -> DataFrame:
+    """n, n_with (records with an option that the pattern matches) and rate; null options match nothing."""
     has = F.exists("opts", lambda o: F.regexp_like(o, F.lit(pattern)))
     return c.df.agg(F.count("*").alias("n"), F.count_if(has).alias("n_with"), F.round(F.count_if(has) / F.greatest(F.count("*"), F.lit(1)), 6).alias("rate"))
 
@@ -67,15 +74,15 @@ def wildcard_presence(c: Corpus, pattern: str = WILDCARD) -> DataFrame:
 def wildcard_hits(v: Verified, pattern: str = WILDCARD) -> DataFrame:
     """Among verified records with a wildcard option: how often such an option is the answer."""
     wild = F.transform("opts", lambda o: F.regexp_like(o, F.lit(pattern)))
-    df = need_verified(v).withColumn("wild", wild).where(F.exists("wild", lambda x: x))
+    df = need_verified(v).select("resp", wild.alias("wild")).where(F.exists("wild", lambda x: x))
     hit = F.coalesce(F.expr("get(wild, locate(resp, 'ABCD') - 1)"), F.lit(False))
     return df.agg(F.count("*").alias("n"), F.count_if(hit).alias("hits"), F.round(F.count_if(hit) / F.greatest(F.count("*"), F.lit(1)), 6).alias("rate"))
 
 
 def length_bias(v: Verified) -> DataFrame:
-    """Length of the answer less the mean of the other three options: n, mean, sd and t (null under 3 rows)."""
+    """Length of the answer less the mean of the other three options: n, mean, sd and t (null under 3 rows). Records without exactly four options, or with a null one, aren't counted."""
     size = F.transform("opts", lambda o: F.length(o).cast("double"))
-    df = need_verified(v).where(F.size("opts") == 4).withColumn("len", size).withColumn("own", F.expr("len[locate(resp, 'ABCD') - 1]"))
+    df = need_verified(v).where(F.size("opts") == 4).select("resp", size.alias("len")).select("len", F.expr("len[locate(resp, 'ABCD') - 1]").alias("own"))
     total = F.aggregate("len", F.lit(0.0), lambda s, x: s + x)
     df = df.select((F.col("own") - (total - F.col("own")) / 3).alias("d"))
     out = df.agg(F.count("d").alias("n"), F.avg("d").alias("mean"), F.stddev_samp("d").alias("sd"))
@@ -149,8 +156,8 @@ def length_bias_p(v: Verified) -> DataFrame:
 
 
 def recurrences(df: DataFrame, least_chars: int = 80) -> DataFrame:
-    """Stems by their key that more than one sitting (org, year) has: q, n_sittings, n, sittings. df: q, org, year, pos."""
-    long = df.where(F.length("q") >= least_chars).withColumn("k", key("q"))
+    """Stems by their key that more than one sitting (org, year) has: q (that of the least pos), n_sittings, n, sittings. df: q, org, year, pos. Null stems are left out."""
+    long = df.where(F.length("q") >= least_chars).select("q", "org", "year", "pos", key("q").alias("k"))
     per = long.groupBy("k").agg(F.count("*").alias("n"), F.min_by("q", "pos").alias("q"), F.array_sort(F.collect_set(F.concat_ws(" ", "org", "year"))).alias("sittings"))
     return per.select("q", F.size("sittings").cast("long").alias("n_sittings"), "n", "sittings").where("n_sittings > 1")
 
@@ -160,8 +167,8 @@ def recurrence_top(df: DataFrame, k: int = 40, least_chars: int = 80) -> DataFra
 
 
 def recurrence_counts(df: DataFrame, least_chars: int = 80) -> DataFrame:
-    """Keys in two sittings or more, keys repeated in one sitting only, and stems too short to count."""
-    long = df.withColumn("short", F.length("q") < least_chars)
+    """Keys in two sittings or more, keys repeated in one sitting only, and stems too short to count. Null stems are in no count."""
+    long = df.select("q", "org", "year", (F.length("q") < least_chars).alias("short"))
     per = long.where("NOT short").groupBy(key("q").alias("k")).agg(F.count("*").alias("n"), F.count_distinct("org", "year").alias("s"))
     a = per.agg(F.count_if(F.col("s") > 1).alias("recurrent"), F.count_if((F.col("s") == 1) & (F.col("n") > 1)).alias("same_sitting"))
     b = long.agg(F.count_if("short").alias("short_discarded"))

@@ -1,4 +1,9 @@
-"""Relational steps on records: splits, joins, upserts, orders within groups."""
+"""Relational steps on records: splits, joins, upserts, orders within groups.
+
+Unless a function says otherwise: all columns pass, whatever their names (helpers take names of their own, results
+replace columns of theirs); repeated rows stay as often as they are there; a null group is a group, a null key of a
+join finds nothing; an empty table gives no rows.
+"""
 
 from __future__ import annotations
 
