@@ -107,6 +107,19 @@ ORACLE = {
   FROM (SELECT k, term, total, CASE WHEN v % 2 = 0 THEN (2 * k + 1)::DOUBLE / (2 * k + 2) ELSE (2 * k + 2)::DOUBLE / (2 * k + 3) END * cos(o) * cos(o) AS f FROM up, an WHERE k < (v - 2 - v % 2) // 2)
 )
 SELECT n, mean, sd, t, round(1 - (SELECT CASE WHEN v = 1 THEN 2 * o / pi() WHEN v % 2 = 0 THEN sin(o) * total ELSE 2 / pi() * (o + sin(o) * total) END FROM up ORDER BY k DESC LIMIT 1), 6) AS p FROM an""",
+    "bold_question_blocks": """WITH l AS (SELECT conv_id AS doc, turn, role = 'user' AS u, sum(CASE WHEN role = 'user' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn) AS block FROM conversations WHERE text IS NOT NULL
+), b AS (SELECT doc, block, max(CASE WHEN u THEN turn + 1 END) AS printed, count(*) FILTER (NOT u) AS n FROM l WHERE block > 0 GROUP BY ALL
+), s AS (SELECT *, n > 0 OR row_number() OVER (PARTITION BY doc ORDER BY block) = 1 AS st FROM b
+), k AS (SELECT *, sum(CASE WHEN st THEN 1 ELSE 0 END) OVER (PARTITION BY doc ORDER BY block) AS num FROM s)
+SELECT doc, CAST(num AS INTEGER) AS num, CAST(max(printed) FILTER (st) AS INTEGER) AS printed, CAST(max(n) FILTER (st) AS BIGINT) AS n_opts, max(printed) FILTER (st) <> num AS misnumbered FROM k GROUP BY doc, k.num""",
+    "link_windows": r"""WITH p AS (SELECT page_id, html, string_split_regex(html, 'href="([^"]+)"') AS parts, regexp_extract_all(html, 'href="([^"]+)"', 1) AS urls FROM pages WHERE html IS NOT NULL
+), m AS (
+  SELECT page_id, html, urls[i] AS url, length(urls[i]) + 7 AS size, list_sum(list_transform(parts[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(urls[1:i - 1], lambda x: length(x) + 7)), 0) AS start
+  FROM (SELECT *, unnest(range(1, len(urls) + 1)) AS i FROM p)
+), c AS (
+  SELECT url, page_id AS page, start, trim(regexp_replace(regexp_replace(substring(html, CAST(greatest(start - 400, 0) + 1 AS BIGINT), CAST(start + size + 400 - greatest(start - 400, 0) AS BIGINT)), '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g')) AS ctx FROM m
+)
+SELECT url, ctx, page FROM c QUALIFY row_number() OVER (PARTITION BY url ORDER BY length(ctx) DESC, page, start) = 1""",
     "recurrence_topk": f"WITH {STEMS}, {KEYED}, per AS (SELECT k, count(*) AS n, arg_min(q, pos) AS q, list_sort(list(DISTINCT org || ' ' || year)) AS s FROM keyed GROUP BY k) SELECT left(q, 92) AS q, len(s) AS n_sittings, n, array_to_string(s, ', ') AS sittings FROM (SELECT * FROM per WHERE len(s) > 1 ORDER BY len(s) DESC, q LIMIT 40)",
     "recurrence_counts": f"WITH {STEMS}, {KEYED}, per AS (SELECT k, count(*) AS n, count(DISTINCT org || ' ' || year) AS s FROM keyed GROUP BY k) SELECT count(*) FILTER (s > 1) AS recurrent, count(*) FILTER (s = 1 AND n > 1) AS same_sitting, (SELECT count(*) FROM stems WHERE length(q) < 80) AS short_discarded FROM per",
     "qa_recurrence": f"WITH {CORPUS} SELECT {KEY.format('q')} AS k, count(*) AS n, array_to_string(list_sort(list(DISTINCT regexp_replace(id, '[0-9]{{3}}$', ''))), ',') AS origins FROM corpus GROUP BY 1 HAVING count(*) > 1 ORDER BY n DESC, k LIMIT 5",
