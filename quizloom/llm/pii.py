@@ -13,7 +13,9 @@ from __future__ import annotations
 import math
 import random
 import re
+from bisect import bisect_left, bisect_right
 from collections import defaultdict
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -29,12 +31,13 @@ ADDED = [f"crf_{k}" for k in BASE]
 KINDS = BASE + ADDED
 #: Groups of a segment, passes, step and decay of the training.
 MAX_GROUPS, PASSES, STEP, DECAY = 8, 150, 0.1, 1e-4
-#: Bounds of the training sample: documents, contexts taken from them, regions without an entity, groups of a region.
-SAMPLE_DOCS, SAMPLE_CONTEXTS, SAMPLE_EMPTY, SAMPLE_GROUPS = 4000, 80_000, 2000, 40
+#: Bounds of the training sample: documents, contexts taken from them, code points of one, regions without an entity, groups of a region.
+SAMPLE_DOCS, SAMPLE_CONTEXTS, SAMPLE_CHARS, SAMPLE_EMPTY, SAMPLE_GROUPS = 4000, 80_000, 2000, 2000, 40
 #: Digits of a segment that may be an entity (the sign of the first group counts as one).
 MIN_DIGITS, MAX_DIGITS = 4, 20
 
 _LOCAL, _DOMAIN = re.compile(r"[A-Za-z0-9._%+-]"), re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+_DIGITS, _AFTER = re.compile(r"[0-9+(][0-9 ().+/-]{6,}"), re.compile(r"[A-Za-z0-9.-]+")
 _NOT_LOCAL = re.compile(r"[^A-Za-z0-9._%+-]")
 # A match ends where its digits end, so only the start of a run of digits can start one.
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
@@ -285,25 +288,87 @@ def _fit(data: list) -> dict[tuple[str, str], float]:
     return {(k, f): float(w[i, n]) for f, i in names.items() for n, k in enumerate(kinds) if w[i, n]}
 
 
+class _Reach:
+    """Spans by start, and how far those up to each start reach: what a place lies in or meets is told by one search."""
+
+    def __init__(self, spans: list[Span]):
+        ordered = sorted(spans)
+        self.starts = [s[0] for s in ordered]
+        self.ends = list(accumulate((s[1] for s in ordered), max))
+
+    def holds(self, a: int, b: int) -> bool:
+        """Whether one span has all of a to b."""
+        n = bisect_right(self.starts, a)
+        return n > 0 and self.ends[n - 1] >= b
+
+    def meets(self, a: int, b: int) -> bool:
+        """Whether some span shares a place with a to b."""
+        n = bisect_left(self.starts, b)
+        return n > 0 and self.ends[n - 1] > a
+
+
 def find(text: str, weights: dict) -> tuple[list[Span], list[Span]]:
     """Base spans, and all spans; the field adds those that overlap no base span."""
     base = base_spans(text)
-    every = list(base)
+    every, reach = list(base), _Reach(base)
     for r in regions(text):
-        if any(a <= r[0] and r[1] <= b for a, b, _ in base):
+        if reach.holds(r[0], r[1]):
             continue
         for a, b, k in decode(text, r, weights):
-            if not any(x < b and a < y for x, y, _ in base):
+            if not reach.meets(a, b):
                 every.append((a, b, f"crf_{k}"))
     return base, every
 
 
+def contexts(text: str) -> list[str]:
+    """What surrounds long runs of digits and @ signs, from 24 places before to 2 behind, without overlaps; read once.
+
+    A context begins 24 places before the first place that digits or an address can begin at, and goes on with
+    the last such place among its first 25.
+    """
+    mails = []  # of each address: where it may begin, its sign, its end
+    sign = text.find("@")
+    while sign >= 0:
+        if after := _AFTER.match(text, sign + 1):
+            start = sign
+            while start > 0 and _LOCAL.match(text, start - 1):
+                start -= 1
+            if start < sign:
+                mails.append((start, sign, after.end()))
+        sign = text.find("@", sign + 1)
+    signs = [m[1] for m in mails]
+
+    def end(c: int) -> int:
+        if m := _DIGITS.match(text, c):
+            return m.end()
+        i = bisect_right(signs, c)
+        return mails[i][2] if i < len(mails) and mails[i][0] <= c else -1
+
+    out, at, digits = [], 0, _DIGITS.search(text)
+    while True:
+        if digits and digits.start() < at:
+            digits = _DIGITS.search(text, at)
+        i = bisect_right(signs, at)
+        places = ([max(at, mails[i][0])] if i < len(mails) else []) + ([digits.start()] if digits else [])
+        if not places:
+            return out
+        first = max(at, min(places) - 24)
+        last = next(e for c in range(min(first + 24, len(text) - 1), first - 1, -1) if (e := end(c)) >= 0)
+        at = min(len(text), last + 2)
+        out.append(text[first:at])
+
+
 def sample_texts(docs: DataFrame) -> list[str]:
-    """At most SAMPLE_CONTEXTS contexts of digits and @ signs from at most SAMPLE_DOCS documents, those of least id hash."""
+    """At most SAMPLE_CONTEXTS contexts of digits and @ signs, of at most SAMPLE_CHARS code points, from at most SAMPLE_DOCS documents, those of least id hash."""
     ids = docs.where("doc_id IS NOT NULL").select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
-    near = F.regexp_extract_all("text", F.lit(r"(?s)(.{0,24}(?:[0-9+(][0-9 ().+/-]{6,}|[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+).{0,2})"), F.lit(1))
-    picked = docs.join(F.broadcast(ids), "doc_id", "left_semi").select("doc_id", F.explode(near).alias("t"))
-    return [r.t for r in picked.orderBy("doc_id", "t").limit(SAMPLE_CONTEXTS).collect()]
+
+    def run(batches):
+        for part, texts in blocks(batches):
+            rows = [(i, c) for i, t in zip(part.column(0).to_pylist(), texts, strict=True) for c in contexts(t.decode("utf-8", "replace")) if len(c) <= SAMPLE_CHARS]
+            yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows], pa.int64()), pa.array([c for _, c in rows], pa.string())], names=["doc_id", "t"])
+
+    picked = docs.join(F.broadcast(ids), "doc_id", "left_semi").select(F.col("doc_id").cast("long"), "text")
+    return [r.t for r in map_arrow(picked, run, "doc_id long, t string").orderBy("doc_id", "t").limit(SAMPLE_CONTEXTS).collect()]
 
 
 def find_pii(docs: DataFrame, weights: dict | None = None, redact: bool = False) -> DataFrame:
