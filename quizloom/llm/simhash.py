@@ -67,7 +67,8 @@ def links(nodes: DataFrame) -> DataFrame:
     A variant is dealt by the half-word that its two flipped bits leave as it is, so all variants
     of a fingerprint that go to one place go as one row and are written out there. Of a half-word
     that very many fingerprints share, variants are written out first and dealt one by one: the rows
-    are as many, but spread over all places.
+    are as many, but spread over all places. Such half-words are the only thing that is broadcast: each
+    stands for over HOT fingerprints. Without the hint Spark may broadcast the other side, 66 rows a fingerprint.
     """
     sides = []
     for side, (kept, flipped) in enumerate(((range(32, 64), range(32)), (range(32), range(32, 64)))):
@@ -78,7 +79,7 @@ def links(nodes: DataFrame) -> DataFrame:
     hot = counts.where(F.col("n") > HOT).select(F.col("side").alias("hs"), F.col("key").alias("hk"))
     moves = F.array(*[F.struct(F.lit(s).alias("side"), F.col("fp").bitwiseXOR(F.lit(m)).bitwiseAND(F.lit(k)).alias("key"), F.lit(m).alias("move")) for s, k, keep, *_ in sides for m in (0, *keep)])
     sent = nodes.select("fp", F.explode(moves).alias("m")).select("fp", "m.side", "m.key", "m.move")
-    sent = sent.join(hot, (F.col("side") == F.col("hs")) & (F.col("key") == F.col("hk")), "left").withColumn("is_hot", F.col("hk").isNotNull())
+    sent = sent.join(F.broadcast(hot), (F.col("side") == F.col("hs")) & (F.col("key") == F.col("hk")), "left").withColumn("is_hot", F.col("hk").isNotNull())
     masks = F.array(F.col("move"))
     for s, _, _, ones, twos in sides:
         own = F.when(F.bit_count("fp") % 2 == 0, F.lit([0, *ones, *twos])).otherwise(F.lit([0, *ones]))
@@ -102,15 +103,16 @@ def simhash_components(docs: DataFrame) -> DataFrame:
     row's own included. Null and empty texts have fingerprint zero and are linked like any other.
     Repeated rows stay and share their component; a null doc_id never names a component unless
     no other id is there. Equal fingerprints are one node, so groups of copies cost one node.
-    Extra columns are ignored; an empty table gives an empty result.
+    Extra columns are ignored; an empty table gives an empty result. Joins are sort-merge joins: their
+    sides are as many as fingerprints, too many for the driver to broadcast.
     """
     fps = cut(fingerprints(docs), "fps")
     nodes = fps.groupBy("fp").agg(F.min("doc_id").alias("rep"))
     roots = components(links(nodes.select("fp")))
-    rooted = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "rep", F.coalesce("root", "fp").alias("root"))
+    rooted = nodes.join(roots.withColumnRenamed("node", "fp").hint("merge"), "fp", "left").select("fp", "rep", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
-    named = rooted.join(least, "root").select("fp", "component_id")
-    return fps.join(named, "fp").select("doc_id", "fp", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    named = rooted.join(least.hint("merge"), "root").select("fp", "component_id")
+    return fps.join(named.hint("merge"), "fp").select("doc_id", "fp", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ import time
 
 import pytest
 
-from quizloom.llm import pii
+from quizloom.llm import components, pii, simhash
 
 #: Contexts by one expression, which tries each place.
 PLAIN = re.compile(r"(?s).{0,24}(?:[0-9+(][0-9 ().+/-]{6,}|[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+).{0,2}")
@@ -42,3 +42,21 @@ def test_many_addresses_and_phones():
     began = time.time()
     base, every = pii.find(text, {})
     assert sum(k == "email" for _, _, k in base) == 6000 and len(every) >= len(base) and time.time() - began < 20
+
+
+def test_simhash_broadcasts_no_side_that_grows_with_fingerprints(spark, monkeypatch):
+    """With Spark's own threshold: the side of 66 rows a fingerprint and the minima of nodes stay off the driver."""
+    plans = []
+    written = components.cut
+
+    def noted(df, name="cut"):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return written(df, name)
+
+    monkeypatch.setattr(components, "cut", noted)
+    fps = simhash.fingerprints(spark.createDataFrame([(i, f"a b c d {i // 2}") for i in range(60)], "doc_id long, text string"))
+    found = simhash.links(fps.select("fp").distinct())
+    dealt = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in dealt and "BuildLeft" not in dealt
+    components.components(fps.selectExpr("fp u", "fp - 1 v").distinct())
+    assert len(plans) > 1 and not any("BroadcastHashJoin" in p for p in plans)
