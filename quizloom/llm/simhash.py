@@ -128,10 +128,10 @@ def keep_one(docs: DataFrame) -> DataFrame:
     fps = cut(map_arrow(docs.select(F.col("doc_id").cast("long"), "text", hashed.alias("h")), _fingerprints, "doc_id long, h long, fp long"), "fps")
     nodes = fps.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")).alias("rep"))
     roots = components(links(nodes.select("fp")))
-    least = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").groupBy(F.coalesce("root", "fp")).agg(F.min("rep").alias("rep"))
+    least = nodes.join(roots.withColumnRenamed("node", "fp").hint("merge"), "fp", "left").groupBy(F.coalesce("root", "fp")).agg(F.min("rep").alias("rep"))
     stay = least.select(F.col("rep.doc_id").alias(mark), F.col("rep.h").alias(text_hash))
     named = docs.withColumn(text_hash, hashed)
-    kept = named.join(stay, F.col("doc_id").cast("long").eqNullSafe(stay[mark]) & (named[text_hash] == stay[text_hash]), "left_semi")
+    kept = named.join(stay.hint("merge"), F.col("doc_id").cast("long").eqNullSafe(stay[mark]) & (named[text_hash] == stay[text_hash]), "left_semi")
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     one = kept.groupBy("doc_id", text_hash).agg(F.min_by(row, F.xxhash64(F.to_json(row))).alias(mark))
     return one.select(*[F.col(mark)[c].alias(c) for c in docs.columns])

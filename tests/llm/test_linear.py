@@ -60,3 +60,10 @@ def test_simhash_broadcasts_no_side_that_grows_with_fingerprints(spark, monkeypa
     assert "BroadcastHashJoin" in dealt and "BuildLeft" not in dealt
     components.components(fps.selectExpr("fp u", "fp - 1 v").distinct())
     assert len(plans) > 1 and not any("BroadcastHashJoin" in p for p in plans)
+
+
+def test_keep_one_joins_what_stays_without_a_broadcast(spark):
+    docs = spark.createDataFrame([(i, f"a b c d {i // 2}") for i in range(60)], "doc_id long, text string")
+    kept = simhash.keep_one(docs)
+    kept.collect()
+    assert "BroadcastHashJoin" not in kept._jdf.queryExecution().executedPlan().toString()
