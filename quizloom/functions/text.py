@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 from pyspark.sql import Column
@@ -117,6 +118,11 @@ def tags(c, patterns: dict[str, str]) -> Column:
     return F.array_join(F.array_compact(F.array(*[F.when(F.regexp_like(c, F.lit(p)), F.lit(n)) for n, p in patterns.items()])), "+")
 
 
+def ascii_bounds(pattern: str) -> str:
+    r"""The pattern with \b as a bound of a-z, A-Z, 0-9 and _ alone, whatever the version of Java takes for a letter there; so SQL engines see it."""
+    return re.sub(r"\\(.)", lambda m: r"(?:(?<=\w)(?!\w)|(?<!\w)(?=\w))" if m[1] == "b" else m[0], pattern, flags=re.S)
+
+
 def masked_digits(c) -> Column:
     return F.regexp_replace(c, r"\d+", "N")
 

@@ -276,3 +276,14 @@ def test_streams_equal_tables(spark, tmp_path):
     q = daily_counts(stream).writeStream.format("memory").queryName("days").outputMode("complete").trigger(availableNow=True).start()
     q.awaitTermination(60)
     assert shown(map(tuple, spark.table("days").collect())) == shown(map(tuple, daily_counts(events).collect()))
+
+
+def test_sign_bounds_are_those_of_sql(spark):
+    """A letter beyond ASCII after a word ends it in SQL: 'no esñ' holds 'no es'."""
+    texts = ["mira no esñ x", "no este", "ñexcepto", "excepto_", "EXCEPTO", "falsa1", "es falsaé", "a\\b"]
+    df = spark.createDataFrame([(t, "A", True) for t in texts], "q string, resp string, resp_verificada boolean")
+    got = {r.sign: r.n for r in mx.negation_by_letter(Corpus(df).verified()).collect()}
+    con = duckdb.connect()
+    want = sum(con.execute("SELECT regexp_matches(?, ?)", [t, mx.NEGATIVE.replace("(?iu)", "(?i)")]).fetchone()[0] for t in texts)
+    assert got == {"negative": want, "positive": len(texts) - want} and want == 4
+    assert tx.ascii_bounds(r"\\b\d") == r"\\b\d"
