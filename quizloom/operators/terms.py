@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import array
+from itertools import accumulate
+
 import ahocorasick
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,6 +58,17 @@ def found(text: str | None, terms: tuple[str, ...]) -> list[int]:
     return sorted(seen)
 
 
+def found_in(texts: pa.Array, terms: tuple[str, ...]) -> pa.Array:
+    """found() of each text of a batch, of which one at a time is a string."""
+    numbers, sizes = array.array("i"), array.array("i")
+    for t in texts:
+        hits = found(t.as_py(), terms)
+        numbers.extend(hits)
+        sizes.append(len(hits))
+    ends = array.array("i", accumulate(sizes, initial=0))
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(numbers, pa.int32()))
+
+
 class Terms:
     """Folded terms in order, each once; one that ends in ~ stands for words that begin so, another for itself between word bounds.
 
@@ -76,12 +90,15 @@ class Terms:
         return cls(table.sparkSession, sorted(r.t for r in rows if r.t))
 
     def hits(self, text: Column) -> Column:
-        """array<int>: the numbers of the terms that a folded text has, in order; null and empty texts have none."""
+        """array<int>: the numbers of the terms that a folded text has, in order; null and empty texts have none.
+
+        A batch stays in Arrow: a worker holds no second copy of its texts.
+        """
         terms = self.terms
 
-        @F.pandas_udf("array<int>")
-        def udf(s: pd.Series) -> pd.Series:
-            return pd.Series([found(t, terms) for t in s])
+        @F.arrow_udf("array<int>")
+        def udf(s: pa.Array) -> pa.Array:
+            return found_in(s, terms)
 
         return udf(text)
 

@@ -3,7 +3,9 @@
 import random
 import re
 import time
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -112,3 +114,15 @@ def test_lexicon_from_a_table(spark):
     rows = [(1, "Masaje y fricciones", ["calor"]), (2, "agua", []), (3, "agua y calor", None), (4, None, ["masaje", "calor"]), (5, "masaje", ["calor y agua", "friccion"]), (6, "masaje", ["masaje"]), (7, "calor y masaje", [])]
     got = {r.id: (r.topic, r.second_topic, r.why) for r in cl.classify(spark.createDataFrame(rows, "id int, q string, opts array<string>"), [], lexicon).collect()}
     assert got == {1: (7, 3, "lexicon:4"), 2: (None, None, "weak"), 3: (3, 9, "lexicon:3"), 4: (None, None, "weak"), 5: (7, 3, "lexicon:3"), 6: (7, None, "lexicon:2"), 7: (None, 7, "tie")}
+
+
+def test_a_batch_of_texts_is_not_copied_into_strings():
+    texts = pa.array([None, ""] + [f"alpha {'x' * 20_000} beta{i}" for i in range(500)])
+    terms_ = ("alpha", "beta~", "gamma")
+    tm.found("alpha", terms_)  # the automaton is built
+    tracemalloc.start()
+    got = tm.found_in(texts.slice(1), terms_)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got.type == pa.list_(pa.int32()) and got.to_pylist() == [[]] + [[0, 1]] * 500
+    assert peak < texts.nbytes / 20
