@@ -39,14 +39,24 @@ def fold_upper(c) -> Column:
     return F.upper(fold(c))
 
 
+def spaced(folded) -> Column:
+    """Folded text with other characters than a-z, 0-9 and spaces to spaces, spaces collapsed and trimmed."""
+    return F.trim(F.regexp_replace(folded, "[^a-z0-9]+", " "))
+
+
+def unmarked(folded) -> Column:
+    """As spaced, but such characters are taken out; white space is only replaced where that changes it."""
+    return F.trim(F.regexp_replace(F.regexp_replace(folded, r"[^a-z0-9\s]+", ""), r"\s{2,}|[\t\n\x0B\f\r]", " "))
+
+
 def key(c) -> Column:
     """fold, other characters than a-z, 0-9 and spaces to spaces, spaces collapsed and trimmed."""
-    return F.trim(F.regexp_replace(F.regexp_replace(fold(c), "[^a-z0-9 ]", " "), " +", " "))
+    return spaced(fold(c))
 
 
 def key_removed(c) -> Column:
     """As key, but such characters are taken out."""
-    return F.trim(F.regexp_replace(F.regexp_replace(fold(c), r"[^a-z0-9\s]", ""), r"\s+", " "))
+    return unmarked(fold(c))
 
 
 def stem_key(c) -> Column:

@@ -287,3 +287,15 @@ def test_sign_bounds_are_those_of_sql(spark):
     want = sum(con.execute("SELECT regexp_matches(?, ?)", [t, mx.NEGATIVE.replace("(?iu)", "(?i)")]).fetchone()[0] for t in texts)
     assert got == {"negative": want, "positive": len(texts) - want} and want == 4
     assert tx.ascii_bounds(r"\\b\d") == r"\\b\d"
+
+
+def test_keys_take_one_pass_and_equal_the_plain_steps(spark):
+    rng = random.Random(9)
+    texts = ["".join(rng.choice("aB9 é.ñ\t\n\r\x0b\x0c\u00a0-ß½x") for _ in range(rng.randint(0, 40))) for _ in range(400)] + [None, "", " . "]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(tx.fold("t").alias("f"), tx.key("t").alias("k"), tx.key_removed("t").alias("r"))
+    for r in df.collect():
+        if r.f is not None:
+            assert r.k == re.sub(" +", " ", re.sub("[^a-z0-9 ]", " ", r.f)).strip(" ")
+            assert r.r == re.sub(r"[ \t\n\x0b\f\r]+", " ", re.sub(r"[^a-z0-9 \t\n\x0b\f\r]", "", r.f)).strip(" ")
+    plan = catalogue.queries()["normalised_keys"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("translate(") == 1  # the texts are folded once
