@@ -19,7 +19,7 @@ from quizloom.operators import study as st
 from quizloom.plans import forms, ingest, shown, topics
 from quizloom.plans.oracle import ORACLE
 from quizloom.schema import Corpus, Verified
-from quizloom.session import table
+from quizloom.session import cut, table
 from quizloom.sources import files, lines, parsers
 from quizloom.streaming.ingest import daily_counts
 
@@ -155,7 +155,7 @@ def first_wins_dedupe(s, d):
 
 @query
 def collision_anti(s, d):
-    docs = table(s, d, "documents").select("doc_id", "source", F.md5(tx.key("text").cast("binary")).alias("k"))
+    docs = cut(table(s, d, "documents").select("doc_id", "source", F.md5(tx.key("text").cast("binary")).alias("k")), "keyed")  # texts are read once, their keys thrice
     known = table(s, d, "benchmark").select(F.md5(tx.key("text").cast("binary")).alias("k"))
     fresh, collided = rc.new_and_collided(docs, known, "k", ["doc_id"])
     return fresh.select("doc_id", F.lit("new").alias("state")).unionByName(collided.select("doc_id", F.lit("collided").alias("state")))

@@ -299,3 +299,8 @@ def test_keys_take_one_pass_and_equal_the_plain_steps(spark):
             assert r.r == re.sub(r"[ \t\n\x0b\f\r]+", " ", re.sub(r"[^a-z0-9 \t\n\x0b\f\r]", "", r.f)).strip(" ")
     plan = catalogue.queries()["normalised_keys"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("translate(") == 1  # the texts are folded once
+
+
+def test_collisions_read_the_texts_once(spark):
+    plan = catalogue.queries()["collision_anti"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "documents" not in plan and not re.search(r"Relation \[doc_id#\d+L,text#", plan)  # only the known texts are left to read
