@@ -19,9 +19,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Bytes of a batch that goes to a Python worker, where the session sets none: both sides hold a batch or two, and rows of text are large.
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "4m"
+
+
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors once for each application."""
+    """Send this package to the executors once for each application, and bound the bytes of a batch."""
     sc = spark.sparkContext
+    if BATCH_SETTING not in spark.conf.getAll:
+        spark.conf.set(BATCH_SETTING, BATCH_BYTES)
     if sc.applicationId in _shipped:
         return
     root = os.path.dirname(os.path.abspath(__file__))

@@ -126,3 +126,18 @@ def test_a_batch_of_texts_is_not_copied_into_strings():
     tracemalloc.stop()
     assert got.type == pa.list_(pa.int32()) and got.to_pylist() == [[]] + [[0, 1]] * 500
     assert peak < texts.nbytes / 20
+
+
+def test_batches_to_python_workers_are_bounded_in_bytes(spark):
+    import pyarrow as pa
+
+    from quizloom.session import ship
+
+    ship(spark)
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], names=["n", "size"])
+
+    rows = spark.range(0, 3000, 1, 1).selectExpr("repeat(cast(id % 10 as string), 10000) AS t").mapInArrow(sizes, "n long, size long").collect()
+    assert sum(r.n for r in rows) == 3000 and max(r.size for r in rows) < 6 << 20
