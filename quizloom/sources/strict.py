@@ -63,6 +63,7 @@ def failures(spark: SparkSession, folder: str, derived: tuple[str, ...] = DERIVE
     read = lines.where(F.trim("json") != "").withColumn("v", v).withColumn("ok", F.coalesce(F.startswith(F.schema_of_variant("v"), F.lit("OBJECT")), F.lit(False)))
     ident = F.when(F.col("ok") & (F.schema_of_variant(F.try_variant_get("v", "$.id", "variant")) == "STRING"), F.try_variant_get("v", "$.id", "string"))
     records = read.select("file", "split", "at", ident.alias("id"), F.when(F.col("ok"), record_faults(F.col("v"))).otherwise(F.array(F.lit("unreadable JSON"))).alias("faults"))
+    records = cut(records, "records")  # used thrice; a filter on faults, put below, would parse a line anew for each of its checks
     broken = records.select("file", "split", "at", "id", F.posexplode("faults").alias("seq", "why"))
     place = F.struct("file", "split", "at")
     twice = records.where("id IS NOT NULL").groupBy("id").agg(F.count("*").alias("n"), F.min(place).alias("origin")).where("n > 1")

@@ -70,3 +70,10 @@ def test_a_whole_corpus_loads(spark, tmp_path):
     empty.mkdir()
     write(empty, "x.jsonl", "")
     assert strict.failures(spark, str(empty)).collect() == []
+
+
+def test_lines_are_parsed_once_whatever_uses_their_records(spark, tmp_path):
+    (tmp_path / "a.jsonl").write_text('{"id": "x"}\n{"id": "x"}\n')
+    found = strict.failures(spark, str(tmp_path))
+    assert "parse_json" not in found._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert found.where("why like 'repeated id%'").count() == 1
