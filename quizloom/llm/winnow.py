@@ -1,9 +1,9 @@
 """Document fingerprints by winnowing, in DataFrame functions only.
 
 A text's characters are taken without white space. Of all runs of K characters a rolling hash is
-taken: a polynomial over bits (a character's code shifted by its distance from the run's end, all
-added without carry), put together from those of runs of 3 and 6 characters, which every position
-shares with its neighbours. A character's code is 64 random bits. Of each window of W
+taken: a polynomial over bits of the codes of its two halves, runs of RUN characters, which every
+position shares with that RUN characters on. A run's code is 64 random bits, the hash of its slice
+of the text in UTF-32, where each character has as many bytes and a slice costs no search. Of each window of W
 neighbouring hashes the least is kept, the rightmost of equals, with its position. Two texts that
 share K + W - 1 characters in a row therefore share a kept hash, wherever in either text they stand.
 """
@@ -15,13 +15,13 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Characters of a run (twelve: 3 * 2 * 2) and hashes of a window (eight: two parts of STEP).
-K, W, STEP = 12, 8, 4
+#: Characters of a run (twelve: two of RUN) and hashes of a window (eight: two parts of STEP).
+K, W, STEP, RUN = 12, 8, 4, 6
 #: Rows that a bucket of neighbours is meant to hold, and most buckets: beyond that they grow, and spill.
 BUCKET_ROWS, MOST_BUCKETS = 2000, 1 << 18
 _PLACES = 1 << 31
-#: What stands for characters that a text under K lacks.
-ABSENT = 1 << 32
+#: Bytes of a character in UTF-32, and what stands for each that a text under K lacks: no character has it.
+WIDE, ABSENT = 4, b"\xff"
 
 
 def _let(value: Column, body) -> Column:
@@ -40,19 +40,16 @@ def kept(text: Column) -> Column:
 
 def kept_of(bare: Column) -> Column:
     """kept() of a text without white space."""
-    long = lambda n: F.lit(n).cast("long")
 
-    def codes(t: Column) -> Column:
-        return F.concat(F.transform(t, lambda c: F.xxhash64(c)), F.array_repeat(long(ABSENT), F.greatest(K - F.size(t), F.lit(0))))
-
-    def threes(c: Column) -> Column:  # beyond the end: null, here and below, which least passes over
-        return F.transform(c, lambda x, i: F.shiftleft(x, 2).bitwiseXOR(F.shiftleft(F.get(c, i + 1), 1)).bitwiseXOR(F.get(c, i + 2)))
+    def wide(t: Column) -> Column:
+        return F.rpad(t, F.greatest(F.octet_length(t), F.lit(K * WIDE)), F.lit(ABSENT))
 
-    def sixes(h: Column) -> Column:
-        return F.transform(h, lambda x, i: F.shiftleft(x, 3).bitwiseXOR(F.get(h, i + 3)))
+    def codes(t: Column) -> Column:
+        at = F.sequence(F.lit(1), F.octet_length(t) - (RUN * WIDE - 1), F.lit(WIDE))
+        return F.transform(at, lambda x: F.xxhash64(F.substring(t, x, F.lit(RUN * WIDE))))
 
-    def grams(h: Column) -> Column:
-        gram = lambda x, i: F.shiftleft(x, 6).bitwiseXOR(F.get(h, i + 6))
+    def grams(h: Column) -> Column:  # beyond the end: null, here and below, which least passes over
+        gram = lambda x, i: F.shiftleft(x, RUN).bitwiseXOR(F.get(h, i + RUN))
         return F.transform(h, lambda x, i: F.shiftleft(gram(x, i), 31).bitwiseXOR(F.bitwise_not(i).cast("long")))
 
     def least_parts(p: Column) -> Column:
@@ -61,8 +58,8 @@ def kept_of(bare: Column) -> Column:
     def least(m: Column) -> Column:
         return F.transform(m, lambda x, i: F.least(x, *[F.get(m, i + j) for j in range(STEP, W, STEP)]))
 
-    value = F.split(bare, "")
-    for step in (codes, threes, sixes, grams, least_parts, least):
+    value = F.encode(bare, "UTF-32")
+    for step in (wide, codes, grams, least_parts, least):
         value = _let(value, step)
     whole = F.slice(value, F.lit(1), F.greatest(F.length(bare) - (K + W - 2), F.lit(1)))  # windows that lie within the text; or one
     return F.when(bare == "", F.array().cast("array<bigint>")).otherwise(F.array_distinct(whole))

@@ -247,6 +247,18 @@ def test_winnowing_equals_brute_force(spark, monkeypatch):
     assert sorted((str(r.doc_id), r.edited_sha256, r.fingerprint, r.edited_fingerprint, round(r.near_edited, 9), round(r.near_next, 9)) for r in got.collect()) == want
 
 
+def test_winnowing_takes_few_steps_a_character(spark):
+    """Each step is a lambda call for every character, which is what op2 costs: lambdas that work something out once aside, four."""
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame([(1, "abc"), (2, "abc\0"), (3, "abc\uffff"), (4, "abcÿ"), (5, "\ufeffabc"), (6, "a b c"), (7, "😀" * 11), (8, "😀" * 12)], "doc_id long, text string")
+    found = df.select("doc_id", winnow.kept(F.col("text")).alias("k"))
+    plan = found._jdf.queryExecution().analyzed().toString()
+    assert plan.count("lambdafunction(") - plan.count("transform(array(") <= 4
+    kept = {r.doc_id: tuple(r.k) for r in found.collect()}
+    assert kept[1] == kept[6] and all(len(k) == 1 for k in kept.values()) and len(set(kept.values())) == 7
+
+
 def test_one_character_in_front_changes_few_hashes(spark):
     rng = random.Random(13)
     kana = "".join(rng.choice("あいうえおかきくけこ") for _ in range(4000))
